@@ -1,0 +1 @@
+"""casestar.streaming."""
