@@ -100,10 +100,15 @@ def parse_date(c: str | Column, layout: str = "Y/m/d H:M:S",
     pattern = DATE_LAYOUTS.get(layout, layout)
     s = _col(c).cast("string")
     if on_error == "null":
-        return F.try_to_timestamp(s, F.lit(pattern)).cast("date")
-    if on_error != "raise":
+        d = F.try_to_timestamp(s, F.lit(pattern)).cast("date")
+    elif on_error == "raise":
+        d = F.to_timestamp(s, pattern).cast("date")
+    else:
         raise ValueError("on_error must be 'raise' or 'null'")
-    return F.to_timestamp(s, pattern).cast("date")
+    if "yy" in pattern and "yyyy" not in pattern:
+        # Two-digit years pivot like strptime: 69-99 -> 19xx, 00-68 -> 20xx.
+        d = F.when(F.year(d) >= 2069, F.add_months(d, -1200)).otherwise(d)
+    return d
 
 
 def midpoint(c: str | Column, mapping: Mapping[str, float] = AGE_MIDPOINTS) -> Column:

@@ -150,3 +150,92 @@ cte("star", export_select("""(SELECT f.*, date_diff('day', b.lo, f.Meldedatum) A
           g.state_rank * b.n_days + date_diff('day', b.lo, f.Meldedatum) AS id_bl_time
    FROM facts f JOIN geo_ranked g ON f.IdBundesland = g.IdBundesland AND f.IdLandkreis = g.IdLandkreis,
         bounds b WHERE f.Anzahl <> 0) x"""), "facts", "geo_ranked", "bounds")
+
+# ----------------------------------------------------------- daily series
+def _cents(kind: str) -> str:
+    return (f"CAST(COALESCE(SUM(CASE WHEN event_type = '{kind}' "
+            f"THEN CAST(round(value * 100) AS BIGINT) END), 0) AS BIGINT)")
+
+
+cte("daily", f"""
+  SELECT user_id AS lu_id, CAST(ts AS DATE) AS date,
+         {_cents('click')} AS confirmed, {_cents('error')} AS deaths,
+         {_cents('signup')} AS recovered, {_cents('purchase')} AS tested
+  FROM events GROUP BY user_id, CAST(ts AS DATE)""")
+
+cte("tests_clean", """
+  SELECT lu_id, date, tested AS tested_reported, NULLIF(tested, 0) AS tested_reported_or_nan
+  FROM daily""", "daily")
+
+W_ORD = "PARTITION BY lu_id ORDER BY date"
+cte("tests_est", f"""
+  SELECT lu_id, date, tested_reported, tested_reported_or_nan, tested_announced,
+         CASE WHEN n >= 2 THEN greatest((y1 - y0) / (x1 - x0) * (x - x0) + y0, CAST(0 AS DOUBLE))
+              ELSE CAST(tested_announced AS DOUBLE) END AS tested
+  FROM (
+    SELECT *,
+      COALESCE(first_value(sx0 IGNORE NULLS) OVER ({W_ORD} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING),
+               last_value(sx0 IGNORE NULLS) OVER ({W_ORD} ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)) AS x0,
+      COALESCE(first_value(sy0 IGNORE NULLS) OVER ({W_ORD} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING),
+               last_value(sy0 IGNORE NULLS) OVER ({W_ORD} ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)) AS y0,
+      COALESCE(first_value(sx1 IGNORE NULLS) OVER ({W_ORD} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING),
+               last_value(sx1 IGNORE NULLS) OVER ({W_ORD} ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)) AS x1,
+      COALESCE(first_value(sy1 IGNORE NULLS) OVER ({W_ORD} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING),
+               last_value(sy1 IGNORE NULLS) OVER ({W_ORD} ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)) AS y1
+    FROM (
+      SELECT *,
+        CASE WHEN kx IS NOT NULL AND px IS NOT NULL THEN px END AS sx0,
+        CASE WHEN kx IS NOT NULL AND px IS NOT NULL THEN py END AS sy0,
+        CASE WHEN kx IS NOT NULL AND px IS NOT NULL THEN kx END AS sx1,
+        CASE WHEN kx IS NOT NULL AND px IS NOT NULL THEN ky END AS sy1
+      FROM (
+        SELECT *,
+          last_value(kx IGNORE NULLS) OVER ({W_ORD} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS px,
+          last_value(ky IGNORE NULLS) OVER ({W_ORD} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS py,
+          COUNT(tested_reported_or_nan) OVER (PARTITION BY lu_id) AS n,
+          last_value(tested_reported_or_nan IGNORE NULLS)
+            OVER ({W_ORD} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS tested_announced
+        FROM (
+          SELECT *, CASE WHEN tested_reported_or_nan IS NOT NULL THEN x END AS kx,
+                 CASE WHEN tested_reported_or_nan IS NOT NULL
+                      THEN CAST(tested_reported_or_nan AS DOUBLE) END AS ky
+          FROM (SELECT *, CAST(ROW_NUMBER() OVER ({W_ORD}) - 1 AS DOUBLE) AS x FROM tests_clean) a
+        ) b
+      ) c
+    ) d
+  ) e""", "tests_clean")
+
+cte("tests_decomposed", """
+  SELECT lu_id, date, tested_reported, ta AS tested_announced,
+         round_even(COALESCE(te - ta, 0), 0) AS tested_extrapolated, te AS tested,
+         CAST(CASE WHEN tested_reported_or_nan IS NULL THEN 1 ELSE 0 END AS BIGINT) AS tested_is_extrapolated
+  FROM (SELECT *, round_even(COALESCE(CAST(tested_announced AS DOUBLE), 0), 0) AS ta,
+               round_even(COALESCE(tested, 0), 0) AS te FROM tests_est) x""", "tests_est")
+
+
+def lag0(c: str, n: int, name: str | None = None) -> str:
+    return (f"COALESCE(lag({c}, {n}) OVER (PARTITION BY lu_id ORDER BY date), 0) "
+            f"AS {name or f'lag_{n}_{c}'}")
+
+
+cte("series_active", f"""
+  SELECT *, COALESCE(confirmed - deaths - recovered - probably_recovered, 0) AS active
+  FROM (SELECT *, greatest(least(lag_21_confirmed, confirmed) - recovered - deaths, 0) AS probably_recovered
+        FROM (SELECT *, {lag0('confirmed', 21)} FROM daily) a) b""", "daily")
+
+SERIES_LAGGED = ["confirmed", "recovered", "deaths", "tested", "active"]
+cte("series_lags", "SELECT *, " + ", ".join(
+    [lag0(c, 1) for c in SERIES_LAGGED] + [lag0(c, 7) for c in SERIES_LAGGED])
+    + " FROM series_active", "series_active")
+
+cte("districts", f"""
+  SELECT {pad5('CAST(n.n_regionkey AS BIGINT) * 1000 + n.n_nationkey')} AS rs, n.n_name AS name,
+         CAST(COALESCE(c.population, 0) AS BIGINT) AS population
+  FROM nation n LEFT JOIN (SELECT c_nationkey, COUNT(*) AS population FROM customer GROUP BY c_nationkey) c
+    ON n.n_nationkey = c.c_nationkey""")
+
+cte("district_category", f"""
+  SELECT {pad5('CAST(n.n_regionkey AS BIGINT) * 1000 + n.n_nationkey')} AS kreis_id,
+         CAST(n.n_nationkey AS BIGINT) AS krs17, CAST(COALESCE(s.n_suppliers, 0) AS BIGINT) AS n_suppliers
+  FROM nation n LEFT JOIN (SELECT s_nationkey, COUNT(*) AS n_suppliers FROM supplier GROUP BY s_nationkey) s
+    ON n.n_nationkey = s.s_nationkey""")

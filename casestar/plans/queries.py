@@ -102,3 +102,198 @@ def q_densify_facts(spark, d):
     facts = _facts(spark, d)
     bridge = D.geo_time_keys(D.geo_dim(facts), D.date_dim(facts))
     return FA.densify(D.dense_span(bridge, facts), facts)
+
+
+# ------------------------------------------------- projections and columns
+@register("project_columns", O.sql(
+    "SELECT IdBundesland, IdLandkreis, Meldedatum, AnzahlFall FROM case_reports", "case_reports"))
+def q_project_columns(spark, d):
+    return CL.project(TV.case_reports(spark, d),
+                      ["IdBundesland", "IdLandkreis", "Meldedatum", "AnzahlFall"])
+
+
+@register("drop_columns", O.sql(
+    "SELECT * EXCLUDE (Bundesland, Landkreis) FROM case_reports", "case_reports"))
+def q_drop_columns(spark, d):
+    return CL.drop(TV.case_reports(spark, d), ["Bundesland", "Landkreis"])
+
+
+@register("rename_columns", O.sql("""
+  SELECT IdBundesland, Bundesland, IdLandkreis, Landkreis, Meldedatum, Altersgruppe, Geschlecht,
+         AnzahlFall AS cases, AnzahlTodesfall AS deaths, AnzahlGenesen AS recovered
+  FROM case_reports""", "case_reports"))
+def q_rename_columns(spark, d):
+    return CL.rename(TV.case_reports(spark, d), {
+        "AnzahlFall": "cases", "AnzahlTodesfall": "deaths", "AnzahlGenesen": "recovered"})
+
+
+@register("pad_region_code", O.sql(f"""
+  SELECT o_orderkey, {O.pad5('o_orderkey').replace('>= 5', '>= 4').replace(', 5,', ', 4,')} AS code4,
+         {O.pad5('o_orderkey')} AS code5
+  FROM orders"""))
+def q_pad_region_code(spark, d):
+    o = TV.table(spark, d, "orders")
+    return o.select("o_orderkey", C.pad_code("o_orderkey", 4).alias("code4"),
+                    C.pad_code("o_orderkey", 5).alias("code5"))
+
+
+@register("recode_values", O.sql("""
+  SELECT DISTINCT Altersgruppe, Geschlecht,
+         CASE WHEN Altersgruppe = 'unbekannt' THEN 'keine Information' ELSE Altersgruppe END AS age_label,
+         CASE WHEN Geschlecht = 'unbekannt' THEN 'keine Information' ELSE Geschlecht END AS sex_label,
+         CASE Landkreis WHEN 'LK Göttingen (alt)' THEN 'LK Göttingen'
+              WHEN 'LK Aachen' THEN 'StadtRegion Aachen' ELSE Landkreis END AS district
+  FROM case_reports""", "case_reports"))
+def q_recode_values(spark, d):
+    cr = TV.case_reports(spark, d)
+    return cr.select(
+        "Altersgruppe", "Geschlecht",
+        C.recode("Altersgruppe", {C.UNKNOWN_TEXT: C.UNKNOWN_LABEL}).alias("age_label"),
+        C.recode("Geschlecht", {C.UNKNOWN_TEXT: C.UNKNOWN_LABEL}).alias("sex_label"),
+        C.recode("Landkreis", C.DISTRICT_NAME_RECODE).alias("district")).distinct()
+
+
+@register("strip_token", O.sql("""
+  SELECT Landkreis, replace(Landkreis, 'NATION_', '') AS district_no, COUNT(*) AS n
+  FROM case_reports GROUP BY Landkreis""", "case_reports"))
+def q_strip_token(spark, d):
+    cr = TV.case_reports(spark, d)
+    return cr.groupBy("Landkreis").agg(F.count(F.lit(1)).alias("n")).select(
+        "Landkreis", C.strip_token("Landkreis", "NATION_").alias("district_no"), "n")
+
+
+@register("parse_dates", O.sql("""
+  SELECT o_orderkey, CAST(o_orderdate AS DATE) AS d_ymd_hms, CAST(o_orderdate AS DATE) AS d_ymd,
+         CAST(o_orderdate AS DATE) AS d_int, CAST(o_orderdate AS DATE) AS d_mdy
+  FROM orders"""))
+def q_parse_dates(spark, d):
+    o = TV.table(spark, d, "orders")
+    ts = F.col("o_orderdate")
+    return o.select(
+        "o_orderkey",
+        C.parse_date(F.date_format(ts, "yyyy/M/d H:m:s"), "Y/m/d H:M:S").alias("d_ymd_hms"),
+        C.parse_date(F.date_format(ts, "yyyy-M-d"), "Y-m-d").alias("d_ymd"),
+        C.parse_date(F.date_format(ts, "yyyyMMdd").cast("int"), "Ymd").alias("d_int"),
+        C.parse_date(F.date_format(ts, "M/d/yy"), "m/d/y").alias("d_mdy"))
+
+
+@register("category_midpoint", O.sql(f"""
+  SELECT DISTINCT age, {O.MIDPOINT_CASE.format(c='age')} AS Alter_Zahl
+  FROM (SELECT CASE WHEN Altersgruppe = 'unbekannt' THEN 'keine Information' ELSE Altersgruppe END AS age
+        FROM case_reports) x""", "case_reports"))
+def q_category_midpoint(spark, d):
+    cr = TV.case_reports(spark, d)
+    age = cr.select(C.recode("Altersgruppe", {C.UNKNOWN_TEXT: C.UNKNOWN_LABEL}).alias("age"))
+    return age.select("age", C.midpoint("age").alias("Alter_Zahl")).distinct()
+
+
+@register("period_bucket", O.sql(f"""
+  SELECT DISTINCT date, {O.PERIOD_CASE.format(d='date', hi='(SELECT MAX(date) FROM daily)')} AS time_cat
+  FROM daily""", "daily"))
+def q_period_bucket(spark, d):
+    ds = TV.daily_series(spark, d)
+    top = ds.agg(F.max("date")).scalar()
+    return ds.select("date", C.period_bucket("date", top).alias("time_cat")).distinct()
+
+
+@register("derive_active", O.sql("""
+  SELECT IdLandkreis, Meldedatum, Altersgruppe, Geschlecht,
+         COALESCE(AnzahlFall, 0) - COALESCE(AnzahlTodesfall, 0) - COALESCE(AnzahlGenesen, 0) AS AnzahlAktiv
+  FROM case_reports""", "case_reports"))
+def q_derive_active(spark, d):
+    cr = TV.case_reports(spark, d)
+    return cr.select("IdLandkreis", "Meldedatum", "Altersgruppe", "Geschlecht",
+                     C.active_of("AnzahlFall", "AnzahlTodesfall", "AnzahlGenesen")
+                     .alias("AnzahlAktiv"))
+
+
+def _confirmed_vs_tests(spark, d):
+    ds = TV.daily_series(spark, d)
+    a = ds.filter(F.col("confirmed") != 0).select("lu_id", "date", "confirmed")
+    b = ds.filter(F.col("tested") != 0).select("lu_id", "date", "tested")
+    return J.outer_join(a, b, on=["lu_id", "date"])
+
+
+OUTER_SQL = """
+  SELECT COALESCE(a.lu_id, b.lu_id) AS lu_id, COALESCE(a.date, b.date) AS date, a.confirmed, b.tested
+  FROM (SELECT lu_id, date, confirmed FROM daily WHERE confirmed <> 0) a
+  FULL OUTER JOIN (SELECT lu_id, date, tested FROM daily WHERE tested <> 0) b
+    ON a.lu_id = b.lu_id AND a.date = b.date"""
+
+
+@register("join_full_outer", O.sql(OUTER_SQL, "daily"))
+def q_join_full_outer(spark, d):
+    return _confirmed_vs_tests(spark, d)
+
+
+@register("fill_defaults", O.sql(
+    f"SELECT lu_id, date, COALESCE(confirmed, 0) AS confirmed, COALESCE(tested, -1) AS tested "
+    f"FROM ({OUTER_SQL}) x", "daily"))
+def q_fill_defaults(spark, d):
+    return CL.fill(_confirmed_vs_tests(spark, d), {"confirmed": 0, "tested": -1})
+
+
+@register("zero_as_missing", O.sql("SELECT * FROM tests_clean", "tests_clean"))
+def q_zero_as_missing(spark, d):
+    from casestar.plans.series_plan import tests_clean
+    return tests_clean(TV.daily_series(spark, d))
+
+
+@register("constant_column", O.sql(
+    "SELECT IdLandkreis, Meldedatum, CAST(1 AS BIGINT) AS ones FROM case_reports", "case_reports"))
+def q_constant_column(spark, d):
+    cr = CL.project(TV.case_reports(spark, d), ["IdLandkreis", "Meldedatum"])
+    return CL.with_constant(cr, "ones", F.lit(1).cast("bigint"))
+
+
+# ---------------------------------------------------------------- filters
+@register("filter_not_equal", O.sql(f"""
+  SELECT * FROM (
+    SELECT {O.FACT_KEYS}, 'AnzahlFall' AS Status, AnzahlFall AS Anzahl FROM facts_wide
+    UNION ALL SELECT {O.FACT_KEYS}, 'AnzahlTodesfall', AnzahlTodesfall FROM facts_wide
+    UNION ALL SELECT {O.FACT_KEYS}, 'AnzahlGenesen', AnzahlGenesen FROM facts_wide) x
+  WHERE Status <> 'AnzahlFall'""", "facts_wide"))
+def q_filter_not_equal(spark, d):
+    wide = FA.normalise_and_sum(TV.case_reports(spark, d))
+    long = R.measures_to_status(wide, FA.FACT_KEYS, FA.MEASURES, drop_measure=None, token="@")
+    return CL.exclude_value(long, "Status", "AnzahlFall")
+
+
+@register("filter_null_state", O.sql(f"""
+  SELECT g.*, d.rs, d.population FROM (SELECT DISTINCT {O.GEO_KEYS} FROM facts) g
+  FULL OUTER JOIN districts d ON g.IdLandkreis = d.rs
+  WHERE g.IdLandkreis IS NOT NULL""", "facts", "districts"))
+def q_filter_null_state(spark, d):
+    geo = A.distinct_of(_facts(spark, d), D.GEO_KEYS)
+    dist = TV.districts(spark, d).select("rs", "population")
+    return CL.keep_present(J.outer_join(geo, dist, left_on=["IdLandkreis"], right_on=["rs"]),
+                           "IdLandkreis")
+
+
+@register("filter_nonzero", O.sql("SELECT * FROM facts WHERE Anzahl <> 0", "facts"))
+def q_filter_nonzero(spark, d):
+    return CL.nonzero(_facts(spark, d))
+
+
+@register("filter_point", O.sql(
+    "SELECT * FROM case_reports WHERE Altersgruppe = 'A15-A34' AND Geschlecht = 'M'", "case_reports"))
+def q_filter_point(spark, d):
+    return CL.point_lookup(TV.case_reports(spark, d), {"Altersgruppe": "A15-A34", "Geschlecht": "M"})
+
+
+@register("filter_in_list", O.sql(
+    "SELECT * FROM case_reports WHERE Altersgruppe IN ('A00-A04', 'A80+', 'unbekannt')",
+    "case_reports"))
+def q_filter_in_list(spark, d):
+    return CL.in_set(TV.case_reports(spark, d), "Altersgruppe", ["A00-A04", "A80+", "unbekannt"])
+
+
+@register("negative_audit", O.sql("SELECT * FROM customer WHERE c_acctbal < 0"))
+def q_negative_audit(spark, d):
+    return CL.negative_rows(TV.table(spark, d, "customer"), "c_acctbal")
+
+
+@register("snapshot_at_max_date", O.sql(
+    "SELECT * FROM daily WHERE date = (SELECT MAX(date) FROM daily)", "daily"))
+def q_snapshot_at_max_date(spark, d):
+    return CL.latest_snapshot(TV.daily_series(spark, d), "date")
