@@ -40,9 +40,14 @@ def ratio(df: DataFrame, by: Sequence[str], a: str, b: str, name: str = "ratio")
     return df.groupBy(*by).agg(_ratio(F.sum(a), F.sum(b)).alias(name))
 
 
-def ratio_delta(df: DataFrame, by: Sequence[str], a: str, b: str, n: int = 1,
-                name: str | None = None) -> DataFrame:
-    """Ratio of the day (n=1) or week (n=7) increments."""
+def ratio_delta_expr(a: str, b: str, n: int = 1) -> Column:
     num = F.sum(a) - F.sum(f"lag_{n}_{a}")
     den = F.sum(b) - F.sum(f"lag_{n}_{b}")
-    return df.groupBy(*by).agg(_ratio(num, den).alias(name or f"ratio_delta_{n}d"))
+    return _ratio(num, den)
+
+
+def ratio_delta(df: DataFrame, by: Sequence[str], a: str, b: str,
+                ns: Sequence[int] = (1, 7)) -> DataFrame:
+    """Ratio of the day (n=1) and/or week (n=7) increments."""
+    return df.groupBy(*by).agg(
+        *[ratio_delta_expr(a, b, n).alias(f"ratio_delta_{n}d") for n in ns])

@@ -239,3 +239,9 @@ cte("district_category", f"""
          CAST(n.n_nationkey AS BIGINT) AS krs17, CAST(COALESCE(s.n_suppliers, 0) AS BIGINT) AS n_suppliers
   FROM nation n LEFT JOIN (SELECT s_nationkey, COUNT(*) AS n_suppliers FROM supplier GROUP BY s_nationkey) s
     ON n.n_nationkey = s.s_nationkey""")
+
+cte("geo_full", f"""
+  SELECT g.IdBundesland, g.Bundesland, g.IdLandkreis, g.Landkreis, d.population, c.n_suppliers,
+         CAST(1 AS BIGINT) AS ones
+  FROM geo g LEFT JOIN districts d ON g.IdLandkreis = d.rs
+  LEFT JOIN district_category c ON g.IdLandkreis = c.kreis_id""", "geo", "districts", "district_category")

@@ -297,3 +297,323 @@ def q_negative_audit(spark, d):
     "SELECT * FROM daily WHERE date = (SELECT MAX(date) FROM daily)", "daily"))
 def q_snapshot_at_max_date(spark, d):
     return CL.latest_snapshot(TV.daily_series(spark, d), "date")
+
+
+# ------------------------------------------------------------------ joins
+from casestar.operators import checks as CK  # noqa: E402
+from casestar.operators import measures as M  # noqa: E402
+from casestar.operators import series as S  # noqa: E402
+from casestar.plans import series_plan as SP  # noqa: E402
+
+
+@register("join_left_fact", O.sql("""
+  SELECT sp.id_lk_time, sp.Altersgruppe, sp.Geschlecht, sp.Status, f.Anzahl
+  FROM span sp LEFT JOIN facts f
+    ON sp.IdLandkreis = f.IdLandkreis AND sp.IdBundesland = f.IdBundesland AND sp.Datum = f.Meldedatum
+   AND sp.Altersgruppe = f.Altersgruppe AND sp.Geschlecht = f.Geschlecht AND sp.Status = f.Status""",
+    "span", "facts"))
+def q_join_left_fact(spark, d):
+    facts = _facts(spark, d)
+    bridge = D.geo_time_keys(D.geo_dim(facts), D.date_dim(facts))
+    span = D.dense_span(bridge, facts)
+    return J.attach_facts(span, facts, FA.SPAN_JOIN_LEFT, FA.SPAN_JOIN_RIGHT).select(
+        "id_lk_time", "Altersgruppe", "Geschlecht", "Status", "Anzahl")
+
+
+@register("join_left_back", O.sql("""
+  SELECT t.*, s.tested_announced FROM tests_clean t LEFT JOIN tests_est s
+    ON t.lu_id = s.lu_id AND t.date = s.date""", "tests_clean", "tests_est"))
+def q_join_left_back(spark, d):
+    daily = TV.daily_series(spark, d)
+    est = S.ffill(SP.tests_clean(daily), "lu_id", "date", "tested_reported_or_nan",
+                  "tested_announced").select("lu_id", "date", "tested_announced")
+    return J.attach_series(SP.tests_clean(daily), est, ["lu_id", "date"])
+
+
+@register("join_cross", O.sql(
+    f"SELECT g.*, CAST(1 AS BIGINT) AS ones, t.Datum, t.id_time, t.time_cat FROM geo g, time_dim t",
+    "geo", "time_dim"))
+def q_join_cross(spark, d):
+    facts = _facts(spark, d)
+    return J.cross(D.geo_dim(facts), D.date_dim(facts))
+
+
+@register("join_inner_multikey", O.sql("SELECT * FROM bridge", "bridge"))
+def q_join_inner_multikey(spark, d):
+    facts = _facts(spark, d)
+    geo, time = D.geo_dim(facts), D.date_dim(facts)
+    return D.geo_time_bridge(D.geo_time_dim(geo, time), D.state_time_dim(geo, time))
+
+
+@register("join_inner_lookup", O.sql("""
+  SELECT c.*, l.iso_3166_2_code FROM case_reports c
+  JOIN (SELECT 'R-' || substr(r_name, 1, 2) AS iso_3166_2_code, CAST(r_regionkey AS BIGINT) AS IdBundesland
+        FROM region) l ON c.IdBundesland = l.IdBundesland""", "case_reports"))
+def q_join_inner_lookup(spark, d):
+    return J.attach_lookup(TV.case_reports(spark, d), TV.state_lookup(spark, d), "IdBundesland")
+
+
+def _measure(daily, m):
+    return daily.select("lu_id", "date", m)
+
+
+@register("join_inner_chain", O.sql("""
+  SELECT a.lu_id, a.date, a.confirmed, b.recovered, c.deaths
+  FROM daily a JOIN daily b ON a.lu_id = b.lu_id AND a.date = b.date
+  JOIN daily c ON a.lu_id = c.lu_id AND a.date = c.date""", "daily"))
+def q_join_inner_chain(spark, d):
+    daily = TV.daily_series(spark, d)
+    k = ["lu_id", "date"]
+    return J.join_all([_measure(daily, "confirmed"), _measure(daily, "recovered"),
+                       _measure(daily, "deaths")], [k, k])
+
+
+@register("join_natural", O.sql("""
+  SELECT f.*, g.population, g.n_suppliers, g.ones FROM facts f JOIN geo_full g
+    ON f.IdBundesland = g.IdBundesland AND f.Bundesland = g.Bundesland
+   AND f.IdLandkreis = g.IdLandkreis AND f.Landkreis = g.Landkreis""", "facts", "geo_full"))
+def q_join_natural(spark, d):
+    facts = _facts(spark, d)
+    geo = D.geo_dim(facts, TV.districts(spark, d), TV.district_category(spark, d))
+    return J.natural_join(facts, geo)
+
+
+AUDIT_SQL = """
+  SELECT COALESCE(a.purchase_user, 'missing') AS purchase_user, a.date_a, a.tested,
+         COALESCE(b.signup_user, 'missing') AS signup_user, b.date_b, b.recovered
+  FROM (SELECT CAST(lu_id AS VARCHAR) AS purchase_user, date AS date_a, tested FROM daily WHERE tested <> 0) a
+  FULL OUTER JOIN (SELECT CAST(lu_id AS VARCHAR) AS signup_user, date AS date_b, recovered
+                   FROM daily WHERE recovered <> 0) b
+    ON a.purchase_user = b.signup_user AND a.date_a = b.date_b"""
+
+
+@register("join_match_audit", O.sql(
+    f"SELECT * FROM ({AUDIT_SQL}) x WHERE purchase_user = 'missing' OR signup_user = 'missing'",
+    "daily"))
+def q_join_match_audit(spark, d):
+    daily = TV.daily_series(spark, d)
+    a = daily.filter(F.col("tested") != 0).select(
+        F.col("lu_id").cast("string").alias("purchase_user"), F.col("date").alias("date_a"),
+        "tested")
+    b = daily.filter(F.col("recovered") != 0).select(
+        F.col("lu_id").cast("string").alias("signup_user"), F.col("date").alias("date_b"),
+        "recovered")
+    cols = ["purchase_user", "signup_user"]
+    audited = J.match_audit(a, b, ["purchase_user", "date_a"], ["signup_user", "date_b"], cols)
+    return J.unmatched(audited, cols)
+
+
+# ------------------------------------------------------ more aggregations
+@register("groupby_count_desc", O.sql("""
+  SELECT NULLIF(Geschlecht, 'unbekannt') AS Geschlecht, COUNT(*) AS count
+  FROM case_reports GROUP BY NULLIF(Geschlecht, 'unbekannt') ORDER BY count DESC""", "case_reports"))
+def q_groupby_count_desc(spark, d):
+    cr = TV.case_reports(spark, d).withColumn(
+        "Geschlecht", F.nullif(F.col("Geschlecht"), F.lit("unbekannt")))
+    return A.groupby_count_desc(cr, ["Geschlecht"])
+
+
+@register("agg_sum_series", O.sql("""
+  SELECT user_id AS lu_id, CAST(ts AS DATE) AS date,
+         CAST(COALESCE(SUM(CAST(round(value * 100) AS BIGINT)), 0) AS BIGINT) AS value
+  FROM events WHERE user_id IS NOT NULL AND ts IS NOT NULL GROUP BY user_id, CAST(ts AS DATE)"""))
+def q_agg_sum_series(spark, d):
+    e = TV.table(spark, d, "events").select(
+        F.col("user_id").alias("lu_id"), F.col("ts").cast("date").alias("date"),
+        TV.event_cents().alias("value"))
+    return A.sum_by(e, ["lu_id", "date"], ["value"])
+
+
+@register("sort_output", O.sql("""
+  SELECT Altersgruppe, CAST(COALESCE(SUM(Anzahl), 0) AS BIGINT) AS Anzahl, Status
+  FROM facts GROUP BY Altersgruppe, Status ORDER BY Anzahl DESC""", "facts"))
+def q_sort_output(spark, d):
+    return A.order_by(A.rollup_status(_facts(spark, d)), ["Anzahl"], ascending=False)
+
+
+# ------------------------------------------------------- more dimensions
+@register("geo_dimension", O.sql("SELECT * FROM geo_full", "geo_full"))
+def q_geo_dimension(spark, d):
+    return D.geo_dim(_facts(spark, d), TV.districts(spark, d), TV.district_category(spark, d))
+
+
+@register("geo_time_dim", O.sql("""
+  SELECT IdBundesland, Bundesland, IdLandkreis, Landkreis, ones, Datum, id_time, time_cat, id_lk_time
+  FROM bridge""", "bridge"))
+def q_geo_time_dim(spark, d):
+    facts = _facts(spark, d)
+    return D.geo_time_dim(D.geo_dim(facts), D.date_dim(facts))
+
+
+@register("state_time_dim", O.sql(
+    'SELECT DISTINCT "index", IdBundesland, Bundesland, Datum, id_time, id_bl_time FROM bridge',
+    "bridge"))
+def q_state_time_dim(spark, d):
+    facts = _facts(spark, d)
+    return D.state_time_dim(D.geo_dim(facts), D.date_dim(facts))
+
+
+@register("sequential_row_id", O.sql(
+    "SELECT c_custkey, c_name, ROW_NUMBER() OVER (ORDER BY c_custkey) - 1 AS lu_id FROM customer"))
+def q_sequential_row_id(spark, d):
+    c = TV.table(spark, d, "customer").select("c_custkey", "c_name")
+    return D.with_row_id(c, ["c_custkey"], "lu_id")
+
+
+# ------------------------------------------------------------------ checks
+@register("check_join_cardinality", O.sql(f"""
+  SELECT {O.FACT_KEYS}, COUNT(*) AS count FROM case_reports
+  GROUP BY {O.FACT_KEYS} HAVING COUNT(*) > 1""", "case_reports"))
+def q_check_join_cardinality(spark, d):
+    return CK.duplicate_keys(TV.case_reports(spark, d), FA.FACT_KEYS)
+
+
+@register("check_key_sets_equal", O.sql("""
+  SELECT lu_id, date, 'left_only' AS side FROM
+    (SELECT lu_id, date FROM daily WHERE confirmed <> 0 EXCEPT ALL SELECT lu_id, date FROM daily WHERE tested <> 0) a
+  UNION ALL SELECT lu_id, date, 'right_only' AS side FROM
+    (SELECT lu_id, date FROM daily WHERE tested <> 0 EXCEPT ALL SELECT lu_id, date FROM daily WHERE confirmed <> 0) b""",
+    "daily"))
+def q_check_key_sets_equal(spark, d):
+    daily = TV.daily_series(spark, d)
+    return CK.key_set_diff(daily.filter(F.col("confirmed") != 0),
+                           daily.filter(F.col("tested") != 0), ["lu_id", "date"])
+
+
+@register("check_lookup_coverage", O.sql("""
+  SELECT DISTINCT lu_id, date FROM daily t WHERE tested <> 0
+    AND NOT EXISTS (SELECT 1 FROM daily c WHERE c.confirmed <> 0 AND c.lu_id = t.lu_id AND c.date = t.date)""",
+    "daily"))
+def q_check_lookup_coverage(spark, d):
+    daily = TV.daily_series(spark, d)
+    return CK.uncovered_keys(daily.filter(F.col("tested") != 0),
+                             daily.filter(F.col("confirmed") != 0), ["lu_id", "date"])
+
+
+@register("check_row_count", O.sql("""
+  SELECT COUNT(*) AS actual, CAST(0 AS BIGINT) AS expected, COUNT(*) = 0 AS ok
+  FROM lineitem WHERE l_quantity < 0"""))
+def q_check_row_count(spark, d):
+    return CK.expect_count(TV.table(spark, d, "lineitem"), F.col("l_quantity") < 0, 0)
+
+
+_PROFILE_TYPES = [("IdBundesland", "Int64.Type"), ("Bundesland", "type text"),
+                  ("IdLandkreis", "Int64.Type"), ("Landkreis", "type text"),
+                  ("Meldedatum", "type text"), ("Altersgruppe", "type text"),
+                  ("Geschlecht", "type text"), ("AnzahlFall", "Int64.Type"),
+                  ("AnzahlTodesfall", "Int64.Type"), ("AnzahlGenesen", "Int64.Type")]
+
+
+@register("table_profile", O.sql(" UNION ALL ".join(
+    f"SELECT 'case_reports' AS \"table\", '{c}' AS \"column\", CAST({i} AS BIGINT) AS position, "
+    f"'{t}' AS export_type, COUNT({c}) AS non_null, COUNT(*) AS row_count FROM case_reports"
+    for i, (c, t) in enumerate(_PROFILE_TYPES)), "case_reports"))
+def q_table_profile(spark, d):
+    return CK.profile(TV.case_reports(spark, d), "case_reports")
+
+
+# ------------------------------------------------------------------ series
+@register("series_position", O.sql(
+    "SELECT *, ROW_NUMBER() OVER (PARTITION BY lu_id ORDER BY date) - 1 AS counter FROM tests_clean",
+    "tests_clean"))
+def q_series_position(spark, d):
+    return S.series_position(SP.tests_clean(TV.daily_series(spark, d)), "lu_id", "date")
+
+
+@register("forward_fill", O.sql("""
+  SELECT *, last_value(tested_reported_or_nan IGNORE NULLS) OVER (PARTITION BY lu_id ORDER BY date
+         ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS tested_announced FROM tests_clean""",
+    "tests_clean"))
+def q_forward_fill(spark, d):
+    return S.ffill(SP.tests_clean(TV.daily_series(spark, d)), "lu_id", "date",
+                   "tested_reported_or_nan", "tested_announced")
+
+
+@register("linear_interpolate", O.sql("SELECT * FROM tests_est", "tests_est"))
+def q_linear_interpolate(spark, d):
+    return SP.tests_estimated(TV.daily_series(spark, d))
+
+
+@register("series_union", O.sql("""
+  SELECT lu_id, date, 'confirmed' AS measure, confirmed AS value FROM daily
+  UNION ALL SELECT lu_id, date, 'recovered', recovered FROM daily
+  UNION ALL SELECT lu_id, date, 'deaths', deaths FROM daily""", "daily"))
+def q_series_union(spark, d):
+    daily = TV.daily_series(spark, d)
+    parts = [daily.select("lu_id", "date", F.lit(m).alias("measure"), F.col(m).alias("value"))
+             for m in ("confirmed", "recovered", "deaths")]
+    return S.union_all(parts)
+
+
+@register("reported_vs_estimated", O.sql("SELECT * FROM tests_decomposed", "tests_decomposed"))
+def q_reported_vs_estimated(spark, d):
+    return SP.tests_decomposed(TV.daily_series(spark, d))
+
+
+@register("lag_measures", O.sql("SELECT *, " + ", ".join(
+    [O.lag0(c, n) for n in (1, 7) for c in ("confirmed", "recovered", "deaths", "tested")])
+    + " FROM daily", "daily"))
+def q_lag_measures(spark, d):
+    out = TV.daily_series(spark, d)
+    for n in (1, 7):
+        out = S.lag_by(out, "lu_id", "date", ["confirmed", "recovered", "deaths", "tested"], n)
+    return out
+
+
+@register("estimated_active", O.sql("SELECT * FROM series_active", "series_active"))
+def q_estimated_active(spark, d):
+    return SP.series_active(TV.daily_series(spark, d))
+
+
+# ---------------------------------------------------------------- measures
+_GROWTH = ("active", "confirmed", "deaths", "recovered")
+
+
+def _growth_sql(n: int) -> str:
+    cols = []
+    for m in _GROWTH:
+        r = (f"CASE WHEN SUM(lag_{n}_{m}) = 0 THEN NULL "
+             f"ELSE CAST(SUM({m}) AS DOUBLE) / CAST(SUM(lag_{n}_{m}) AS DOUBLE) END")
+        g = f"COALESCE({r}, 1)"
+        if n != 1:
+            g = f"CASE WHEN {g} < 0 THEN NULL ELSE pow({g}, 1.0 / {n}) END"
+        cols.append(f"round({g} - 1, 6) AS growth_{m}_{n}d")
+    return "SELECT date, " + ", ".join(cols) + " FROM series_lags GROUP BY date"
+
+
+def _rounded(df, keep):
+    return df.select(*keep, *[F.round(c, 6).alias(c) for c in df.columns if c not in keep])
+
+
+@register("growth_prev_day", O.sql(_growth_sql(1), "series_lags"))
+def q_growth_prev_day(spark, d):
+    return _rounded(M.growth(SP.series_lags(TV.daily_series(spark, d)), ["date"], _GROWTH, 1),
+                    ["date"])
+
+
+@register("growth_prev_week", O.sql(_growth_sql(7), "series_lags"))
+def q_growth_prev_week(spark, d):
+    return _rounded(M.growth(SP.series_lags(TV.daily_series(spark, d)), ["date"], _GROWTH, 7),
+                    ["date"])
+
+
+@register("ratio_total", O.sql("""
+  SELECT date, round(CASE WHEN SUM(tested) = 0 THEN NULL
+                          ELSE CAST(SUM(confirmed) AS DOUBLE) / CAST(SUM(tested) AS DOUBLE) END, 6) AS ratio
+  FROM series_lags GROUP BY date""", "series_lags"))
+def q_ratio_total(spark, d):
+    s = SP.series_lags(TV.daily_series(spark, d))
+    return _rounded(M.ratio(s, ["date"], "confirmed", "tested"), ["date"])
+
+
+def _delta_sql(n: int) -> str:
+    den = f"(SUM(tested) - SUM(lag_{n}_tested))"
+    return (f"round(CASE WHEN {den} = 0 THEN NULL ELSE CAST(SUM(confirmed) - SUM(lag_{n}_confirmed) "
+            f"AS DOUBLE) / CAST({den} AS DOUBLE) END, 6) AS ratio_delta_{n}d")
+
+
+@register("ratio_delta", O.sql(
+    f"SELECT date, {_delta_sql(1)}, {_delta_sql(7)} FROM series_lags GROUP BY date", "series_lags"))
+def q_ratio_delta(spark, d):
+    s = SP.series_lags(TV.daily_series(spark, d))
+    return _rounded(M.ratio_delta(s, ["date"], "confirmed", "tested", (1, 7)), ["date"])
