@@ -617,3 +617,153 @@ def _delta_sql(n: int) -> str:
 def q_ratio_delta(spark, d):
     s = SP.series_lags(TV.daily_series(spark, d))
     return _rounded(M.ratio_delta(s, ["date"], "confirmed", "tested", (1, 7)), ["date"])
+
+
+# ------------------------------------------------------ sources and sinks
+from casestar.plans import geodocs as G  # noqa: E402
+from casestar.plans import world as WD  # noqa: E402
+from casestar.session import scratch_path  # noqa: E402
+from casestar.sources import readers as RD  # noqa: E402
+from casestar.sources import sinks as SK  # noqa: E402
+from pyspark.sql import types as T  # noqa: E402
+
+
+@register("src_delimited", O.sql("SELECT * FROM case_reports", "case_reports"))
+def q_src_delimited(spark, d):
+    path = scratch_path(spark, "case_reports_csv")
+    TV.case_reports(spark, d).write.option("header", True).csv(path)
+    return RD.read_facts(spark, path)
+
+
+@register("src_tsv_codepage", O.sql("""
+  SELECT 'R-' || substr(r_name, 1, 2) AS iso_3166_2_code, CAST(r_regionkey AS BIGINT) AS IdBundesland
+  FROM region"""))
+def q_src_tsv_codepage(spark, d):
+    path = scratch_path(spark, "state_iso_tsv")
+    (TV.state_lookup(spark, d).write.option("sep", "\t").option("header", True)
+     .option("encoding", "ISO-8859-1").option("lineSep", "\r\n").csv(path))
+    return RD.read_lookup(spark, path, RD.STATE_ISO_SCHEMA, encoding="ISO-8859-1")
+
+
+O.cte("nation_geo", f"""
+  SELECT CAST(n_regionkey AS BIGINT) AS region,
+         ROW_NUMBER() OVER (PARTITION BY n_regionkey ORDER BY n_nationkey) - 1 AS position,
+         'Polygon' AS type, {O.pad5('CAST(n_regionkey AS BIGINT) * 1000 + n_nationkey')} AS rs,
+         n_name AS name, CAST(n_nationkey AS BIGINT) AS nation
+  FROM nation""")
+
+
+@register("src_nested_json", O.sql(
+    "SELECT region, position, type, rs, name, nation FROM nation_geo", "nation_geo"))
+def q_src_nested_json(spark, d):
+    path = scratch_path(spark, "geometry_docs")
+    G.write_documents(G.geometry_documents(spark, d), path)
+    g = RD.read_geometries(spark, path, G.OBJECT_NAME, multi_line=True, schema=G.DOC_SCHEMA)
+    return g.select(F.col("region").cast("bigint").alias("region"), "position", "type",
+                    "properties.rs", "properties.name", "properties.nation")
+
+
+def _rekeyed_docs(spark, d):
+    docs = G.geometry_documents(spark, d)
+    geoms = C.rekey_properties(G.geometries_of(F.col("doc")), {"IDLandkreis": "rs"})
+    return docs.withColumn("doc", F.col("doc").withField(
+        f"objects.{G.OBJECT_NAME}.geometries", geoms))
+
+
+@register("json_rekey", O.sql(
+    """SELECT region, position, '{"IDLandkreis":"' || rs || '"}' AS properties FROM nation_geo""",
+    "nation_geo"))
+def q_json_rekey(spark, d):
+    docs = _rekeyed_docs(spark, d)
+    g = docs.select("region", F.posexplode(G.geometries_of(F.col("doc"))).alias("position", "g"))
+    return g.select("region", F.col("position").cast("bigint").alias("position"),
+                    F.to_json("g.properties").alias("properties"))
+
+
+@register("sink_json", O.sql(
+    "SELECT region, position, rs AS IDLandkreis FROM nation_geo", "nation_geo"))
+def q_sink_json(spark, d):
+    path = scratch_path(spark, "geometry_json")
+    SK.export_json(_rekeyed_docs(spark, d).select("region", "doc.*"), path)
+    g = RD.read_geometries(spark, path, G.OBJECT_NAME, multi_line=False)
+    return g.select("region", "position", "properties.IDLandkreis")
+
+
+@register("array_bbox_filter", O.sql("""
+  SELECT vec_id, CAST(len(embedding) // 2 AS BIGINT) AS n_points,
+         CAST(len(list_filter(
+           list_transform(range(len(embedding) // 2),
+             lambda i: {'lng': CAST(embedding[2 * i + 1] AS DOUBLE) * 100,
+                        'lat': CAST(embedding[2 * i + 2] AS DOUBLE) * 100}),
+           lambda p: p.lat >= 30 OR p.lng >= -15 OR p.lng >= 30)) AS BIGINT) AS n_kept
+  FROM embeddings"""))
+def q_array_bbox_filter(spark, d):
+    e = TV.table(spark, d, "embeddings")
+    emb = F.col("embedding")
+    # Consecutive pairs are (lng, lat) in hundredths of a degree.
+    coords = F.transform(
+        F.sequence(F.lit(0), (F.size(emb) / 2).cast("int") - 1),
+        lambda i: F.struct((emb[i * 2].cast("double") * 100).alias("lng"),
+                           (emb[i * 2 + 1].cast("double") * 100).alias("lat")))
+    # The reference's bounds, OR-ed.
+    kept = C.filter_coords(coords, lambda p: (p["lat"] >= 30) | (p["lng"] >= -15)
+                           | (p["lng"] >= 30))
+    return e.select("vec_id", F.size(coords).cast("bigint").alias("n_points"),
+                    F.size(kept).cast("bigint").alias("n_kept"))
+
+
+@register("sink_raw_snapshot", O.sql("SELECT * FROM case_reports", "case_reports"))
+def q_sink_raw_snapshot(spark, d):
+    path = scratch_path(spark, "raw_snapshot")
+    SK.write_snapshot(TV.case_reports(spark, d), path)
+    return spark.read.parquet(path)
+
+
+TIME_SCHEMA = T.StructType([
+    T.StructField("Datum", T.DateType()), T.StructField("id_time", T.LongType()),
+    T.StructField("ones", T.LongType()), T.StructField("time_cat", T.StringType())])
+EXPORT_SCHEMA = T.StructType([
+    T.StructField("IdBundesland", T.LongType()), T.StructField("IdLandkreis", T.StringType()),
+    T.StructField("id_time", T.LongType()), T.StructField("id_lk_time", T.LongType()),
+    T.StructField("id_bl_time", T.LongType()), T.StructField("Altersgruppe", T.StringType()),
+    T.StructField("Alter_Zahl", T.DoubleType()), T.StructField("Geschlecht", T.StringType()),
+    T.StructField("Status", T.StringType()), T.StructField("Anzahl", T.LongType())])
+
+
+@register("sink_tsv_export", O.sql("SELECT * FROM time_dim", "time_dim"))
+def q_sink_tsv_export(spark, d):
+    path = scratch_path(spark, "data_time_tsv")
+    SK.export_tsv(D.date_dim(_facts(spark, d)), path, single_file=True)
+    return SK.read_tsv_export(spark, path, TIME_SCHEMA)
+
+
+@register("sink_sparse_facts", O.sql("SELECT * FROM star", "star"))
+def q_sink_sparse_facts(spark, d):
+    facts = _facts(spark, d)
+    bridge = D.geo_time_keys(D.geo_dim(facts), D.date_dim(facts))
+    path = scratch_path(spark, "data_rki_tsv")
+    SK.export_facts(FA.densify(D.dense_span(bridge, facts), facts), path)
+    return SK.read_tsv_export(spark, path, EXPORT_SCHEMA)
+
+
+# ------------------------------------------------------------ wide dates
+def _wide_sql(kind: str) -> str:
+    collapse = ", ".join(f"'{c}'" for c in WD.COLLAPSE)
+    return f"""
+  WITH u AS (SELECT c.c_custkey, n.n_name FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey),
+  cells AS (SELECT CAST(e.user_id AS VARCHAR) AS ps, u.n_name AS cr, CAST(e.ts AS DATE) AS d,
+                   SUM(CASE WHEN e.event_type = '{kind}' THEN CAST(round(e.value * 100) AS BIGINT) END) AS v
+            FROM events e JOIN u ON e.user_id = u.c_custkey GROUP BY 1, 2, 3),
+  pairs AS (SELECT DISTINCT ps, cr FROM cells),
+  days AS (SELECT DISTINCT d FROM cells)
+  SELECT p.cr AS country_region,
+         CASE WHEN p.cr IN ({collapse}) THEN '' ELSE COALESCE(p.ps, '') END AS province_state,
+         dd.d AS date, CAST(COALESCE(SUM(c.v), 0) AS BIGINT) AS number
+  FROM pairs p CROSS JOIN days dd LEFT JOIN cells c ON c.ps = p.ps AND c.cr = p.cr AND c.d = dd.d
+  GROUP BY 1, 2, 3"""
+
+
+@register("unpivot_date_columns", _wide_sql("click"))
+def q_unpivot_date_columns(spark, d):
+    return R.wide_dates_to_long(WD.wide_series(spark, d, "confirmed"), WD.IDS, "Country/Region",
+                                "Province/State", WD.COLLAPSE)
