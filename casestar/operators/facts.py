@@ -54,8 +54,21 @@ def reject_rows(raw: DataFrame) -> DataFrame:
 
 
 def normalise_and_sum(raw: DataFrame, on_error: str = "raise") -> DataFrame:
-    """One row per cleaned fact key with the three measures summed."""
-    return sum_by(normalise(raw, on_error), FACT_KEYS, MEASURES)
+    """One row per cleaned fact key with the three measures summed.
+
+    Sum by the raw keys first (map-side combined, only hashing per raw row),
+    then pad, recode and parse once per distinct raw key, then sum again:
+    recoding can merge keys (T3). The per-row cost on the raw data is a
+    hash, not a date parse, and the second shuffle moves aggregated rows only.
+    """
+    keyed = raw.select(*FACT_KEYS, *MEASURES).na.drop(subset=FACT_KEYS)
+    first = keyed.groupBy(*FACT_KEYS).agg(*[F.sum(m).alias(m) for m in MEASURES])
+    clean = first.withColumns({
+        "IdLandkreis": recode(pad_code("IdLandkreis"), DISTRICT_CODE_RECODE),
+        "Landkreis": recode("Landkreis", DISTRICT_NAME_RECODE),
+        "Meldedatum": parse_date("Meldedatum", "Y/m/d H:M:S", on_error),
+    })
+    return sum_by(clean, FACT_KEYS, MEASURES)
 
 
 def case_facts(raw: DataFrame, on_error: str = "raise") -> DataFrame:

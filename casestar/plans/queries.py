@@ -18,12 +18,23 @@ from casestar.operators import joins as J
 from casestar.operators import reshape as R
 from casestar.plans import testviews as TV
 from casestar.plans.registry import register
+from casestar.session import materialize
 
 
 def _facts(spark, d):
     return FA.case_facts(TV.case_reports(spark, d))
 
 
+def _shared_facts(spark, d):
+    """Long facts written once to the shared checkpoint folder.
+
+    For queries that read the facts several times (bounds, geography, value
+    sets, the join): the raw aggregation runs once instead of per reader,
+    and a lost executor re-reads files instead of recomputing shuffles.
+    """
+    return materialize(_facts(spark, d), "facts")
+
+
 def _geo(spark, d, facts=None):
     facts = facts if facts is not None else _facts(spark, d)
     return D.geo_dim(facts)
@@ -32,7 +43,7 @@ def _geo(spark, d, facts=None):
 # --------------------------------------------------------------- flagship
 @register("star_facts", O.sql("SELECT * FROM star", "star"))
 def q_star_facts(spark, d):
-    return FA.star_facts(_facts(spark, d))
+    return FA.star_facts(_shared_facts(spark, d))
 
 
 # ------------------------------------------------------------ aggregation
@@ -86,20 +97,20 @@ def q_date_spine(spark, d):
 
 @register("geo_time_keys", O.sql("SELECT * FROM bridge", "bridge"))
 def q_geo_time_keys(spark, d):
-    facts = _facts(spark, d)
+    facts = _shared_facts(spark, d)
     return D.geo_time_keys(D.geo_dim(facts), D.date_dim(facts))
 
 
 @register("dense_span", O.sql("SELECT * FROM span", "span"))
 def q_dense_span(spark, d):
-    facts = _facts(spark, d)
+    facts = _shared_facts(spark, d)
     bridge = D.geo_time_keys(D.geo_dim(facts), D.date_dim(facts))
     return D.dense_span(bridge, facts)
 
 
 @register("densify_facts", O.sql("SELECT * FROM dense", "dense"))
 def q_densify_facts(spark, d):
-    facts = _facts(spark, d)
+    facts = _shared_facts(spark, d)
     bridge = D.geo_time_keys(D.geo_dim(facts), D.date_dim(facts))
     return FA.densify(D.dense_span(bridge, facts), facts)
 
@@ -313,7 +324,7 @@ from casestar.plans import series_plan as SP  # noqa: E402
    AND sp.Altersgruppe = f.Altersgruppe AND sp.Geschlecht = f.Geschlecht AND sp.Status = f.Status""",
     "span", "facts"))
 def q_join_left_fact(spark, d):
-    facts = _facts(spark, d)
+    facts = _shared_facts(spark, d)
     bridge = D.geo_time_keys(D.geo_dim(facts), D.date_dim(facts))
     span = D.dense_span(bridge, facts)
     return J.attach_facts(span, facts, FA.SPAN_JOIN_LEFT, FA.SPAN_JOIN_RIGHT).select(
@@ -334,13 +345,13 @@ def q_join_left_back(spark, d):
     f"SELECT g.*, CAST(1 AS BIGINT) AS ones, t.Datum, t.id_time, t.time_cat FROM geo g, time_dim t",
     "geo", "time_dim"))
 def q_join_cross(spark, d):
-    facts = _facts(spark, d)
+    facts = _shared_facts(spark, d)
     return J.cross(D.geo_dim(facts), D.date_dim(facts))
 
 
 @register("join_inner_multikey", O.sql("SELECT * FROM bridge", "bridge"))
 def q_join_inner_multikey(spark, d):
-    facts = _facts(spark, d)
+    facts = _shared_facts(spark, d)
     geo, time = D.geo_dim(facts), D.date_dim(facts)
     return D.geo_time_bridge(D.geo_time_dim(geo, time), D.state_time_dim(geo, time))
 
@@ -373,7 +384,7 @@ def q_join_inner_chain(spark, d):
     ON f.IdBundesland = g.IdBundesland AND f.Bundesland = g.Bundesland
    AND f.IdLandkreis = g.IdLandkreis AND f.Landkreis = g.Landkreis""", "facts", "geo_full"))
 def q_join_natural(spark, d):
-    facts = _facts(spark, d)
+    facts = _shared_facts(spark, d)
     geo = D.geo_dim(facts, TV.districts(spark, d), TV.district_category(spark, d))
     return J.natural_join(facts, geo)
 
@@ -441,7 +452,7 @@ def q_geo_dimension(spark, d):
   SELECT IdBundesland, Bundesland, IdLandkreis, Landkreis, ones, Datum, id_time, time_cat, id_lk_time
   FROM bridge""", "bridge"))
 def q_geo_time_dim(spark, d):
-    facts = _facts(spark, d)
+    facts = _shared_facts(spark, d)
     return D.geo_time_dim(D.geo_dim(facts), D.date_dim(facts))
 
 
@@ -449,7 +460,7 @@ def q_geo_time_dim(spark, d):
     'SELECT DISTINCT "index", IdBundesland, Bundesland, Datum, id_time, id_bl_time FROM bridge',
     "bridge"))
 def q_state_time_dim(spark, d):
-    facts = _facts(spark, d)
+    facts = _shared_facts(spark, d)
     return D.state_time_dim(D.geo_dim(facts), D.date_dim(facts))
 
 
@@ -739,7 +750,7 @@ def q_sink_tsv_export(spark, d):
 
 @register("sink_sparse_facts", O.sql("SELECT * FROM star", "star"))
 def q_sink_sparse_facts(spark, d):
-    facts = _facts(spark, d)
+    facts = _shared_facts(spark, d)
     bridge = D.geo_time_keys(D.geo_dim(facts), D.date_dim(facts))
     path = scratch_path(spark, "data_rki_tsv")
     SK.export_facts(FA.densify(D.dense_span(bridge, facts), facts), path)
