@@ -245,3 +245,54 @@ cte("geo_full", f"""
          CAST(1 AS BIGINT) AS ones
   FROM geo g LEFT JOIN districts d ON g.IdLandkreis = d.rs
   LEFT JOIN district_category c ON g.IdLandkreis = c.kreis_id""", "geo", "districts", "district_category")
+
+# ------------------------------------------------------------------ feeds
+cte("state_time", 'SELECT DISTINCT "index", IdBundesland, Bundesland, Datum, id_time, id_bl_time FROM bridge',
+    "bridge")
+
+cte("mobility", """
+  SELECT 'R-' || substr(r.r_name, 1, 2) AS iso_3166_2_code, r.r_name AS sub_region_1,
+         strftime(o.o_orderdate, '%Y-%m-%d') AS date,
+         CAST(SUM(CASE WHEN substr(o.o_orderpriority, 1, 1) = '1' THEN 1 ELSE 0 END) AS BIGINT) AS p1,
+         CAST(SUM(CASE WHEN substr(o.o_orderpriority, 1, 1) = '2' THEN 1 ELSE 0 END) AS BIGINT) AS p2,
+         CAST(SUM(CASE WHEN substr(o.o_orderpriority, 1, 1) = '3' THEN 1 ELSE 0 END) AS BIGINT) AS p3,
+         CAST(SUM(CASE WHEN substr(o.o_orderpriority, 1, 1) = '4' THEN 1 ELSE 0 END) AS BIGINT) AS p4,
+         CAST(SUM(CASE WHEN substr(o.o_orderpriority, 1, 1) = '5' THEN 1 ELSE 0 END) AS BIGINT) AS p5,
+         COUNT(*) AS p6
+  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
+  JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey
+  GROUP BY 1, 2, 3""")
+
+cte("policy", """
+  SELECT n.n_name AS CountryName, CAST(strftime(o.o_orderdate, '%Y%m%d') AS INTEGER) AS Date,
+         COUNT(*) AS StringencyIndex
+  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey
+  GROUP BY 1, 2""")
+
+cte("world_pairs", """
+  SELECT DISTINCT n.n_name AS country_region,
+         CASE WHEN n.n_name IN ('NATION_1', 'NATION_6') THEN '' ELSE CAST(e.user_id AS VARCHAR) END AS province_state
+  FROM events e JOIN customer c ON e.user_id = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey""")
+
+cte("country_lookup", """
+  SELECT lu.iso2, lu.country_region, lu.iso3, lu.lu_id, lu.province_state,
+         COALESCE(m.country_region_map, lu.country_region) AS country_region_map,
+         COALESCE(g.country_group, '') AS country_group
+  FROM (SELECT ROW_NUMBER() OVER (ORDER BY kind, key) - 1 AS lu_id, iso2, iso3,
+               COALESCE(Province_State, '') AS province_state, Country_Region AS country_region
+        FROM (SELECT 0 AS kind, CAST(n_nationkey AS BIGINT) AS key, CAST(NULL AS VARCHAR) AS Province_State,
+                     n_name AS Country_Region, 'N' || CAST(n_nationkey AS VARCHAR) AS iso2,
+                     'NAT' || CAST(n_nationkey AS VARCHAR) AS iso3 FROM nation
+              UNION ALL
+              SELECT 1, CAST(c.c_custkey AS BIGINT), CAST(c.c_custkey AS VARCHAR), n.n_name,
+                     'N' || CAST(n.n_nationkey AS VARCHAR), 'NAT' || CAST(n.n_nationkey AS VARCHAR)
+              FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey) b) lu
+  LEFT JOIN (SELECT n.n_name AS country_region,
+                    upper(substr(lower(n.n_name), 1, 1)) || substr(lower(n.n_name), 2) AS country_region_map
+             FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey WHERE r.r_name = 'ASIA') m
+    ON lu.country_region = m.country_region
+  LEFT JOIN (SELECT 'N' || CAST(n.n_nationkey AS VARCHAR) AS iso2, r.r_name AS country_group
+             FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey WHERE r.r_name = 'EUROPE') g
+    ON lu.iso2 = g.iso2
+  JOIN world_pairs p ON lu.country_region = p.country_region AND lu.province_state = p.province_state""",
+    "world_pairs")

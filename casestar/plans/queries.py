@@ -778,3 +778,46 @@ def _wide_sql(kind: str) -> str:
 def q_unpivot_date_columns(spark, d):
     return R.wide_dates_to_long(WD.wide_series(spark, d, "confirmed"), WD.IDS, "Country/Region",
                                 "Province/State", WD.COLLAPSE)
+
+
+# ------------------------------------------------------------------ feeds
+from casestar.plans import feeds as FD  # noqa: E402
+
+_MOB = list(FD.MOBILITY_RENAME.values())
+
+
+@register("mobility_feed", O.sql(
+    "SELECT lk.IdBundesland, mob.sub_region_1, CAST(mob.date AS DATE) AS Datum, "
+    + ", ".join(f'mob.p{i + 1} AS "{n}"' for i, n in enumerate(_MOB))
+    + """, st."index", st.Bundesland, st.id_time, st.id_bl_time
+  FROM mobility mob
+  JOIN (SELECT 'R-' || substr(r_name, 1, 2) AS iso_3166_2_code, CAST(r_regionkey AS BIGINT) AS IdBundesland
+        FROM region) lk ON mob.iso_3166_2_code = lk.iso_3166_2_code
+  JOIN state_time st ON st.IdBundesland = lk.IdBundesland AND st.Datum = CAST(mob.date AS DATE)""",
+    "mobility", "state_time"))
+def q_mobility_feed(spark, d):
+    facts = _shared_facts(spark, d)
+    st = D.state_time_dim(D.geo_dim(facts), D.date_dim(facts))
+    return FD.mobility_feed(FD.mobility_input(spark, d), TV.state_lookup(spark, d), st)
+
+
+POLICY_COUNTRY = "NATION_7"
+
+
+@register("policy_feed", O.sql(f"""
+  SELECT p.CountryName, p.Date, p.StringencyIndex, t.Datum, t.id_time, t.time_cat
+  FROM policy p JOIN time_dim t ON t.Datum = CAST(strptime(CAST(p.Date AS VARCHAR), '%Y%m%d') AS DATE)
+  WHERE p.CountryName = '{POLICY_COUNTRY}'""", "policy", "time_dim"))
+def q_policy_feed(spark, d):
+    return FD.policy_feed(FD.policy_input(spark, d), D.date_dim(_facts(spark, d)), POLICY_COUNTRY)
+
+
+@register("country_lookup", O.sql("SELECT * FROM country_lookup", "country_lookup"))
+def q_country_lookup(spark, d):
+    return FD.country_lookup(FD.lookup_input(spark, d), FD.map_names_input(spark, d),
+                             FD.groups_input(spark, d), WD.long_series(spark, d, "confirmed"))
+
+
+@register("world_series")
+def q_world_series(spark, d):
+    return FD.world_series(spark, d)
