@@ -1,0 +1,19 @@
+"""Streaming landing of raw files: each file lands once, reruns add nothing."""
+
+from casestar.plans import testviews as TV
+from casestar.streaming.landing import land_reports
+
+
+def test_land_reports_exactly_once(spark, small_dir, tmp_path):
+    raw = TV.case_reports(spark, small_dir)
+    landing, snap, ckpt = (str(tmp_path / n) for n in ("landing", "snapshot", "ckpt"))
+    first, second = raw.randomSplit([0.5, 0.5], seed=7)
+    first.write.option("header", True).mode("append").csv(landing)
+    n1 = land_reports(spark, landing, snap, ckpt)
+    assert n1 == first.count()
+    assert land_reports(spark, landing, snap, ckpt) == 0
+    second.write.option("header", True).mode("append").csv(landing)
+    n2 = land_reports(spark, landing, snap, ckpt)
+    assert n1 + n2 == raw.count()
+    landed = spark.read.parquet(snap).drop("_landed_from")
+    assert landed.exceptAll(raw).count() == 0 and raw.exceptAll(landed).count() == 0
