@@ -168,7 +168,8 @@ cte("tests_clean", """
   FROM daily""", "daily")
 
 W_ORD = "PARTITION BY lu_id ORDER BY date"
-cte("tests_est", f"""
+def est_body(src: str) -> str:
+    return f"""
   SELECT lu_id, date, tested_reported, tested_reported_or_nan, tested_announced,
          CASE WHEN n >= 2 THEN greatest((y1 - y0) / (x1 - x0) * (x - x0) + y0, CAST(0 AS DOUBLE))
               ELSE CAST(tested_announced AS DOUBLE) END AS tested
@@ -199,18 +200,25 @@ cte("tests_est", f"""
           SELECT *, CASE WHEN tested_reported_or_nan IS NOT NULL THEN x END AS kx,
                  CASE WHEN tested_reported_or_nan IS NOT NULL
                       THEN CAST(tested_reported_or_nan AS DOUBLE) END AS ky
-          FROM (SELECT *, CAST(ROW_NUMBER() OVER ({W_ORD}) - 1 AS DOUBLE) AS x FROM tests_clean) a
+          FROM (SELECT *, CAST(ROW_NUMBER() OVER ({W_ORD}) - 1 AS DOUBLE) AS x FROM {src}) a
         ) b
       ) c
     ) d
-  ) e""", "tests_clean")
+  ) e"""
+
 
-cte("tests_decomposed", """
+cte("tests_est", est_body("tests_clean"), "tests_clean")
+
+def dec_body(src: str) -> str:
+    return f"""
   SELECT lu_id, date, tested_reported, ta AS tested_announced,
          round_even(COALESCE(te - ta, 0), 0) AS tested_extrapolated, te AS tested,
          CAST(CASE WHEN tested_reported_or_nan IS NULL THEN 1 ELSE 0 END AS BIGINT) AS tested_is_extrapolated
   FROM (SELECT *, round_even(COALESCE(CAST(tested_announced AS DOUBLE), 0), 0) AS ta,
-               round_even(COALESCE(tested, 0), 0) AS te FROM tests_est) x""", "tests_est")
+               round_even(COALESCE(tested, 0), 0) AS te FROM {src}) x"""
+
+
+cte("tests_decomposed", dec_body("tests_est"), "tests_est")
 
 
 def lag0(c: str, n: int, name: str | None = None) -> str:
@@ -296,3 +304,58 @@ cte("country_lookup", """
     ON lu.iso2 = g.iso2
   JOIN world_pairs p ON lu.country_region = p.country_region AND lu.province_state = p.province_state""",
     "world_pairs")
+
+
+# ----------------------------------------------------------- world series
+def _world_sum(kind: str, name: str) -> str:
+    return f"CAST(COALESCE(SUM(c.v_{kind}), 0) AS BIGINT) AS {name}"
+
+
+cte("world_cells", """
+  SELECT CAST(e.user_id AS VARCHAR) AS ps, n.n_name AS cr, CAST(e.ts AS DATE) AS d,
+         SUM(CASE WHEN e.event_type = 'click' THEN CAST(round(e.value * 100) AS BIGINT) END) AS v_click,
+         SUM(CASE WHEN e.event_type = 'signup' THEN CAST(round(e.value * 100) AS BIGINT) END) AS v_signup,
+         SUM(CASE WHEN e.event_type = 'error' THEN CAST(round(e.value * 100) AS BIGINT) END) AS v_error
+  FROM events e JOIN customer c ON e.user_id = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey
+  GROUP BY 1, 2, 3""")
+
+cte("world_long", f"""
+  SELECT p.cr AS country_region,
+         CASE WHEN p.cr IN ('NATION_1', 'NATION_6') THEN '' ELSE COALESCE(p.ps, '') END AS province_state,
+         dd.d AS date, {_world_sum('click', 'confirmed')}, {_world_sum('signup', 'recovered')},
+         {_world_sum('error', 'deaths')}
+  FROM (SELECT DISTINCT ps, cr FROM world_cells) p CROSS JOIN (SELECT DISTINCT d FROM world_cells) dd
+  LEFT JOIN world_cells c ON c.ps = p.ps AND c.cr = p.cr AND c.d = dd.d
+  GROUP BY 1, 2, 3""", "world_cells")
+
+cte("world_te", """
+  SELECT lu.lu_id, CAST(t.date AS DATE) AS date,
+         CAST(COALESCE(SUM(COALESCE(t.total_tests, 0)), 0) AS BIGINT) AS tested
+  FROM (SELECT 'NAT' || CAST(n.n_nationkey AS VARCHAR) AS iso_code, n.n_name AS location,
+               strftime(e.ts, '%Y-%m-%d') AS date, SUM(CAST(round(e.value * 100) AS BIGINT)) AS total_tests
+        FROM events e JOIN customer c ON e.user_id = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey
+        WHERE e.event_type = 'purchase' GROUP BY 1, 2, 3) t
+  FULL OUTER JOIN (SELECT * FROM country_lookup WHERE iso3 IS NOT NULL) lu ON t.iso_code = lu.iso3
+  WHERE lu.lu_id IS NOT NULL AND t.date IS NOT NULL
+  GROUP BY 1, 2""", "country_lookup")
+
+cte("world_tests_clean", """
+  SELECT lu_id, date, tested AS tested_reported, NULLIF(tested, 0) AS tested_reported_or_nan FROM world_te""",
+    "world_te")
+cte("world_tests_est", est_body("world_tests_clean"), "world_tests_clean")
+cte("world_tests_dec", dec_body("world_tests_est"), "world_tests_est")
+
+cte("world_active", f"""
+  SELECT *, COALESCE(confirmed - deaths - recovered - probably_recovered, 0) AS active
+  FROM (SELECT *, greatest(least(lag_21_confirmed, confirmed) - recovered - deaths, 0) AS probably_recovered
+        FROM (SELECT *, {lag0('confirmed', 21)} FROM (
+          SELECT t.lu_id, w.date, w.country_region, w.province_state, w.confirmed, w.recovered, w.deaths,
+                 t.tested_reported, t.tested_announced, t.tested_extrapolated, t.tested, t.tested_is_extrapolated
+          FROM world_long w
+          JOIN country_lookup lu ON w.country_region = lu.country_region AND w.province_state = lu.province_state
+          JOIN world_tests_dec t ON t.lu_id = lu.lu_id AND t.date = w.date) j) a) b""",
+    "world_long", "country_lookup", "world_tests_dec")
+
+WORLD_LAGGED = ["confirmed", "recovered", "deaths", "tested", "active", "tested_is_extrapolated"]
+cte("world_series", "SELECT *, " + ", ".join(
+    [lag0(c, n) for n in (1, 7) for c in WORLD_LAGGED]) + " FROM world_active", "world_active")

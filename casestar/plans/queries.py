@@ -818,6 +818,6 @@ def q_country_lookup(spark, d):
                              FD.groups_input(spark, d), WD.long_series(spark, d, "confirmed"))
 
 
-@register("world_series")
+@register("world_series", O.sql("SELECT * FROM world_series", "world_series"))
 def q_world_series(spark, d):
     return FD.world_series(spark, d)
