@@ -60,7 +60,9 @@ def case_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     geo = n.join(r, n.n_regionkey == r.r_regionkey)
     cust = c.join(geo, c.c_nationkey == geo.n_nationkey)
     ords = o.join(cust, o.o_custkey == cust.c_custkey)
-    rows = li.join(ords, li.l_orderkey == ords.o_orderkey)
+    # Line items x orders is the big-big join: shuffle both on the order key
+    # and hash the smaller (order) side per partition; never broadcast it.
+    rows = li.join(ords.hint("shuffle_hash"), li.l_orderkey == ords.o_orderkey)
     qty = F.col("l_quantity").cast("bigint")
     return rows.select(
         F.col("r_regionkey").cast("bigint").alias("IdBundesland"),
