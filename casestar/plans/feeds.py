@@ -20,6 +20,7 @@ from casestar.operators.dimensions import with_row_id
 from casestar.plans import series_plan as SP
 from casestar.plans import world as WD
 from casestar.plans.testviews import event_cents, table
+from casestar.session import materialize
 
 # The mobility report's index columns and their report names.
 MOBILITY_RENAME = {
@@ -148,7 +149,11 @@ def tests_input(spark: SparkSession, sf_dir: str) -> DataFrame:
 def world_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three wide series + lookup + tests -> one daily table with lags."""
     keys = ["country_region", "province_state", "date"]
-    co, re_, de = (WD.long_series(spark, sf_dir, m) for m in ("confirmed", "recovered", "deaths"))
+    # One pivot for the three measures, written once: every series and the
+    # lookup's key list read it instead of re-running the pivot.
+    wide = materialize(WD.wide_all(spark, sf_dir), "world_wide")
+    co, re_, de = (WD.long_series(spark, sf_dir, m, wide)
+                   for m in ("confirmed", "recovered", "deaths"))
     lu = country_lookup(lookup_input(spark, sf_dir), map_names_input(spark, sf_dir),
                         groups_input(spark, sf_dir), co)
     audited = J.match_audit(tests_input(spark, sf_dir), lu.filter(F.col("iso3").isNotNull()),

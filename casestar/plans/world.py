@@ -39,8 +39,28 @@ def wide_series(spark: SparkSession, sf_dir: str, measure: str) -> DataFrame:
             .agg(F.sum(F.when(F.col("event_type") == kind, event_cents()))))
 
 
-def long_series(spark: SparkSession, sf_dir: str, measure: str) -> DataFrame:
+def wide_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All three measures from one pivot: columns ``<label>_<measure>``."""
+    rows = _events_with_country(spark, sf_dir).withColumn(
+        "day_label", F.date_format("ts", "M/d/yy"))
+    aggs = [F.sum(F.when(F.col("event_type") == kind, event_cents())).alias(m)
+            for m, kind in MEASURE_EVENT.items()]
+    return (rows.groupBy(F.col("user_id").cast("string").alias("Province/State"),
+                         F.col("n_name").alias("Country/Region"))
+            .pivot("day_label").agg(*aggs))
+
+
+def wide_of(wide: DataFrame, measure: str) -> DataFrame:
+    """One measure's wide table (date-label columns) out of ``wide_all``."""
+    suffix = f"_{measure}"
+    cols = [c for c in wide.columns if c.endswith(suffix)]
+    return wide.select(*[F.col(f"`{c}`") for c in IDS],
+                       *[F.col(f"`{c}`").alias(c[:-len(suffix)]) for c in cols])
+
+
+def long_series(spark: SparkSession, sf_dir: str, measure: str,
+                wide: DataFrame | None = None) -> DataFrame:
     """(country_region, province_state, date, <measure>) summed."""
-    long = wide_dates_to_long(wide_series(spark, sf_dir, measure), IDS, "Country/Region",
-                              "Province/State", COLLAPSE)
+    w = wide_series(spark, sf_dir, measure) if wide is None else wide_of(wide, measure)
+    long = wide_dates_to_long(w, IDS, "Country/Region", "Province/State", COLLAPSE)
     return long.withColumnRenamed("number", measure)
