@@ -35,6 +35,20 @@ def _shared_facts(spark, d):
     return materialize(_facts(spark, d), "facts")
 
 
+def _dims(spark, d):
+    """Geography and date dimensions from one district-sized written summary.
+
+    Both dimensions need only the distinct geography and the date bounds of
+    the facts: one aggregation pass yields per-geography (min, max) dates,
+    and only that summary (one row per district) is written.
+    """
+    summary = materialize(
+        _facts(spark, d).groupBy(*D.GEO_KEYS).agg(
+            F.min("Meldedatum").alias("lo"), F.max("Meldedatum").alias("hi")), "geo_bounds")
+    dates = summary.select(F.explode(F.array("lo", "hi")).alias("Meldedatum"))
+    return D.geo_dim(summary), D.date_dim(dates)
+
+
 def _geo(spark, d, facts=None):
     facts = facts if facts is not None else _facts(spark, d)
     return D.geo_dim(facts)
@@ -97,8 +111,7 @@ def q_date_spine(spark, d):
 
 @register("geo_time_keys", O.sql("SELECT * FROM bridge", "bridge"))
 def q_geo_time_keys(spark, d):
-    facts = _shared_facts(spark, d)
-    return D.geo_time_keys(D.geo_dim(facts), D.date_dim(facts))
+    return D.geo_time_keys(*_dims(spark, d))
 
 
 @register("dense_span", O.sql("SELECT * FROM span", "span"))
@@ -345,14 +358,12 @@ def q_join_left_back(spark, d):
     f"SELECT g.*, CAST(1 AS BIGINT) AS ones, t.Datum, t.id_time, t.time_cat FROM geo g, time_dim t",
     "geo", "time_dim"))
 def q_join_cross(spark, d):
-    facts = _shared_facts(spark, d)
-    return J.cross(D.geo_dim(facts), D.date_dim(facts))
+    return J.cross(*_dims(spark, d))
 
 
 @register("join_inner_multikey", O.sql("SELECT * FROM bridge", "bridge"))
 def q_join_inner_multikey(spark, d):
-    facts = _shared_facts(spark, d)
-    geo, time = D.geo_dim(facts), D.date_dim(facts)
+    geo, time = _dims(spark, d)
     return D.geo_time_bridge(D.geo_time_dim(geo, time), D.state_time_dim(geo, time))
 
 
@@ -452,16 +463,14 @@ def q_geo_dimension(spark, d):
   SELECT IdBundesland, Bundesland, IdLandkreis, Landkreis, ones, Datum, id_time, time_cat, id_lk_time
   FROM bridge""", "bridge"))
 def q_geo_time_dim(spark, d):
-    facts = _shared_facts(spark, d)
-    return D.geo_time_dim(D.geo_dim(facts), D.date_dim(facts))
+    return D.geo_time_dim(*_dims(spark, d))
 
 
 @register("state_time_dim", O.sql(
     'SELECT DISTINCT "index", IdBundesland, Bundesland, Datum, id_time, id_bl_time FROM bridge',
     "bridge"))
 def q_state_time_dim(spark, d):
-    facts = _shared_facts(spark, d)
-    return D.state_time_dim(D.geo_dim(facts), D.date_dim(facts))
+    return D.state_time_dim(*_dims(spark, d))
 
 
 @register("sequential_row_id", O.sql(
@@ -796,8 +805,7 @@ _MOB = list(FD.MOBILITY_RENAME.values())
   JOIN state_time st ON st.IdBundesland = lk.IdBundesland AND st.Datum = CAST(mob.date AS DATE)""",
     "mobility", "state_time"))
 def q_mobility_feed(spark, d):
-    facts = _shared_facts(spark, d)
-    st = D.state_time_dim(D.geo_dim(facts), D.date_dim(facts))
+    st = D.state_time_dim(*_dims(spark, d))
     return FD.mobility_feed(FD.mobility_input(spark, d), TV.state_lookup(spark, d), st)
 
 
