@@ -42,3 +42,47 @@ def build_star(raw: DataFrame, districts: DataFrame | None = None,
         data_geo=geo,
         data_max_date=max_date_table(facts, "Meldedatum"),
     )
+
+
+def run_job(spark, raw_path: str, out_dir: str, districts: DataFrame | None = None,
+            categories: DataFrame | None = None, snapshot: bool = True) -> StarSchema:
+    """The full refresh: read the landed raw file(s), snapshot, build, export.
+
+    Writes ``source_snapshot`` (Parquet), ``data_rki`` (non-zero facts),
+    ``data_geo_time``, ``data_time``, ``data_geo`` and ``data_max_date`` as
+    TSV folders (BOM, header, CRLF). The fact export is written by all tasks
+    in parallel; the small dimension exports as one file each.
+    """
+    from casestar.sources.readers import read_facts
+    from casestar.sources.sinks import export_facts, export_tsv, write_snapshot
+
+    raw = read_facts(spark, raw_path)
+    if snapshot:
+        write_snapshot(raw, f"{out_dir}/source_snapshot")
+        raw = spark.read.parquet(f"{out_dir}/source_snapshot")
+    star = build_star(raw, districts, categories)
+    export_tsv(star.data_max_date, f"{out_dir}/data_max_date", single_file=True)
+    export_facts(star.data_rki, f"{out_dir}/data_rki")
+    export_tsv(star.data_geo_time, f"{out_dir}/data_geo_time")
+    export_tsv(star.data_time, f"{out_dir}/data_time", single_file=True)
+    export_tsv(star.data_geo, f"{out_dir}/data_geo", single_file=True)
+    return star
+
+
+def main(argv: list[str] | None = None) -> None:
+    import argparse
+
+    from casestar.session import build_session
+
+    ap = argparse.ArgumentParser(description="case reports -> star schema exports")
+    ap.add_argument("raw_path")
+    ap.add_argument("out_dir")
+    ap.add_argument("--master", default=None)
+    args = ap.parse_args(argv)
+    spark = build_session(args.master or "local[*]")
+    run_job(spark, args.raw_path, args.out_dir)
+    spark.stop()
+
+
+if __name__ == "__main__":
+    main()
