@@ -63,7 +63,7 @@ def outer_join(a: DataFrame, b: DataFrame, on: Sequence[str] | None = None,
     return a.join(b, _cond(a, b, left_on, right_on, null_safe), "full")
 
 
-def cross(a: DataFrame, b: DataFrame, max_rows: int = 100_000) -> DataFrame:
+def cross(a: DataFrame, b: DataFrame, max_rows: int = 10_000) -> DataFrame:
     """Every row of ``a`` with every row of the small dimension ``b``.
 
     Expressed without a join: ``b`` is packed into one array by a scalar
