@@ -12,7 +12,7 @@ SMALL = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def spark():
     from casestar.session import build_session
-    s = build_session("local[*]", app="casestar-tests", shuffle_partitions=8, driver_memory="4g")
+    s = build_session("local[*]", app="casestar-tests", shuffle_partitions=2, driver_memory="4g")
     yield s
     s.stop()
 
