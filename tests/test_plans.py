@@ -27,3 +27,10 @@ def test_outer_joins_become_left_joins(spark, small_dir):
     geo = D.geo_dim(facts, TV.districts(spark, small_dir), TV.district_category(spark, small_dir))
     opt = geo._jdf.queryExecution().optimizedPlan().toString()
     assert "FullOuter" not in opt and "LeftOuter" in opt
+
+
+def test_fact_sum_combines_map_side(spark, small_dir):
+    """Both fact sums aggregate partially before their shuffle (hot keys)."""
+    wide = FA.normalise_and_sum(TV.case_reports(spark, small_dir))
+    plan = wide._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("partial_sum") >= 2
