@@ -49,11 +49,6 @@ def _dims(spark, d):
     return D.geo_dim(summary), D.date_dim(dates)
 
 
-def _geo(spark, d, facts=None):
-    facts = facts if facts is not None else _facts(spark, d)
-    return D.geo_dim(facts)
-
-
 # --------------------------------------------------------------- flagship
 @register("star_facts", O.sql("SELECT * FROM star", "star"))
 def q_star_facts(spark, d):
