@@ -154,8 +154,9 @@ def world_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     wide = materialize(WD.wide_all(spark, sf_dir), "world_wide")
     co, re_, de = (WD.long_series(spark, sf_dir, m, wide)
                    for m in ("confirmed", "recovered", "deaths"))
-    lu = country_lookup(lookup_input(spark, sf_dir), map_names_input(spark, sf_dir),
-                        groups_input(spark, sf_dir), co)
+    # The lookup is read twice (tests side and series side): write it once.
+    lu = materialize(country_lookup(lookup_input(spark, sf_dir), map_names_input(spark, sf_dir),
+                                    groups_input(spark, sf_dir), co), "country_lookup")
     audited = J.match_audit(tests_input(spark, sf_dir), lu.filter(F.col("iso3").isNotNull()),
                             ["iso_code"], ["iso3"],
                             ["iso_code", "iso3", "location", "country_region"])
