@@ -1 +1,3 @@
-"""casestar.streaming."""
+"""Structured Streaming: incremental, exactly-once landing of raw files."""
+
+from casestar.streaming.landing import land_reports  # noqa: F401
