@@ -59,24 +59,26 @@ def case_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_quantity", "l_returnflag")
     geo = n.join(r, n.n_regionkey == r.r_regionkey)
     cust = c.join(geo, c.c_nationkey == geo.n_nationkey)
-    ords = o.join(cust, o.o_custkey == cust.c_custkey)
-    # Line items x orders is the big-big join: shuffle both on the order key
-    # and hash the smaller (order) side per partition; never broadcast it.
-    rows = li.join(ords.hint("shuffle_hash"), li.l_orderkey == ords.o_orderkey)
-    qty = F.col("l_quantity").cast("bigint")
-    return rows.select(
+    # Per-order attributes are computed once per order, before the join.
+    ords = o.join(cust, o.o_custkey == cust.c_custkey).select(
+        "o_orderkey",
         F.col("r_regionkey").cast("bigint").alias("IdBundesland"),
         F.col("r_name").alias("Bundesland"),
         (F.col("r_regionkey").cast("bigint") * 1000 + F.col("n_nationkey")).alias("IdLandkreis"),
         F.col("n_name").alias("Landkreis"),
         F.date_format("o_orderdate", "yyyy/MM/dd HH:mm:ss").alias("Meldedatum"),
         _map("c_mktsegment", SEGMENT_AGE).alias("Altersgruppe"),
-        _map("o_orderstatus", STATUS_SEX).alias("Geschlecht"),
-        qty.alias("AnzahlFall"),
-        F.when(F.col("l_returnflag") == "R", qty).otherwise(F.lit(0).cast("bigint"))
-        .alias("AnzahlTodesfall"),
-        F.when(F.col("l_returnflag") == "A", qty).otherwise(F.lit(0).cast("bigint"))
-        .alias("AnzahlGenesen"),
+        _map("o_orderstatus", STATUS_SEX).alias("Geschlecht"))
+    # Line items x orders is the big-big join: shuffle both on the order key
+    # and hash the smaller (order) side per partition; never broadcast it.
+    rows = li.join(ords.hint("shuffle_hash"), li.l_orderkey == ords.o_orderkey)
+    qty = F.col("l_quantity").cast("bigint")
+    zero = F.lit(0).cast("bigint")
+    return rows.select(
+        "IdBundesland", "Bundesland", "IdLandkreis", "Landkreis", "Meldedatum", "Altersgruppe",
+        "Geschlecht", qty.alias("AnzahlFall"),
+        F.when(F.col("l_returnflag") == "R", qty).otherwise(zero).alias("AnzahlTodesfall"),
+        F.when(F.col("l_returnflag") == "A", qty).otherwise(zero).alias("AnzahlGenesen"),
     )
 
 
