@@ -25,3 +25,22 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from casestar.llm import quality_rules
     return quality_rules.quality_report(table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_lookup_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from casestar.llm import lookup_sharding
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lookup_sharding.assign_shards(docs).select("doc_id", "shard")
+
+
+@query
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from casestar.llm import mixing
+    return mixing.mix_report(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from casestar.llm import secret_scan
+    return secret_scan.secret_report(table(spark, sf_dir, "documents"))
