@@ -34,6 +34,12 @@ def op5_lookup_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookup_sharding.assign_shards(docs).select("doc_id", "shard")
 
 
+@query
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from casestar.llm import decontaminate
+    return decontaminate.contamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from casestar.llm import mixing
