@@ -27,6 +27,12 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_report(table(spark, sf_dir, "documents"))
 
 
+@query
+def op2_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from casestar.llm import order_minhash
+    return order_minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @query
 def op5_lookup_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     from casestar.llm import lookup_sharding
