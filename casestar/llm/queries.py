@@ -56,3 +56,27 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     from casestar.llm import secret_scan
     return secret_scan.secret_report(table(spark, sf_dir, "documents"))
+
+
+@query
+def op3_warc_zstd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from casestar.llm import warc_zstd
+    return warc_zstd.archive_report(table(spark, sf_dir, "pages"))
+
+
+@query
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from casestar.llm import toxicity
+    return toxicity.toxicity_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op7_quality_qda(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from casestar.llm import quality_qda
+    return quality_qda.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from casestar.llm import token_counts
+    return token_counts.token_report(table(spark, sf_dir, "documents"))
