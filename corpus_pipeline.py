@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from casestar.llm import quality_rules
+from casestar.llm import decontaminate, lookup_sharding, mixing, order_minhash, quality_rules
 from casestar.llm.common import table
 from casestar.session import materialize
 
@@ -14,8 +14,32 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_rules.keep_good(docs)
 
 
+def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate group, that with the smallest doc_id."""
+    return order_minhash.keep_one(docs)
+
+
+def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that are not contaminated by the benchmark."""
+    return decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"))
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mix of the sources: a row per document and pass with the words it takes."""
+    return mixing.mixed_documents(docs)
+
+
+def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mixed documents with their output shard."""
+    return lookup_sharding.assign_shards(docs)
+
+
 STAGES = [
     ("quality_rules", quality),
+    ("near_dedup", deduplicate),
+    ("decontamination", clean),
+    ("mixing", mix),
+    ("sharding", shard),
 ]
 
 #: Near-duplicate groups are not expressible in SQL.
