@@ -11,11 +11,14 @@ so many k-mers in order that matches / (all k-mers of both - matches) reaches
 components); its smallest doc_id names it and stays.
 
 Scale: exact copies are one node before anything is compared. In a bucket of
-equal sketches nobody is compared with everybody: each round draws one pivot per
-bucket and compares the members of other components with it; rounds go on, with
-other pivots, until one finds no new link. So pairs are linear in bucket sizes,
-a large group collapses in the first round, and hot buckets are joins that
-Spark splits. Each round's links and components are written to shared storage.
+equal sketches nobody is compared with everybody: each round has one pivot per
+bucket, and members of other components are compared with it. The first pivot is
+the smallest node, the second the most linked one (the centre of a star); from
+then on each component in a bucket sends one member, drawn anew each round, and
+one of them is the pivot, until a round finds no new link. So pairs are linear
+in bucket sizes, a large group collapses in the first rounds, and hot buckets are
+joins that Spark splits. No pair is compared twice. Each round's links and components
+are written to shared storage.
 
 Edge cases: null, empty and blank texts have no k-mers and stay by themselves
 (``keep_one`` keeps one row per id of them); a text of under five words has one
@@ -72,9 +75,9 @@ def labelled_kmers(word_hashes: np.ndarray, k: int = SHINGLE) -> np.ndarray:
         first[same] = False
         starts = np.flatnonzero(first)
         occurrence = np.arange(n) - starts[np.cumsum(first) - 1]
-        label = np.empty(n, np.uint64)
-        label[order] = occurrence.astype(np.uint64)
-        x = _mixed(x + label * _MUL)
+        again = occurrence > 0
+        at = order[again]
+        x[at] = _mixed(x[at] + occurrence[again].astype(np.uint64) * _MUL)
     return x
 
 
@@ -203,15 +206,21 @@ def components(links: DataFrame) -> DataFrame:
         labels = new.select("node", "comp")
 
 
-def _round(buckets: DataFrame, labels: DataFrame | None, turn: int, threshold: float) -> DataFrame:
-    """Candidate pairs of one round, each once: the pivot of a bucket with the
-    members of other components. ``buckets``: (key, node, n), more than one node each."""
+def _round(buckets: DataFrame, labels: DataFrame | None, links: DataFrame | None, turn: int,
+           threshold: float) -> DataFrame:
+    """Candidate pairs of one round, each once: the pivot of a bucket with members
+    of other components. ``buckets``: (key, node, n), more than one node each."""
+    order = F.xxhash64("node", "key", F.lit(turn))
     if labels is None:
-        rows = buckets.withColumn("comp", F.col("node"))
-        order = F.col("node")
+        rows, order = buckets.withColumn("comp", F.col("node")), F.col("node")
     else:
         rows = buckets.join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-        order = F.xxhash64("node", "key", F.lit(turn))
+        if turn == 1:
+            rows = rows.join(degrees(links), "node", "left")
+            order = F.struct(-F.coalesce("links", F.lit(0)), "node")
+        else:
+            rows = rows.groupBy("key", "comp").agg(F.min_by(F.struct("node", "n"), order).alias("m")).select(
+                "key", "comp", "m.node", "m.n")
     pivots = rows.groupBy("key").agg(
         F.min_by(F.struct("node", "comp", "n"), order).alias("pivot"), F.min("comp").alias("lo"),
         F.max("comp").alias("hi")).filter("lo <> hi").select(
@@ -221,6 +230,11 @@ def _round(buckets: DataFrame, labels: DataFrame | None, turn: int, threshold: f
     return met.select(F.least("node", "p").alias("a"), F.greatest("node", "p").alias("b")).distinct()
 
 
+def degrees(links: DataFrame) -> DataFrame:
+    return links.select("a").union(links.select("b")).groupBy(F.col("a").alias("node")).agg(
+        F.count("*").alias("links"))
+
+
 def group(df: DataFrame, id_col: str = "doc_id", text: str = "text", threshold: float = SIMILARITY,
           n_sketches: int = SKETCHES, picks: int = PICKS) -> tuple[DataFrame, DataFrame]:
     """((doc_id, node) per row, (node, class_id, links) per node). ``class_id`` is
@@ -236,9 +250,14 @@ def group(df: DataFrame, id_col: str = "doc_id", text: str = "text", threshold:
     texts = materialize(ws.select(node_of(F.col("w")).alias("node"), word_hashes(F.col("w")).alias("w")).filter(
         "node is not null").groupBy("node").agg(F.first("w").alias("w")).join(members, "node", "left_semi"), "omh_texts")
 
-    links = labels = None
+    links = labels = tried = None
     for turn in range(MAX_ROUNDS):
-        found = materialize(verify(_round(buckets, labels, turn, threshold), texts, threshold), "omh_links")
+        pairs = _round(buckets, labels, links, turn, threshold)
+        if tried is not None:
+            pairs = pairs.join(tried, ["a", "b"], "left_anti")
+        pairs = materialize(pairs, "omh_pairs")
+        tried = pairs if tried is None else tried.union(pairs)
+        found = materialize(verify(pairs, texts, threshold), "omh_links")
         if found.isEmpty():
             break
         links = found if links is None else links.union(found)
@@ -255,17 +274,14 @@ def group(df: DataFrame, id_col: str = "doc_id", text: str = "text", threshold:
         alone = over.join(labels, over["comp"] == labels["node"], "left_anti").select(
             F.col("comp").alias("node"), F.col("top").alias("comp"))
         labels = materialize(old.union(alone), "omh_labels")
-
     ids = nodes.select("node", "first_id")
     if labels is None:
         return rows.select("doc_id", "node"), ids.select(
             "node", F.col("node").alias("comp"), "first_id", F.col("first_id").alias("class_id"),
             F.lit(0).cast("long").alias("links"))
-    degree = links.select("a").union(links.select("b")).groupBy(F.col("a").alias("node")).agg(
-        F.count("*").alias("links"))
     named = ids.join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     classes = named.groupBy("comp").agg(F.min("first_id").alias("class_id"))
-    named = named.join(classes, "comp").join(degree, "node", "left").select(
+    named = named.join(classes, "comp").join(degrees(links), "node", "left").select(
         "node", "comp", "first_id", "class_id", F.coalesce("links", F.lit(0)).cast("long").alias("links"))
     return rows.select("doc_id", "node"), materialize(named, "omh_classes")
 
