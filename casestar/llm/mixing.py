@@ -33,7 +33,7 @@ from math import isqrt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from casestar.llm.common import let, words
+from casestar.llm.common import fresh, let, words
 from casestar.session import materialize
 
 WEIGHTS = (3, 1, 2)
@@ -194,12 +194,11 @@ def draw_slots(sources: DataFrame, block_words: int, slots_per_shard: int) -> Da
 
 
 def mix(df: DataFrame, block_words: int = BLOCK_WORDS, slots_per_shard: int = SLOTS_PER_SHARD,
-        volume: float = VOLUME, keep: list[str] | None = None) -> Mix:
-    """Plan the mix of documents (columns doc_id, text, source). ``keep`` lists
-    columns of ``df`` to carry along, as a struct ``row``."""
+        volume: float = VOLUME) -> Mix:
+    """Plan the mix of documents (columns doc_id, text, source). Only numbers are
+    shuffled and written; ``mark``, the hash of a row's columns, leads back to it."""
     size = F.size(words(F.col("text"))).cast("long")
-    sized = df.select("doc_id", "source", size.alias("size"), F.xxhash64(
-        "doc_id", "source", "text").alias("mark"), *([F.struct(*keep).alias("row")] if keep else []))
+    sized = df.select("doc_id", "source", size.alias("size"), mark_of(df).alias("mark"))
     sized = materialize(sized, "mix_sizes")
     per_source = sized.groupBy("source").agg(F.sum("size").alias("size"), F.count("*").alias("docs"))
     sources = materialize(source_targets(per_source.select("source", "size"), volume=volume), "mix_targets")
@@ -211,6 +210,11 @@ def mix(df: DataFrame, block_words: int = BLOCK_WORDS, slots_per_shard: int = SL
     return Mix(docs, sources, draw_slots(sources, block_words, slots_per_shard), pieces_of(docs, block_words))
 
 
+def mark_of(df: DataFrame) -> Column:
+    """Hash of all columns; rows with the same mark are the same row."""
+    return F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+
+
 def _few(sources: DataFrame, bound: int = 100_000) -> bool:
     """Whether the table of sources is proven small enough to broadcast."""
     return sources.count() <= bound
@@ -236,22 +240,26 @@ def mixed_documents(df: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     pass that takes words of it. A document taken whole keeps its text; of one
     taken in part the text holds the taken words, a blank between words and a
     line break where some are left out. ``n_chars``, if there, is recomputed."""
-    columns = df.columns
-    m = mix(df, block_words, keep=columns)
-    key = ["rank", "chunk", "n"]
-    spans = taken_spans(m).groupBy(*key, "pass").agg(
+    columns, mark = df.columns, fresh(df, "mark")
+    m = mix(df, block_words)
+    spans = taken_spans(m).groupBy("rank", "chunk", "n", "pass").agg(
         F.array_sort(F.collect_list(F.struct("at", "taken"))).alias("spans"), F.sum("taken").alias("taken"))
-    joined = m.docs.join(spans, key)
+    takes = m.docs.select("rank", "chunk", "n", "size", "mark").join(spans, ["rank", "chunk", "n"]).select(
+        F.col("mark").alias(mark), F.struct("spans", "taken", "size").alias(f"{mark}take"))
+    texts = df.withColumn(mark, mark_of(df))
+    if m.docs.select("mark").distinct().count() < m.docs.count():   # a repeated row has a take of its own for each
+        texts = texts.dropDuplicates([mark])
+    joined = texts.join(takes, mark)
+    take = F.col(f"{mark}take")
 
     def cut(ws: Column) -> Column:
-        parts = F.transform(F.col("spans"), lambda s: F.array_join(
+        parts = F.transform(take["spans"], lambda s: F.array_join(
             F.slice(ws, (s["at"] + 1).cast("int"), s["taken"].cast("int")), " "))
-        glue = F.transform(F.col("spans"), lambda s, i: F.when(i == 0, "").when(
-            F.get(F.col("spans"), i - 1)["at"] + F.get(F.col("spans"), i - 1)["taken"] == s["at"], " ").otherwise("\n"))
+        glue = F.transform(take["spans"], lambda s, i: F.when(i == 0, "").when(
+            F.get(take["spans"], i - 1)["at"] + F.get(take["spans"], i - 1)["taken"] == s["at"], " ").otherwise("\n"))
         return F.array_join(F.zip_with(glue, parts, lambda g, p: F.concat(g, p)), "")
 
-    whole = F.col("taken") == F.col("size")
-    text = F.when(whole, F.col("row")["text"]).otherwise(let(words(F.col("row")["text"]), cut))
-    out = joined.withColumn("mixed_text", text)
-    shown = {"text": F.col("mixed_text"), "n_chars": F.length("mixed_text").cast("long")}
-    return out.select(*[shown.get(c, F.col("row")[c]).alias(c) for c in columns])
+    text = F.when(take["taken"] == take["size"], F.col("text")).otherwise(let(words(F.col("text")), cut))
+    out = joined.withColumn(f"{mark}text", text)
+    shown = {"text": F.col(f"{mark}text"), "n_chars": F.length(f"{mark}text").cast("long")}
+    return out.select(*[shown.get(c, F.col(f"`{c}`")).alias(c) for c in columns])

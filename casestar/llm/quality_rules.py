@@ -187,17 +187,17 @@ def fit(df: DataFrame, vote: str) -> LabelModel:
 
 
 def with_quality(df: DataFrame, text: str = "text", out: str = "quality",
-                 keep_text: bool = True) -> DataFrame:
+                 model: LabelModel | None = None) -> DataFrame:
     """All columns of ``df`` plus a struct ``out``: the statistics, the votes,
-    ``base_failed``, the ``posterior`` of being good and ``kept``.
-
-    The scored rows are written once, so that the texts are read once for the
-    statistics and the votes serve both the estimation and the decision.
-    """
+    ``base_failed``, the ``posterior`` of being good and ``kept``. Without a given
+    model, one pass over the texts counts the vote patterns it is fitted on; the
+    texts are not written."""
     stats, vote = fresh(df, "stats"), fresh(df, "votes")
     scored = statistics(df, text, stats).withColumn(vote, votes(F.col(stats)))
-    scored = materialize(scored if keep_text else scored.drop(text), "quality_votes")
-    model = fit(scored, vote)
+    return _judged(scored, stats, vote, out, model or fit(scored, vote))
+
+
+def _judged(scored: DataFrame, stats: str, vote: str, out: str, model: LabelModel) -> DataFrame:
     s, post = F.col(stats), model.posterior(F.col(vote))
     return scored.withColumn(out, F.struct(
         s.alias("stats"), F.col(vote).alias("votes"), base_failed(s).alias("base_failed"),
@@ -211,9 +211,12 @@ def keep_good(df: DataFrame, text: str = "text") -> DataFrame:
 
 
 def quality_report(docs: DataFrame) -> DataFrame:
-    """Per document: the base statistics, the verdict and the posterior."""
+    """Per document: the base statistics, the verdict and the posterior. The
+    statistics are written once and serve both the estimation and the verdict."""
     q = F.col("__q")
-    scored = with_quality(docs.select("doc_id", "text"), "text", "__q", keep_text=False)
+    stats = statistics(docs.select("doc_id", "text"), "text", "__s").select("doc_id", "__s")
+    stats = materialize(stats.withColumn("__v", votes(F.col("__s"))), "quality_votes")
+    scored = _judged(stats, "__s", "__v", "__q", fit(stats, "__v"))
     s = q["stats"]
     return scored.select(
         "doc_id", s["n_words"].alias("n_words"), s["word_chars"].alias("word_chars"),
