@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,6 +26,15 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
             .filter(F.col("count") > 1))
 
 
+def unique_by(df: DataFrame, keys: Sequence[str], what: str) -> DataFrame:
+    """``df`` unchanged, but the job fails if two rows agree on ``keys`` (O55, T13,
+    T31; NULL keys count as equal). For dimensions and lookups, before a join."""
+    twice = F.count(F.lit(1)).over(Window.partitionBy(*keys)) > 1
+    fail = F.raise_error(F.lit(f"{what}: more than one row for the same {', '.join(keys)}"))
+    checked = df.withColumn("__twice", twice)
+    return checked.withColumn(keys[0], F.when(F.col("__twice"), fail).otherwise(F.col(keys[0]))).drop("__twice")
+
+
 def key_set_diff(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Key rows present on one side only, with multiplicity."""
     ka, kb = a.select(*keys), b.select(*keys)

@@ -24,7 +24,9 @@ from pyspark.sql import functions as F
 
 from casestar.functions.columns import PERIOD_BOUNDS, PERIOD_LAST_LABEL, period_bucket
 from casestar.operators.aggregate import bounds_scalar
-from casestar.operators.joins import outer_join
+from casestar.operators.checks import unique_by
+from casestar.operators.joins import cross, outer_join
+from casestar.session import materialize
 
 GEO_KEYS = ["IdBundesland", "Bundesland", "IdLandkreis", "Landkreis"]
 STATE_KEYS = ["IdBundesland", "Bundesland"]
@@ -60,14 +62,14 @@ def geo_dim(facts: DataFrame, districts: DataFrame | None = None,
     the fact side; Catalyst turns both into left outer joins (T14). Only
     geographies that have facts survive.
     """
-    geo = facts.select(*GEO_KEYS).distinct()
+    geo = unique_by(facts.select(*GEO_KEYS).distinct(), ["IdLandkreis"], "geography")
     drop = []
     if districts is not None:
-        geo = outer_join(geo, districts.select("rs", "population"),
+        geo = outer_join(geo, unique_by(districts.select("rs", "population"), ["rs"], "district lookup"),
                          left_on=["IdLandkreis"], right_on=["rs"])
         drop.append("rs")
     if categories is not None:
-        geo = outer_join(geo, categories, left_on=["IdLandkreis"], right_on=["kreis_id"])
+        geo = outer_join(geo, unique_by(categories, ["kreis_id"], "category lookup"), left_on=["IdLandkreis"], right_on=["kreis_id"])
         drop += ["kreis_id", "krs17"]
     return (geo.withColumn("ones", F.lit(1).cast("bigint"))
             .drop(*drop)
@@ -78,8 +80,10 @@ def geo_ranked(geo: DataFrame) -> DataFrame:
     """Add ``geo_rank``, ``state_first`` and ``state_rank`` to a geo dimension.
 
     Geographies are ordered by (state id, district code); a state is ranked
-    by its first geography. These windows see only the dimension rows.
+    by its first geography. These windows see only the dimension rows, one per
+    district: a district with two names fails the job.
     """
+    geo = unique_by(geo, ["IdLandkreis"], "geography")
     order = Window.orderBy("IdBundesland", "IdLandkreis", "Bundesland", "Landkreis")
     g = geo.withColumn("geo_rank", (F.row_number().over(order) - 1).cast("bigint"))
     g = g.withColumn("state_first", F.min("geo_rank").over(Window.partitionBy(*STATE_KEYS)))
@@ -146,33 +150,17 @@ def geo_time_keys(geo: DataFrame, time: DataFrame) -> DataFrame:
     }).select(*BRIDGE_COLS)
 
 
-def value_set(df: DataFrame, col: str, max_values: int = 10_000) -> Column:
-    """Sorted distinct values of ``col`` as one array (scalar subquery).
-
-    The distinct runs distributed; only the deduplicated values are packed,
-    and the job fails if there are more than ``max_values`` of them.
-    """
-    packed = df.select(col).distinct().agg(
-        F.count(F.lit(1)).alias("n"), F.sort_array(F.collect_list(col)).alias("v"))
-    return packed.select(
-        F.when(F.col("n") > max_values,
-               F.raise_error(F.lit(f"value_set({col}): more than {max_values} values")))
-        .otherwise(F.col("v"))).scalar()
-
-
-def dense_span(bridge: DataFrame, facts: DataFrame, value_cols: Sequence[str] = SPAN_VALUES,
-               partitions: int | None = None) -> DataFrame:
+def dense_span(bridge: DataFrame, facts: DataFrame, value_cols: Sequence[str] = SPAN_VALUES) -> DataFrame:
     """Geo-time x every age x sex x status seen in the facts.
 
-    The bridge (geographies x days) is spread over ``partitions`` tasks
-    first, then each row explodes the small category sets, so the span is
-    generated in parallel and never materialised on one task.
+    The values come from one pass over the facts, whose distinct combinations
+    are written; the product is made by block joins (``cross``), so it is
+    generated in parallel and never gathered on one task.
     """
-    spark = bridge.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    out = bridge.repartition(n, "id_lk_time")
+    values = materialize(facts.select(*value_cols).distinct(), "span_values")
+    out = bridge
     for c in value_cols:
-        out = out.withColumn(c, F.explode(value_set(facts, c)))
+        out = cross(out, values.select(c).distinct())
     return out
 
 
@@ -180,20 +168,18 @@ def with_row_id(df: DataFrame, order_cols: Sequence[str], name: str = "row_id",
                 partitions: int | None = None) -> DataFrame:
     """0..n-1 id in an explicit, unique order (O62), computed in parallel.
 
-    Rows are range-partitioned on the order columns, numbered inside each
-    partition, and shifted by the row count of all earlier partitions (a
-    table with one row per partition). No task sees more than its own
-    partition, unlike a global ``row_number``.
+    Rows are range-partitioned on the order columns and written with their
+    partition's number; from that one copy they are numbered inside each
+    partition and shifted by the row count of all earlier partitions (a table
+    with one row per partition). No task sees more than its own partition,
+    unlike a global ``row_number``, and no partitioning is worked out twice.
     """
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, *order_cols).withColumn("__pid", F.spark_partition_id())
-    local = ranged.withColumn(
-        "__local", F.row_number().over(Window.partitionBy("__pid").orderBy(*order_cols)))
-    counts = local.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
-    offsets = counts.withColumn(
-        "__off", F.coalesce(F.sum("__n").over(
-            Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    out = local.join(offsets.select("__pid", "__off"), "__pid")
-    return out.withColumn(name, (F.col("__off") + F.col("__local") - 1).cast("bigint")) \
-        .drop("__pid", "__local", "__off")
+    ranged = materialize(df.repartitionByRange(n, *order_cols).withColumn("__pid", F.spark_partition_id()), "ranged")
+    counts = ranged.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
+    offsets = counts.select("__pid", F.coalesce(F.sum("__n").over(
+        Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__off"))
+    local = F.row_number().over(Window.partitionBy("__pid").orderBy(*order_cols))
+    return ranged.withColumn("__local", local).join(offsets, "__pid").withColumn(
+        name, (F.col("__off") + F.col("__local") - 1).cast("bigint")).select(*df.columns, name)

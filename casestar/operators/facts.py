@@ -22,6 +22,7 @@ from casestar.operators.aggregate import bounds_scalar, sum_by
 from casestar.operators.dimensions import GEO_KEYS, geo_ranked
 from casestar.operators.joins import attach_facts
 from casestar.operators.reshape import measures_to_status
+from casestar.session import materialize
 
 FACT_KEYS = GEO_KEYS + ["Meldedatum", "Altersgruppe", "Geschlecht"]
 MEASURES = ["AnzahlFall", "AnzahlTodesfall", "AnzahlGenesen"]
@@ -32,21 +33,6 @@ SPAN_JOIN_RIGHT = ["IdLandkreis", "IdBundesland", "Meldedatum", "Altersgruppe",
                    "Status"]
 
 
-def normalise(raw: DataFrame, on_error: str = "raise") -> DataFrame:
-    """Prune to keys and measures, drop NULL keys, pad/recode codes, parse dates.
-
-    Rows with a NULL key are dropped before anything else (T1). District
-    codes are padded and retired codes/names recoded *before* summing, so a
-    single aggregate produces what the reference gets from two (T3).
-    """
-    df = raw.select(*FACT_KEYS, *MEASURES).na.drop(subset=FACT_KEYS)
-    return df.withColumns({
-        "IdLandkreis": recode(pad_code("IdLandkreis"), DISTRICT_CODE_RECODE),
-        "Landkreis": recode("Landkreis", DISTRICT_NAME_RECODE),
-        "Meldedatum": parse_date("Meldedatum", "Y/m/d H:M:S", on_error),
-    })
-
-
 def reject_rows(raw: DataFrame) -> DataFrame:
     """Raw rows whose report date does not parse (the T9 reject table)."""
     parsed = parse_date("Meldedatum", "Y/m/d H:M:S", on_error="null")
@@ -71,10 +57,25 @@ def normalise_and_sum(raw: DataFrame, on_error: str = "raise") -> DataFrame:
     return sum_by(clean, FACT_KEYS, MEASURES)
 
 
+def geography_dates(raw: DataFrame, on_error: str = "raise") -> DataFrame:
+    """(geography, lo, hi): each geography's first and last fact date.
+
+    All that the dimensions need, without the fact sums: distinct raw
+    geographies and dates (map-side combined), cleaned once each.
+    """
+    keyed = raw.select(*FACT_KEYS).na.drop(subset=FACT_KEYS).select(*GEO_KEYS, "Meldedatum").distinct()
+    clean = keyed.withColumns({
+        "IdLandkreis": recode(pad_code("IdLandkreis"), DISTRICT_CODE_RECODE),
+        "Landkreis": recode("Landkreis", DISTRICT_NAME_RECODE),
+        "Meldedatum": parse_date("Meldedatum", "Y/m/d H:M:S", on_error),
+    })
+    return clean.groupBy(*GEO_KEYS).agg(F.min("Meldedatum").alias("lo"), F.max("Meldedatum").alias("hi"))
+
+
 def case_facts(raw: DataFrame, on_error: str = "raise") -> DataFrame:
     """Long facts: keys, ``Status`` in (Todesfall, Genesen, Aktiv), ``Anzahl``.
 
-    Sum once (one shuffle, map-side combined), derive active from the sums,
+    Sum on two levels (``normalise_and_sum``), derive active from the sums,
     then unpivot (a narrow ``Expand``). Zero rows are kept: date bounds and
     category sets are taken from all facts (T32).
     """
@@ -112,7 +113,9 @@ def star_facts(facts: DataFrame, geo: DataFrame | None = None) -> DataFrame:
     """
     if geo is None:
         geo = facts.select(*GEO_KEYS).distinct()
-    ranks = geo_ranked(geo).select("IdBundesland", "IdLandkreis", "geo_rank", "state_rank")
+    # Written, so that its size is known when the join is planned: the facts
+    # then meet a broadcast of one row per district and are not shuffled.
+    ranks = materialize(geo_ranked(geo).select("IdBundesland", "IdLandkreis", "geo_rank", "state_rank"), "geo_ranks")
     lo, hi = bounds_scalar(facts, "Meldedatum")
     n_days = (F.datediff(hi, lo) + 1).cast("bigint")
     nz = facts.filter(F.col("Anzahl") != 0).drop("Bundesland", "Landkreis")

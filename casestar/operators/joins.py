@@ -15,6 +15,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from casestar.session import materialize
+
 
 def _cond(a: DataFrame, b: DataFrame, left_on: Sequence[str], right_on: Sequence[str],
           null_safe: bool = False):
@@ -63,23 +65,23 @@ def outer_join(a: DataFrame, b: DataFrame, on: Sequence[str] | None = None,
     return a.join(b, _cond(a, b, left_on, right_on, null_safe), "full")
 
 
-def cross(a: DataFrame, b: DataFrame, max_rows: int = 10_000) -> DataFrame:
-    """Every row of ``a`` with every row of the small dimension ``b``.
+def cross(a: DataFrame, b: DataFrame, block_rows: int = 5_000) -> DataFrame:
+    """Every row of ``a`` with every row of the dimension ``b`` (O34), any size.
 
-    Expressed without a join: ``b`` is packed into one array by a scalar
-    subquery and exploded next to each row of ``a``. The subquery checks the
-    size of ``b`` and fails the job if it exceeds ``max_rows``, so the packed
-    value has a proven bound. Columns of ``b`` that ``a`` already has are the
+    ``b`` is written, counted and packed into blocks of about ``block_rows``
+    rows; each row of ``a`` meets each block by an equality join on the block
+    number and unpacks it. Spark sees the written blocks' size and broadcasts
+    them if they are small. Columns of ``b`` that ``a`` already has are the
     constant join key of the reference (``ones``) and are not repeated.
     """
     cols = [c for c in b.columns if c not in set(a.columns)]
-    packed = b.agg(F.count(F.lit(1)).alias("n"),
-                   F.collect_list(F.struct(*cols)).alias("rows"))
-    guarded = packed.select(
-        F.when(F.col("n") > max_rows,
-               F.raise_error(F.lit(f"cross(): right side exceeds {max_rows} rows")))
-        .otherwise(F.col("rows"))).scalar()
-    return a.select("*", F.inline(guarded))
+    rows = materialize(b.select(F.struct(*cols).alias("__row")), "cross_rows")
+    blocks = max(1, -(-rows.count() // block_rows))
+    number = F.pmod(F.xxhash64("__row"), F.lit(blocks)).cast("int")
+    packed = materialize(rows.groupBy(number.alias("__block")).agg(
+        F.collect_list("__row").alias("__rows")), "cross_blocks")
+    each = a.withColumn("__block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    return each.join(packed, "__block").select(*a.columns, F.inline("__rows"))
 
 
 def inner_join(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -57,7 +57,11 @@ def interpolate(df: DataFrame, k, t: str, v: str, name: str = "interpolated",
                  F.struct(F.col("__prev.x").alias("x0"), F.col("__prev.y").alias("y0"),
                           F.col(xs).alias("x1"), y.alias("y1")))
     df = df.withColumn("__seg", seg)
-    s = F.coalesce(F.first("__seg", ignorenulls=True).over(w.rowsBetween(CUR, U_FOL)),
+    # The first segment at or after a row is the last one in descending order;
+    # that frame grows row by row, so a series costs linear time.
+    keys = [k] if isinstance(k, str) else list(k)
+    back = Window.partitionBy(*keys).orderBy(F.desc(xs)).rowsBetween(U_PRE, CUR)
+    s = F.coalesce(F.last("__seg", ignorenulls=True).over(back),
                    F.last("__seg", ignorenulls=True).over(w.rowsBetween(U_PRE, U_FOL)))
     df = df.withColumn("__s", s)
     slope = (F.col("__s.y1") - F.col("__s.y0")) / (F.col("__s.x1") - F.col("__s.x0"))

@@ -39,6 +39,8 @@ def pad5(expr: str) -> str:
     return f"(CASE WHEN length({s}) >= 5 THEN {s} ELSE lpad({s}, 5, '0') END)"
 
 
+# Fixed values, as in functions/columns.py: age bands, their midpoints, the unknown
+# label and the period labels with their bounds.
 AGE_CASE = """CASE c.c_mktsegment WHEN 'AUTOMOBILE' THEN 'A00-A04' WHEN 'BUILDING' THEN 'A15-A34'
   WHEN 'FURNITURE' THEN 'A35-A59' WHEN 'MACHINERY' THEN 'A60-A79' WHEN 'HOUSEHOLD' THEN 'unbekannt' END"""
 SEX_CASE = "CASE o.o_orderstatus WHEN 'F' THEN 'W' WHEN 'O' THEN 'M' WHEN 'P' THEN 'unbekannt' END"
@@ -297,10 +299,10 @@ cte("country_lookup", """
               FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey) b) lu
   LEFT JOIN (SELECT n.n_name AS country_region,
                     upper(substr(lower(n.n_name), 1, 1)) || substr(lower(n.n_name), 2) AS country_region_map
-             FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey WHERE r.r_name = 'ASIA') m
+             FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey) m
     ON lu.country_region = m.country_region
   LEFT JOIN (SELECT 'N' || CAST(n.n_nationkey AS VARCHAR) AS iso2, r.r_name AS country_group
-             FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey WHERE r.r_name = 'EUROPE') g
+             FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey) g
     ON lu.iso2 = g.iso2
   JOIN world_pairs p ON lu.country_region = p.country_region AND lu.province_state = p.province_state""",
     "world_pairs")

@@ -16,6 +16,7 @@ from casestar.operators import cleaning as CL
 from casestar.operators import joins as J
 from casestar.operators import series as S
 from casestar.operators.aggregate import sum_by
+from casestar.operators.checks import assert_empty, key_set_diff, unique_by, uncovered_keys
 from casestar.operators.dimensions import with_row_id
 from casestar.plans import series_plan as SP
 from casestar.plans import world as WD
@@ -54,11 +55,12 @@ def mobility_input(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def mobility_feed(mob: DataFrame, lookup: DataFrame, state_time: DataFrame) -> DataFrame:
     """Attach state id by ISO code, parse date, rename indices, attach state-time ids."""
-    m = J.attach_lookup(mob, lookup, "iso_3166_2_code")
+    m = J.attach_lookup(mob, unique_by(lookup, ["iso_3166_2_code"], "state lookup"), "iso_3166_2_code")
     m = m.withColumn("Datum", parse_date("date", "Y-m-d"))
     m = CL.rename(m, MOBILITY_RENAME)
     m = CL.project(m, ["IdBundesland", "sub_region_1", "Datum", *MOBILITY_RENAME.values()])
-    return J.inner_join(m, state_time, ["IdBundesland", "Datum"])
+    keys = ["IdBundesland", "Datum"]
+    return J.inner_join(unique_by(m, keys, "mobility"), unique_by(state_time, keys, "state-time"), keys)
 
 
 # ------------------------------------------------------------------- policy
@@ -77,7 +79,7 @@ def policy_feed(index: DataFrame, time: DataFrame, country: str) -> DataFrame:
     """One country's rows, integer date parsed, ``id_time`` attached."""
     p = CL.point_lookup(index, {"CountryName": country})
     p = p.withColumn("Datum", parse_date("Date", "Ymd"))
-    return J.inner_join(p, time.drop("ones"), ["Datum"])
+    return J.inner_join(unique_by(p, ["Datum"], "policy index"), time.drop("ones"), ["Datum"])
 
 
 # ----------------------------------------------------------- country lookup
@@ -99,19 +101,19 @@ def lookup_input(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def map_names_input(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Country name -> map name, for the nations of one region."""
+    """Country name -> map name."""
     n = table(spark, sf_dir, "nation").select("n_name", "n_regionkey")
     r = table(spark, sf_dir, "region").select("r_regionkey", "r_name")
-    return n.join(r, n.n_regionkey == r.r_regionkey).filter(F.col("r_name") == "ASIA").select(
+    return n.join(r, n.n_regionkey == r.r_regionkey).select(
         F.col("n_name").alias("country_region"),
         F.initcap(F.lower("n_name")).alias("country_region_map"))
 
 
 def groups_input(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """iso2 -> country group, for the nations of one region."""
+    """iso2 -> country group."""
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
     r = table(spark, sf_dir, "region").select("r_regionkey", "r_name")
-    return n.join(r, n.n_regionkey == r.r_regionkey).filter(F.col("r_name") == "EUROPE").select(
+    return n.join(r, n.n_regionkey == r.r_regionkey).select(
         F.concat(F.lit("N"), F.col("n_nationkey").cast("string")).alias("iso2"),
         F.col("r_name").alias("country_group"))
 
@@ -125,8 +127,9 @@ def country_lookup(base: DataFrame, map_names: DataFrame, groups: DataFrame,
             if c.lower() not in {"province_state", "country_region", *order_cols}]
     lu = lu.select(*rest, F.coalesce(F.col("Province_State"), F.lit("")).alias("province_state"),
                    F.col("Country_Region").alias("country_region"))
-    lu = J.outer_join(lu, map_names, on=["country_region"])
-    lu = J.outer_join(lu, groups, on=["iso2"])
+    lu = J.outer_join(lu, unique_by(map_names, ["country_region"], "map names"), on=["country_region"],
+                      null_safe=True)
+    lu = J.outer_join(lu, unique_by(groups, ["iso2"], "country groups"), on=["iso2"], null_safe=True)
     lu = CL.fill(lu, {"country_region_map": F.col("country_region"), "country_group": ""})
     pairs = data_keys.select("country_region", "province_state").distinct()
     return J.natural_join(lu, pairs)
@@ -157,6 +160,9 @@ def world_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     # The lookup is read twice (tests side and series side): write it once.
     lu = materialize(country_lookup(lookup_input(spark, sf_dir), map_names_input(spark, sf_dir),
                                     groups_input(spark, sf_dir), co), "country_lookup")
+    for other, what in ((re_, "recovered"), (de, "deaths")):
+        assert_empty(key_set_diff(co, other, keys), f"confirmed and {what} have the same keys")
+    assert_empty(uncovered_keys(co, lu, keys[:2]), "every series is in the lookup")
     audited = J.match_audit(tests_input(spark, sf_dir), lu.filter(F.col("iso3").isNotNull()),
                             ["iso_code"], ["iso3"],
                             ["iso_code", "iso3", "location", "country_region"])

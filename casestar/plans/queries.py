@@ -35,18 +35,19 @@ def _shared_facts(spark, d):
     return materialize(_facts(spark, d), "facts")
 
 
-def _dims(spark, d):
-    """Geography and date dimensions from one district-sized written summary.
+def _geo_bounds(spark, d):
+    """Per geography the first and last fact date, from the raw rows (no sums)."""
+    return FA.geography_dates(TV.case_reports(spark, d))
+
+
+def _dates(bounds):
+    return bounds.select(F.explode(F.array("lo", "hi")).alias("Meldedatum"))
 
-    Both dimensions need only the distinct geography and the date bounds of
-    the facts: one aggregation pass yields per-geography (min, max) dates,
-    and only that summary (one row per district) is written.
-    """
-    summary = materialize(
-        _facts(spark, d).groupBy(*D.GEO_KEYS).agg(
-            F.min("Meldedatum").alias("lo"), F.max("Meldedatum").alias("hi")), "geo_bounds")
-    dates = summary.select(F.explode(F.array("lo", "hi")).alias("Meldedatum"))
-    return D.geo_dim(summary), D.date_dim(dates)
+
+def _dims(spark, d):
+    """Geography and date dimensions from one district-sized written summary."""
+    summary = materialize(_geo_bounds(spark, d), "geo_bounds")
+    return D.geo_dim(summary), D.date_dim(_dates(summary))
 
 
 # --------------------------------------------------------------- flagship
@@ -89,19 +90,19 @@ def q_status_by_category(spark, d):
 
 @register("distinct_projection", O.sql(f"SELECT DISTINCT {O.GEO_KEYS} FROM facts", "facts"))
 def q_distinct_projection(spark, d):
-    return A.distinct_of(_facts(spark, d), D.GEO_KEYS)
+    return A.distinct_of(_geo_bounds(spark, d), D.GEO_KEYS)
 
 
 @register("global_min_max", O.sql(
     "SELECT MIN(Meldedatum) AS min_date, MAX(Meldedatum) AS max_date FROM facts", "facts"))
 def q_global_min_max(spark, d):
-    return A.date_bounds(_facts(spark, d), "Meldedatum")
+    return A.date_bounds(_dates(_geo_bounds(spark, d)), "Meldedatum")
 
 
 # ------------------------------------------------------------- dimensions
 @register("date_spine", O.sql("SELECT * FROM time_dim", "time_dim"))
 def q_date_spine(spark, d):
-    return D.date_dim(_facts(spark, d))
+    return D.date_dim(_dates(_geo_bounds(spark, d)))
 
 
 @register("geo_time_keys", O.sql("SELECT * FROM bridge", "bridge"))
@@ -156,6 +157,7 @@ def q_pad_region_code(spark, d):
                     C.pad_code("o_orderkey", 5).alias("code5"))
 
 
+# Fixed values in the SQL below: the unknown label and the renamed districts.
 @register("recode_values", O.sql("""
   SELECT DISTINCT Altersgruppe, Geschlecht,
          CASE WHEN Altersgruppe = 'unbekannt' THEN 'keine Information' ELSE Altersgruppe END AS age_label,
@@ -283,7 +285,7 @@ def q_filter_not_equal(spark, d):
   FULL OUTER JOIN districts d ON g.IdLandkreis = d.rs
   WHERE g.IdLandkreis IS NOT NULL""", "facts", "districts"))
 def q_filter_null_state(spark, d):
-    geo = A.distinct_of(_facts(spark, d), D.GEO_KEYS)
+    geo = A.distinct_of(_geo_bounds(spark, d), D.GEO_KEYS)
     dist = TV.districts(spark, d).select("rs", "population")
     return CL.keep_present(J.outer_join(geo, dist, left_on=["IdLandkreis"], right_on=["rs"]),
                            "IdLandkreis")
@@ -392,7 +394,7 @@ def q_join_inner_chain(spark, d):
 def q_join_natural(spark, d):
     facts = _shared_facts(spark, d)
     geo = D.geo_dim(facts, TV.districts(spark, d), TV.district_category(spark, d))
-    return J.natural_join(facts, geo)
+    return J.natural_join(facts, materialize(geo, "geo"))
 
 
 AUDIT_SQL = """
@@ -451,7 +453,7 @@ def q_sort_output(spark, d):
 # ------------------------------------------------------- more dimensions
 @register("geo_dimension", O.sql("SELECT * FROM geo_full", "geo_full"))
 def q_geo_dimension(spark, d):
-    return D.geo_dim(_facts(spark, d), TV.districts(spark, d), TV.district_category(spark, d))
+    return D.geo_dim(_geo_bounds(spark, d), TV.districts(spark, d), TV.district_category(spark, d))
 
 
 @register("geo_time_dim", O.sql("""
@@ -646,7 +648,9 @@ from pyspark.sql import types as T  # noqa: E402
 @register("src_delimited", O.sql("SELECT * FROM case_reports", "case_reports"))
 def q_src_delimited(spark, d):
     path = scratch_path(spark, "case_reports_csv")
-    TV.case_reports(spark, d).write.option("header", True).csv(path)
+    # Other columns in another order, as the landed files have them.
+    landed = TV.case_reports(spark, d).withColumns({"ObjectId": F.lit(1), "Refdatum": F.col("Meldedatum")})
+    landed.select(*reversed(landed.columns)).write.option("header", True).option("escape", '"').csv(path)
     return RD.read_facts(spark, path)
 
 
@@ -748,16 +752,14 @@ EXPORT_SCHEMA = T.StructType([
 @register("sink_tsv_export", O.sql("SELECT * FROM time_dim", "time_dim"))
 def q_sink_tsv_export(spark, d):
     path = scratch_path(spark, "data_time_tsv")
-    SK.export_tsv(D.date_dim(_facts(spark, d)), path, single_file=True)
+    SK.export_tsv(D.date_dim(_dates(_geo_bounds(spark, d))), path, single_file=True)
     return SK.read_tsv_export(spark, path, TIME_SCHEMA)
 
 
 @register("sink_sparse_facts", O.sql("SELECT * FROM star", "star"))
 def q_sink_sparse_facts(spark, d):
-    facts = _shared_facts(spark, d)
-    bridge = D.geo_time_keys(D.geo_dim(facts), D.date_dim(facts))
     path = scratch_path(spark, "data_rki_tsv")
-    SK.export_facts(FA.densify(D.dense_span(bridge, facts), facts), path)
+    SK.export_facts(FA.star_facts(_shared_facts(spark, d)), path)
     return SK.read_tsv_export(spark, path, EXPORT_SCHEMA)
 
 
@@ -812,7 +814,7 @@ POLICY_COUNTRY = "NATION_7"
   FROM policy p JOIN time_dim t ON t.Datum = CAST(strptime(CAST(p.Date AS VARCHAR), '%Y%m%d') AS DATE)
   WHERE p.CountryName = '{POLICY_COUNTRY}'""", "policy", "time_dim"))
 def q_policy_feed(spark, d):
-    return FD.policy_feed(FD.policy_input(spark, d), D.date_dim(_facts(spark, d)), POLICY_COUNTRY)
+    return FD.policy_feed(FD.policy_input(spark, d), D.date_dim(_dates(_geo_bounds(spark, d))), POLICY_COUNTRY)
 
 
 @register("country_lookup", O.sql("SELECT * FROM country_lookup", "country_lookup"))

@@ -72,15 +72,21 @@ def run_job(spark, raw_path: str, out_dir: str, districts: DataFrame | None = No
 def main(argv: list[str] | None = None) -> None:
     import argparse
 
-    from casestar.session import build_session
+    from casestar.session import build_session, clean_scratch
+    from casestar.sources.readers import CATEGORIES_SCHEMA, read_categories, read_districts
 
     ap = argparse.ArgumentParser(description="case reports -> star schema exports")
     ap.add_argument("raw_path")
     ap.add_argument("out_dir")
+    ap.add_argument("--districts", help="TSV with rs and population")
+    ap.add_argument("--categories", help="TSV with kreis_id and krs17")
     ap.add_argument("--master", default=None)
     args = ap.parse_args(argv)
     spark = build_session(args.master or "local[*]")
-    run_job(spark, args.raw_path, args.out_dir)
+    run_job(spark, args.raw_path, args.out_dir,
+            read_districts(spark, args.districts) if args.districts else None,
+            read_categories(spark, args.categories, CATEGORIES_SCHEMA) if args.categories else None)
+    clean_scratch(spark)
     spark.stop()
 
 

@@ -69,9 +69,8 @@ def case_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.date_format("o_orderdate", "yyyy/MM/dd HH:mm:ss").alias("Meldedatum"),
         _map("c_mktsegment", SEGMENT_AGE).alias("Altersgruppe"),
         _map("o_orderstatus", STATUS_SEX).alias("Geschlecht"))
-    # Line items x orders is the big-big join: shuffle both on the order key
-    # and hash the smaller (order) side per partition; never broadcast it.
-    rows = li.join(ords.hint("shuffle_hash"), li.l_orderkey == ords.o_orderkey)
+    # Line items x orders is the big-big join; its strategy is left to Spark.
+    rows = li.join(ords, li.l_orderkey == ords.o_orderkey)
     qty = F.col("l_quantity").cast("bigint")
     zero = F.lit(0).cast("bigint")
     return rows.select(

@@ -7,6 +7,8 @@ one column per day, the layout of the reference's world time series.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,6 +30,14 @@ def _events_with_country(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.join(users, e.user_id == users.c_custkey)
 
 
+def day_labels(spark: SparkSession, sf_dir: str) -> list[str]:
+    """Column labels of the wide tables: every day between the first and the
+    last event, so that the pivot need not collect its values."""
+    lo, hi = table(spark, sf_dir, "events").agg(F.min("ts").cast("date"), F.max("ts").cast("date")).first()
+    days = [] if lo is None else [lo + dt.timedelta(i) for i in range((hi - lo).days + 1)]
+    return [f"{d.month}/{d.day}/{d:%y}" for d in days]
+
+
 def wide_series(spark: SparkSession, sf_dir: str, measure: str) -> DataFrame:
     """One row per (user, country), one column per ``M/d/yy`` day label."""
     rows = _events_with_country(spark, sf_dir)
@@ -35,7 +45,7 @@ def wide_series(spark: SparkSession, sf_dir: str, measure: str) -> DataFrame:
     rows = rows.withColumn("day_label", F.date_format("ts", "M/d/yy"))
     return (rows.groupBy(F.col("user_id").cast("string").alias("Province/State"),
                          F.col("n_name").alias("Country/Region"))
-            .pivot("day_label")
+            .pivot("day_label", day_labels(spark, sf_dir))
             .agg(F.sum(F.when(F.col("event_type") == kind, event_cents()))))
 
 
@@ -47,7 +57,7 @@ def wide_all(spark: SparkSession, sf_dir: str) -> DataFrame:
             for m, kind in MEASURE_EVENT.items()]
     return (rows.groupBy(F.col("user_id").cast("string").alias("Province/State"),
                          F.col("n_name").alias("Country/Region"))
-            .pivot("day_label").agg(*aggs))
+            .pivot("day_label", day_labels(spark, sf_dir)).agg(*aggs))
 
 
 def wide_of(wide: DataFrame, measure: str) -> DataFrame:

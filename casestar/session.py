@@ -39,8 +39,10 @@ def build_session(master: str = "local[*]", app: str = "casestar",
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names.
 
-    ``spark.checkpoint.dir`` is read from the session. Only when nobody set
-    it (a test or a laptop) is a local folder created and registered.
+    ``spark.checkpoint.dir`` is read from the session. A local folder is
+    created and registered only where nobody set it and the master is local
+    (a test, a laptop); on a cluster that is an error, as executors would each
+    write to a disk of their own.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -49,15 +51,28 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not conf_dir:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         conf_dir = tempfile.mkdtemp(prefix="casestar-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path below the shared checkpoint folder."""
+    """A fresh, unique path of this application below the shared checkpoint folder."""
+    return f"{_scratch_root(spark)}/{uuid.uuid4().hex}/{name}"
+
+
+def _scratch_root(spark: SparkSession) -> str:
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/casestar/{uuid.uuid4().hex}/{name}"
+    return f"{base}/casestar/{spark.sparkContext.applicationId}"
+
+
+def clean_scratch(spark: SparkSession) -> None:
+    """Remove what this application has written with ``scratch_path``; for the
+    end of a job, when no result is read from there any more."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from casestar.functions.columns import pad_code
+
 CASE_FACTS_SCHEMA = T.StructType([
     T.StructField("IdBundesland", T.LongType()),
     T.StructField("Bundesland", T.StringType()),
@@ -23,27 +25,58 @@ CASE_FACTS_SCHEMA = T.StructType([
     T.StructField("AnzahlGenesen", T.LongType()),
 ])
 
+DISTRICTS_SCHEMA = T.StructType([
+    T.StructField("rs", T.LongType()),
+    T.StructField("population", T.LongType()),
+])
+
+CATEGORIES_SCHEMA = T.StructType([
+    T.StructField("kreis_id", T.LongType()),
+    T.StructField("krs17", T.StringType()),
+])
+
 STATE_ISO_SCHEMA = T.StructType([
     T.StructField("iso_3166_2_code", T.StringType()),
     T.StructField("IdBundesland", T.LongType()),
 ])
 
 
+def _by_name(reader, path: str, schema: T.StructType) -> DataFrame:
+    """The columns of ``schema``, found by header name and cast; others are left out."""
+    df = reader.csv(path)
+    named = {c.lstrip("\ufeff").removeprefix("ï»¿"): c for c in df.columns}
+    missing = [f.name for f in schema.fields if f.name not in named]
+    if missing:
+        raise ValueError(f"{path}: no column {', '.join(missing)}; there are {', '.join(named)}")
+    return df.select(*[F.col(f"`{named[f.name]}`").cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
 def read_facts(spark: SparkSession, path: str, schema: T.StructType = CASE_FACTS_SCHEMA,
                sep: str = ",", mode: str = "FAILFAST") -> DataFrame:
-    """Headed delimited fact file(s) (O01); splittable, read in parallel."""
-    return (spark.read.option("header", True).option("sep", sep).option("mode", mode)
-            .schema(schema).csv(path))
+    """Headed delimited fact file(s) (O01), columns by name; splittable, read in
+    parallel. Every file's header must agree; doubled quotes stand for one."""
+    return _by_name(spark.read.option("header", True).option("sep", sep).option("mode", mode)
+                    .option("escape", '"').option("enforceSchema", False), path, schema)
 
 
-def read_lookup(spark: SparkSession, path: str, schema: T.StructType,
-                encoding: str = "ISO-8859-1", sep: str = "\t") -> DataFrame:
-    """Headed TSV lookup in a legacy code page, or UTF-8 with BOM.
+def read_lookup(spark: SparkSession, path: str, schema: T.StructType, encoding: str = "ISO-8859-1",
+                sep: str = "\t", mode: str = "FAILFAST") -> DataFrame:
+    """Headed TSV lookup in a legacy code page, or UTF-8 with BOM (O02), columns by name.
 
-    Spark drops a UTF-8 BOM and a trailing CR at read time (T29).
+    Spark drops a trailing CR at read time (T29).
     """
-    return (spark.read.option("header", True).option("sep", sep).option("encoding", encoding)
-            .schema(schema).csv(path))
+    return _by_name(spark.read.option("header", True).option("sep", sep).option("encoding", encoding)
+                    .option("escape", '"').option("mode", mode), path, schema)
+
+
+def read_districts(spark: SparkSession, path: str, **options) -> DataFrame:
+    """District lookup: ``rs`` padded, ``population``."""
+    return read_lookup(spark, path, DISTRICTS_SCHEMA, **options).withColumn("rs", pad_code("rs"))
+
+
+def read_categories(spark: SparkSession, path: str, schema: T.StructType, **options) -> DataFrame:
+    """District categories: ``kreis_id`` padded, the schema's other columns as they are."""
+    return read_lookup(spark, path, schema, **options).withColumn("kreis_id", pad_code("kreis_id"))
 
 
 def read_geometries(spark: SparkSession, path: str, object_name: str,

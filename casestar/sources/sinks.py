@@ -26,17 +26,17 @@ def export_tsv(df: DataFrame, path: str, single_file: bool = False) -> None:
     first = df.columns[0]
     out = df.withColumnRenamed(first, BOM + first)
     if single_file:
-        out = out.coalesce(1)
+        out = out.repartition(1)
     (out.write.mode("overwrite")
         .option("sep", "\t").option("header", True).option("lineSep", "\r\n")
         .option("dateFormat", "yyyy-MM-dd").option("encoding", "UTF-8")
-        .option("emptyValue", "")
+        .option("emptyValue", "").option("escape", '"')
         .csv(path))
 
 
 def read_tsv_export(spark, path: str, schema) -> DataFrame:
     """Read an ``export_tsv`` folder back with a declared schema."""
-    return (spark.read.option("sep", "\t").option("header", True)
+    return (spark.read.option("sep", "\t").option("header", True).option("escape", '"')
             .option("dateFormat", "yyyy-MM-dd").schema(schema).csv(path))
 
 
@@ -49,7 +49,3 @@ def export_json(df: DataFrame, path: str) -> None:
     """Write documents as JSON lines, UTF-8, non-ASCII kept verbatim."""
     df.write.mode("overwrite").option("encoding", "UTF-8").json(path)
 
-
-def to_json_text(df: DataFrame, name: str = "value") -> DataFrame:
-    """One JSON text per row (what ``export_json`` writes per line)."""
-    return df.select(F.to_json(F.struct(*df.columns)).alias(name))

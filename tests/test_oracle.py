@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from casestar.plans.registry import ORACLE, QUERIES
 from scripts.check_oracle import TABLES, rows_of
 from tests.test_plans import FORBIDDEN, plan_text
 
@@ -21,10 +22,14 @@ def con(small_dir):
 
 
 def test_every_query_has_an_oracle():
-    missing = set(E.queries()) - set(E.oracle_sql())
+    missing = set(QUERIES) - set(ORACLE)
     assert not missing, missing
 
 
+def test_entry_holds_the_library_queries():
+    assert set(QUERIES) <= set(E.queries()) and set(ORACLE) <= set(E.oracle_sql())
+
+
 def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.columns == ["IdBundesland", "IdLandkreis", "id_time", "id_lk_time", "id_bl_time",
@@ -32,14 +37,14 @@ def test_entry_smoke(spark):
     assert df.count() > 0
 
 
-@pytest.mark.parametrize("key", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("key", sorted(ORACLE))
 def test_query_matches_oracle(spark, con, small_dir, key):
-    df = E.queries()[key](spark, small_dir)
+    df = QUERIES[key](spark, small_dir)
     text = plan_text(df)
     for bad in FORBIDDEN:
         assert bad not in text, (key, bad)
     srows = [tuple(r) for r in df.collect()]
-    rel = con.sql(E.oracle_sql()[key])
+    rel = con.sql(ORACLE[key])
     drows = rel.fetchall()
     assert sorted(df.columns) == sorted(rel.columns)
     assert len(srows) == len(drows)

@@ -34,3 +34,23 @@ def test_fact_sum_combines_map_side(spark, small_dir):
     wide = FA.normalise_and_sum(TV.case_reports(spark, small_dir))
     plan = wide._jdf.queryExecution().executedPlan().toString()
     assert plan.count("partial_sum") >= 2
+
+
+def test_star_does_not_shuffle_the_facts(spark, small_dir):
+    """Whatever the facts' size, the written ranks are broadcast to them."""
+    from casestar.plans.queries import _shared_facts
+    facts = _shared_facts(spark, small_dir)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "20k")
+    try:
+        plan = FA.star_facts(facts)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "hashpartitioning" not in plan.split(
+        "Subquery")[0]
+
+
+def test_sparse_sink_builds_no_span(spark, small_dir):
+    from casestar.plans.queries import _shared_facts
+    facts = _shared_facts(spark, small_dir)
+    assert "Generate" not in FA.star_facts(facts)._jdf.queryExecution().optimizedPlan().toString()

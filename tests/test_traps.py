@@ -14,6 +14,7 @@ from casestar.operators import facts as FA
 from casestar.operators import joins as J
 from casestar.operators import measures as M
 from casestar.operators import series as S
+from casestar.sources import readers as RD
 
 
 def rows(df, *cols):
@@ -69,7 +70,7 @@ def test_bad_date_raises_or_rejects(spark):
     with pytest.raises(Exception):
         FA.case_facts(raw).collect()
     assert FA.reject_rows(raw).count() == 1
-    assert FA.normalise(raw, on_error="null").first().Meldedatum is None
+    assert FA.normalise_and_sum(raw, on_error="null").count() == 0
 
 
 def test_unknown_and_unmapped_age(spark):
@@ -170,9 +171,91 @@ def test_rekey_properties(spark):
     assert out == '{"IDLandkreis":"1"}'
 
 
-def test_cross_guard(spark):
+def test_cross_has_no_size_limit(spark):
     a = spark.range(3)
-    b = spark.range(5).withColumnRenamed("id", "x")
-    assert J.cross(a, b).count() == 15
-    with pytest.raises(Exception):
-        J.cross(a, b, max_rows=4).collect()
+    b = spark.range(12_000).withColumnRenamed("id", "x")
+    out = J.cross(a, b)
+    assert out.count() == 36_000 and out.distinct().count() == 36_000
+    assert J.cross(a, b.limit(0)).count() == 0
+
+
+def test_span_with_many_category_values(spark):
+    facts = spark.range(10_500).select(
+        F.concat(F.lit("v"), "id").alias("Altersgruppe"), F.lit("M").alias("Geschlecht"), F.lit("Aktiv").alias("Status"))
+    span = D.dense_span(spark.range(2).withColumnRenamed("id", "id_lk_time"), facts)
+    assert span.count() == 21_000
+
+
+@pytest.mark.parametrize("partitions", [1, 2, 4, 8, 200])
+def test_row_ids_are_dense_and_ordered(spark, partitions):
+    path = "/root/testdata/sf0.1/customer.parquet"
+    c = spark.read.parquet(path).select("c_custkey").repartition(5)
+    ids = [tuple(r) for r in D.with_row_id(c, ["c_custkey"], "i", partitions).orderBy("c_custkey").collect()]
+    assert [i for _, i in ids] == list(range(len(ids)))
+
+
+def _two_names(spark):
+    rows = [(5, "S", code, name, "2020/03/01 00:00:00", "A00-A04", "M", n, 0, 0)
+            for code, name, n in ((5334, "LK Aachen", 8), (5354, "Other", 9))]
+    return spark.createDataFrame(rows, RD.CASE_FACTS_SCHEMA)
+
+
+def test_a_district_with_two_names_fails(spark):
+    facts = FA.case_facts(_two_names(spark))
+    for make in (lambda: FA.star_facts(facts), lambda: D.geo_dim(facts),
+                 lambda: D.geo_time_keys(D.geo_dim(facts), D.date_dim(facts))):
+        with pytest.raises(Exception, match="geography"):
+            make().collect()
+
+
+def test_a_lookup_with_two_rows_for_a_key_fails(spark):
+    facts = FA.case_facts(_two_names(spark).limit(1))
+    twice = spark.createDataFrame([("05334", 1), ("05334", 2)], "rs string, population long")
+    with pytest.raises(Exception, match="district lookup"):
+        D.geo_dim(facts, twice).collect()
+
+
+def test_star_keeps_the_sum(spark, small_dir):
+    from casestar.plans import testviews as TV
+    facts = FA.case_facts(TV.case_reports(spark, small_dir))
+    assert FA.star_facts(facts).agg(F.sum("Anzahl")).first() == facts.agg(F.sum("Anzahl")).first()
+
+
+def test_facts_are_read_by_header_name(spark, tmp_path):
+    names = [f.name for f in RD.CASE_FACTS_SCHEMA.fields]
+    order = ["ObjectId", *reversed(names), "Refdatum"]
+    row = dict(zip(names, ["5", "Süd", "5001", 'D ""x"", y', "2020/03/01 00:00:00", "A00-A04", "M", "7", "1", "2"],
+                   strict=True), ObjectId="9", Refdatum="z")
+    text = ",".join(order) + "\n" + ",".join(f'"{row[c]}"' for c in order) + "\n"
+    (tmp_path / "f.csv").write_text(text, encoding="utf-8")
+    got = RD.read_facts(spark, str(tmp_path / "f.csv")).first()
+    assert (got.Landkreis, got.AnzahlFall, got.AnzahlTodesfall, got.AnzahlGenesen) == ('D "x", y', 7, 1, 2)
+    (tmp_path / "g.csv").write_text("A,B\n1,2\n")
+    with pytest.raises(ValueError, match="AnzahlFall"):
+        RD.read_facts(spark, str(tmp_path / "g.csv"))
+
+
+def test_lookup_in_a_legacy_code_page(spark, tmp_path):
+    (tmp_path / "k.tsv").write_bytes("krs17\tname\tkreis_id\r\nGöttingen\tx\t3159\r\n".encode("latin-1"))
+    got = RD.read_categories(spark, str(tmp_path / "k.tsv"), RD.CATEGORIES_SCHEMA).first()
+    assert (got.kreis_id, got.krs17) == ("03159", "Göttingen")
+
+
+def test_null_keys_match_in_the_country_lookup(spark):
+    from casestar.plans import feeds as FD
+    base = spark.createDataFrame([(0, 1, None, "X", None, "XXX")],
+                                 "kind int, key long, Province_State string, Country_Region string, iso2 string, iso3 string")
+    names = spark.createDataFrame([("X", "x")], "country_region string, country_region_map string")
+    groups = spark.createDataFrame([(None, "G")], "iso2 string, country_group string")
+    keys = spark.createDataFrame([("X", "")], "country_region string, province_state string")
+    assert FD.country_lookup(base, names, groups, keys).first().country_group == "G"
+
+
+def test_long_series_interpolates_in_linear_time(spark):
+    import time
+    df = spark.range(20_000).select(F.lit(1).alias("k"), F.col("id").alias("t"),
+                                    F.when(F.col("id") % 7 == 0, F.col("id") * 2).alias("v"))
+    began = time.time()
+    out = S.interpolate(df, "k", "t", "v")
+    assert out.filter(F.abs(F.col("interpolated") - 2 * F.col("t")) > 1e-6).count() == 0
+    assert time.time() - began < 60
