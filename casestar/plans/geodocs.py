@@ -25,6 +25,8 @@ GEOMETRY = T.StructType([
         T.StructField("name", T.StringType()),
         T.StructField("nation", T.LongType()),
     ])),
+    T.StructField("id", T.StringType()),
+    T.StructField("arcs", T.ArrayType(T.ArrayType(T.LongType()))),
 ])
 DOC_SCHEMA = T.StructType([
     T.StructField("type", T.StringType()),
@@ -34,6 +36,7 @@ DOC_SCHEMA = T.StructType([
             T.StructField("geometries", T.ArrayType(GEOMETRY)),
         ])),
     ])),
+    T.StructField("arcs", T.ArrayType(T.ArrayType(T.ArrayType(T.LongType())))),
 ])
 
 
@@ -48,13 +51,17 @@ def geometry_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
                                    + F.col("n_nationkey")).alias("rs"),
                           F.col("n_name").alias("name"),
                           F.col("n_nationkey").cast("bigint").alias("nation"))
-                 .alias("properties")).alias("g"))
+                 .alias("properties"),
+                 F.concat(F.lit("g"), F.col("n_nationkey").cast("string")).alias("id")).alias("g"))
     docs = g.groupBy("region").agg(F.sort_array(F.collect_list(F.struct("k", "g"))).alias("gs"))
-    geoms = F.transform("gs", lambda x: x["g"])
+    # Each geometry is bounded by the arc at its own position.
+    geoms = F.transform("gs", lambda x, i: x["g"].withField("arcs", F.array(F.array(i.cast("bigint")))))
+    arcs = F.transform("gs", lambda x: F.array(F.array(x["k"], F.lit(0).cast("bigint")),
+                                               F.array(x["k"] + 1, F.lit(1).cast("bigint"))))
     doc = F.struct(F.lit("Topology").alias("type"),
                    F.struct(F.struct(F.lit("GeometryCollection").alias("type"),
                                      geoms.alias("geometries")).alias(OBJECT_NAME))
-                   .alias("objects"))
+                   .alias("objects"), arcs.alias("arcs"))
     return docs.select("region", doc.alias("doc"))
 
 

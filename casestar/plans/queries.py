@@ -689,23 +689,32 @@ def _rekeyed_docs(spark, d):
         f"objects.{G.OBJECT_NAME}.geometries", geoms))
 
 
+# The whole rewritten geometry: every member but the properties is as it was.
+REKEYED = """'{"type":"Polygon","properties":{"IDLandkreis":"' || rs || '"},"id":"g' || nation ||
+         '","arcs":[[' || position || ']]}'"""
+
+
 @register("json_rekey", O.sql(
-    """SELECT region, position, '{"IDLandkreis":"' || rs || '"}' AS properties FROM nation_geo""",
-    "nation_geo"))
+    f"SELECT region, position, {REKEYED} AS geometry FROM nation_geo", "nation_geo"))
 def q_json_rekey(spark, d):
     docs = _rekeyed_docs(spark, d)
     g = docs.select("region", F.posexplode(G.geometries_of(F.col("doc"))).alias("position", "g"))
     return g.select("region", F.col("position").cast("bigint").alias("position"),
-                    F.to_json("g.properties").alias("properties"))
+                    F.to_json("g").alias("geometry"))
 
 
-@register("sink_json", O.sql(
-    "SELECT region, position, rs AS IDLandkreis FROM nation_geo", "nation_geo"))
+@register("sink_json", O.sql(f"""
+  SELECT region, '{{"region":' || region || ',"type":"Topology","objects":{{"{G.OBJECT_NAME}":' ||
+         '{{"type":"GeometryCollection","geometries":[' || string_agg({REKEYED}, ',' ORDER BY position) ||
+         ']}}}},"arcs":[' || string_agg('[[' || nation || ',0],[' || (nation + 1) || ',1]]', ',' ORDER BY position) ||
+         ']}}' AS document
+  FROM nation_geo GROUP BY region""", "nation_geo"))
 def q_sink_json(spark, d):
     path = scratch_path(spark, "geometry_json")
     SK.export_json(_rekeyed_docs(spark, d).select("region", "doc.*"), path)
-    g = RD.read_geometries(spark, path, G.OBJECT_NAME, multi_line=False)
-    return g.select("region", "position", "properties.IDLandkreis")
+    lines = spark.read.text(path)
+    return lines.select(F.get_json_object("value", "$.region").cast("bigint").alias("region"),
+                        F.col("value").alias("document"))
 
 
 @register("array_bbox_filter", O.sql("""
