@@ -141,8 +141,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, allowed: Callable[[Colum
     total, bad = n["n"], n["bad"] or 0
     if not 0 < bad < total:
         return Model(bad / total if total else 0.0)
-    low = F.transform(F.regexp_extract_all(F.lower(F.coalesce("text", F.lit(""))), F.lit(LETTERS), F.lit(0)),
-                      lambda w: w)
+    low = F.regexp_extract_all(F.lower(F.coalesce("text", F.lit(""))), F.lit(LETTERS), F.lit(0))
     lexicon = learn_lexicon(rows, low, bad)
     stems = learn_lexicon(rows, F.transform(F.filter(low, lambda w: F.length(w) >= STEM),
                                             lambda w: F.substring(w, 1, STEM)), bad)
