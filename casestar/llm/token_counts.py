@@ -59,7 +59,11 @@ class Trie:
     """Forward scores of all prefixes that the pre-tokens seen so far have."""
 
     def __init__(self, scores: dict[bytes, int]):
-        self.scores, self.longest = scores, max(map(len, scores))
+        self.longest = max(map(len, scores))
+        # Every ending of a piece, with the score of those that are pieces: looking
+        # back from a byte stops as soon as no piece ends that way.
+        self.tails: dict[bytes, int | None] = {p[i:]: None for p in scores for i in range(len(p))}
+        self.tails.update(scores)
         self.terminal: dict[bytes, int] = {}
         self.clear()
 
@@ -70,9 +74,11 @@ class Trie:
 
     def step(self, text: bytes, end: int, before: list[tuple[int, int]]) -> tuple[int, int]:
         """Forward value at ``end``; ``before[-k]`` is the value k bytes earlier."""
-        get, top = self.scores.get, None
+        get, top = self.tails.get, None
         for k in range(1, min(end, self.longest, len(before)) + 1):
-            s = get(text[end - k:end])
+            s = get(text[end - k:end], 0)
+            if s == 0:
+                break
             if s is not None:
                 at = before[-k]
                 value = (at[0] + s, at[1] - 1)
