@@ -70,27 +70,25 @@ def _without(text: Column, chars: str) -> Column:
     return F.translate(text, chars, "")
 
 
-def statistics(df: DataFrame, text: str, out: str) -> DataFrame:
-    """Add a struct column ``out`` with the statistics the rules look at."""
-    ws = fresh(df, "words")
-    t = F.coalesce(F.col(text), F.lit(""))
+def statistics(text: Column) -> Column:
+    """Struct of the statistics the rules look at. The words are bound once, so
+    a filter on them does not extract them again for every statistic."""
+    t = F.coalesce(text, F.lit(""))
     lines = F.filter(F.split(t, "\n"), lambda x: _without(x, BLANKS) != "")
-    return (df.withColumn(ws, words(F.col(text)))
-            .withColumn(out, F.struct(
-                F.size(ws).cast("long").alias("n_words"),
-                F.length(_without(t, BLANKS)).cast("long").alias("word_chars"),
-                (F.length(t) - F.length(_without(t, SYMBOLS))).cast("long").alias("n_symbols"),
-                let(lines, lambda ls: F.struct(
-                    F.size(ls).cast("long").alias("n"),
-                    (F.size(ls) - F.size(F.array_distinct(ls))).cast("long").alias("dup"))).alias("lines"),
-                let(F.col(ws), repeated_words).cast("long").alias("n_repeat_words"),
-                F.regexp_count(t, F.lit(f"[{SYMBOLS}]+")).cast("long").alias("n_symbol_runs"),
-                F.size(F.array_distinct(F.col(ws))).cast("long").alias("n_distinct"),
-                F.size(F.filter(F.col(ws), lambda w: w.isin(*FUNCTION_WORDS))).cast("long").alias("n_function"),
-                (F.length(t) - F.length(F.regexp_replace(t, CAPITALS, ""))).cast("long").alias("n_capitals"),
-                (F.length(t) - F.length(_without(t, "!"))).cast("long").alias("n_exclaims"),
-                (F.length(t) - F.length(_without(t, ".!?"))).cast("long").alias("n_stops")))
-            .drop(ws))
+    return let(words(text), lambda ws: F.struct(
+        F.size(ws).cast("long").alias("n_words"),
+        F.length(_without(t, BLANKS)).cast("long").alias("word_chars"),
+        (F.length(t) - F.length(_without(t, SYMBOLS))).cast("long").alias("n_symbols"),
+        let(lines, lambda ls: F.struct(
+            F.size(ls).cast("long").alias("n"),
+            (F.size(ls) - F.size(F.array_distinct(ls))).cast("long").alias("dup"))).alias("lines"),
+        repeated_words(ws).cast("long").alias("n_repeat_words"),
+        F.regexp_count(t, F.lit(f"[{SYMBOLS}]+")).cast("long").alias("n_symbol_runs"),
+        F.size(F.array_distinct(ws)).cast("long").alias("n_distinct"),
+        F.size(F.filter(ws, lambda w: w.isin(*FUNCTION_WORDS))).cast("long").alias("n_function"),
+        (F.length(t) - F.length(F.regexp_replace(t, CAPITALS, ""))).cast("long").alias("n_capitals"),
+        (F.length(t) - F.length(_without(t, "!"))).cast("long").alias("n_exclaims"),
+        (F.length(t) - F.length(_without(t, ".!?"))).cast("long").alias("n_stops")))
 
 
 def base_failed(s: Column) -> Column:
@@ -192,16 +190,17 @@ def with_quality(df: DataFrame, text: str = "text", out: str = "quality",
     ``base_failed``, the ``posterior`` of being good and ``kept``. Without a given
     model, one pass over the texts counts the vote patterns it is fitted on; the
     texts are not written."""
-    stats, vote = fresh(df, "stats"), fresh(df, "votes")
-    scored = statistics(df, text, stats).withColumn(vote, votes(F.col(stats)))
-    return _judged(scored, stats, vote, out, model or fit(scored, vote))
+    stats, vote = statistics(F.col(text)), fresh(df, "votes")
+    model = model or fit(df.select(let(stats, votes).alias(vote)), vote)
+    return df.withColumn(out, let(stats, lambda s: let(votes(s), lambda v: judged(s, v, model))))
 
 
-def _judged(scored: DataFrame, stats: str, vote: str, out: str, model: LabelModel) -> DataFrame:
-    s, post = F.col(stats), model.posterior(F.col(vote))
-    return scored.withColumn(out, F.struct(
-        s.alias("stats"), F.col(vote).alias("votes"), base_failed(s).alias("base_failed"),
-        post.alias("posterior"), (~base_failed(s) & (post >= THRESHOLD)).alias("kept"))).drop(stats, vote)
+def judged(s: Column, vote: Column, model: LabelModel) -> Column:
+    """Struct of statistics, votes, base verdict, posterior and verdict."""
+    post = model.posterior(vote)
+    return let(F.struct(base_failed(s).alias("failed"), post.alias("post")), lambda j: F.struct(
+        s.alias("stats"), vote.alias("votes"), j["failed"].alias("base_failed"), j["post"].alias("posterior"),
+        (~j["failed"] & (j["post"] >= THRESHOLD)).alias("kept")))
 
 
 def keep_good(df: DataFrame, text: str = "text") -> DataFrame:
@@ -213,10 +212,10 @@ def keep_good(df: DataFrame, text: str = "text") -> DataFrame:
 def quality_report(docs: DataFrame) -> DataFrame:
     """Per document: the base statistics, the verdict and the posterior. The
     statistics are written once and serve both the estimation and the verdict."""
-    q = F.col("__q")
-    stats = statistics(docs.select("doc_id", "text"), "text", "__s").select("doc_id", "__s")
-    stats = materialize(stats.withColumn("__v", votes(F.col("__s"))), "quality_votes")
-    scored = _judged(stats, "__s", "__v", "__q", fit(stats, "__v"))
+    stats = docs.select("doc_id", statistics(F.col("text")).alias("s"))
+    stats = materialize(stats.withColumn("v", let(F.col("s"), votes)), "quality_votes")
+    scored = stats.select("doc_id", judged(F.col("s"), F.col("v"), fit(stats, "v")).alias("q"))
+    q = F.col("q")
     s = q["stats"]
     return scored.select(
         "doc_id", s["n_words"].alias("n_words"), s["word_chars"].alias("word_chars"),
