@@ -120,14 +120,14 @@ def score(df: DataFrame, model: Model, text: str = "text", out: str = "score") -
     """``df`` plus the probability ``out`` that its text is good."""
     df = df.drop(out)
     stats, x = fresh(df, "stats"), fresh(df, "x")
-    scored = statistics(df, text, stats).withColumn(x, F.array(*transformed(F.col(stats))))
+    scored = df.withColumn(stats, statistics(F.col(text))).withColumn(x, F.array(*transformed(F.col(stats))))
     return scored.withColumn(out, model.score([F.col(x)[i] for i in range(len(FEATURES))])).select(*df.columns, out)
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Per document: whether it is held out, its score and the prediction. The
     statistics are written once and serve both the fit and the scores."""
-    stats = materialize(statistics(docs.select("doc_id", "text"), "text", "s").drop("text"), "qda_stats")
+    stats = materialize(docs.select("doc_id", statistics(F.col("text")).alias("s")), "qda_stats")
     model = fit(stats, "s", labels, "quality", lambda doc_id: fold_of(doc_id, FOLDS) != HELD_OUT)
     held_out = F.coalesce(fold_of(F.col("doc_id"), FOLDS) == HELD_OUT, F.lit(False))
     x = stats.select("doc_id", F.array(*transformed(F.col("s"))).alias("x"))

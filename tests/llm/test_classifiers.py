@@ -27,6 +27,17 @@ def test_quality_on_held_out_rows(labelled):
     assert sum(r.predicted == r.quality for r in rows) >= 0.95 * len(rows)
 
 
+def test_scores_of_a_table_are_those_of_the_report(labelled):
+    docs, labels = labelled
+    docs = docs.filter("doc_id < 200")
+    stats = docs.select("doc_id", Q.statistics(Q.F.col("text")).alias("s"))
+    model = Q.fit(stats, "s", labels, "quality", lambda doc_id: Q.fold_of(doc_id, Q.FOLDS) != Q.HELD_OUT)
+    got = {r.doc_id: r.score for r in Q.score(docs, model).collect()}
+    want = {r.doc_id: r.score for r in Q.quality_scores(docs, labels).collect()}
+    assert len(set(want.values())) > 2 and got.keys() == want.keys()
+    assert all(abs(got[i] - want[i]) < 1e-6 for i in want)
+
+
 def test_toxicity_on_held_out_rows(labelled):
     docs, labels = labelled
     out = T.toxicity_report(docs, labels)
