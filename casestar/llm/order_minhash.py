@@ -10,15 +10,16 @@ so many k-mers in order that matches / (all k-mers of both - matches) reaches
 ``SIMILARITY``. Linked texts and exact copies form a group (connected
 components); its smallest doc_id names it and stays.
 
-Scale: exact copies are one node before anything is compared. In a bucket of
-equal sketches nobody is compared with everybody: each round has one pivot per
-bucket, and members of other components are compared with it. The first pivot is
-the smallest node, the second the most linked one (the centre of a star); from
-then on each component in a bucket sends one member, drawn anew each round, and
-one of them is the pivot, until a round finds no new link. So pairs are linear
-in bucket sizes, a large group collapses in the first rounds, and hot buckets are
-joins that Spark splits. No pair is compared twice. Each round's links and components
-are written to shared storage.
+Scale: exact copies are one node before anything is compared. First each round has
+one pivot per bucket of equal sketches, and members of other components are compared
+with it. The first pivot is the smallest node, the second the most linked one (the
+centre of a star); from then on each component in a bucket sends one member, drawn
+anew each round, and one of them is the pivot, until a round adds few links. So a
+large group collapses by pairs linear in bucket sizes. Then every pair of a bucket
+whose two components still differ is tried, in blocks of bounded size: bit signatures
+of the k-mers rule out most of the pairs that cannot reach the threshold (and no
+other), the rest are aligned. No pair is aligned twice. Each round's links and
+components are written to shared storage.
 
 Edge cases: null, empty and blank texts have no k-mers and stay by themselves
 (``keep_one`` keeps one row per id of them); a text of under five words has one
@@ -45,7 +46,9 @@ SIMILARITY = 0.8
 PICKS = 5           # k-mers in a sketch
 SKETCHES = 40       # a pair at the threshold shares none with a chance of about 1e-7
 LONG = 1 << 14      # k-mers beyond which the hash functions are applied one by one
-MAX_ROUNDS = 12
+FEW = 0.01          # share of new links at which the rounds of pivots end
+BLOCK = 512         # members of a bucket on either side of a block of pairs
+SIGNATURE = 16      # 64-bit words of a signature
 
 _MUL = np.uint64(0x9E3779B97F4A7C15)
 
@@ -230,6 +233,73 @@ def _round(buckets: DataFrame, labels: DataFrame | None, links: DataFrame | None
     return met.select(F.least("node", "p").alias("a"), F.greatest("node", "p").alias("b")).distinct()
 
 
+def signatures(texts: DataFrame) -> DataFrame:
+    """(node, s0, s1, ...): for each bit, whether an odd number of k-mers falls on it.
+    Two texts differ in no more bits than there are k-mers in only one of them."""
+    names = [f"s{i}" for i in range(SIGNATURE)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = 64 * SIGNATURE
+        for batch in batches:
+            made = np.zeros((batch.num_rows, SIGNATURE), np.int64)
+            for i, w in enumerate(_lists(batch.column(1))):
+                at = (_mixed(labelled_kmers(w)) % np.uint64(bits)).astype(np.int64)
+                made[i] = np.packbits((np.bincount(at, minlength=bits) & 1).astype(np.uint8)).view(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), *[pa.array(made[:, j]) for j in range(SIGNATURE)]], names=["node", *names])
+
+    return texts.select("node", "w").mapInArrow(run, ", ".join(["node long", *[f"{c} long" for c in names]]))
+
+
+def _rest(buckets: DataFrame, labels: DataFrame | None, texts: DataFrame, threshold: float) -> DataFrame:
+    """All pairs, each once, that share a bucket but no component, less those whose
+    sizes or signatures exclude a link. In a bucket the members outside its largest
+    component meet all members, block by block."""
+    if labels is None:
+        rows = buckets.withColumn("comp", F.col("node"))
+    else:
+        rows = buckets.join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    rows = rows.distinct()
+    mixed = rows.groupBy("key", "comp").agg(F.count("*").alias("c")).groupBy("key").agg(
+        F.max_by("comp", F.struct("c", "comp")).alias("top"), F.max("c").alias("most"), F.sum("c").alias("all"),
+        F.count("*").alias("comps")).filter("comps > 1").select(
+        "key", "top", F.ceil((F.col("all") - F.col("most")) / BLOCK).cast("int").alias("g"),
+        F.ceil(F.col("all") / BLOCK).cast("int").alias("h"))
+    live = materialize(rows.join(mixed, "key"), "omh_live")
+    bits = materialize(signatures(texts.join(live.select("node").distinct(), "node", "left_semi")), "omh_signatures")
+    live = live.join(bits, "node")
+
+    def side(rows: DataFrame, mine: str, own: str, other: str, theirs: str, mark: str) -> DataFrame:
+        return rows.select(
+            "key", "top", F.pmod(F.xxhash64("node", F.lit(mark)), F.col(own)).cast("int").alias(mine),
+            F.explode(F.sequence(F.lit(0), F.col(other) - 1)).alias(theirs),
+            *[F.col(c).alias(f"{mark}_{c}") for c in ["node", "comp", "n", *bits.columns[1:]]])
+
+    a = side(live.filter("comp <> top"), "i", "g", "h", "j", "a")
+    b = side(live, "j", "h", "g", "i", "b").drop("top")
+    differ = sum((F.bit_count(F.col(f"a_{c}").bitwiseXOR(F.col(f"b_{c}"))) for c in bits.columns[1:]), F.lit(0))
+    met = a.join(b, ["key", "i", "j"]).filter(
+        (F.col("a_comp") != F.col("b_comp")) & ((F.col("b_comp") == F.col("top")) | (F.col("a_node") < F.col("b_node")))
+        & (F.least("a_n", "b_n") >= threshold * F.greatest("a_n", "b_n"))
+        & (differ <= (F.col("a_n") + F.col("b_n")) * ((1 - threshold) / (1 + threshold)) + 1e-6))
+    return met.select(F.least("a_node", "b_node").alias("a"), F.greatest("a_node", "b_node").alias("b")).distinct()
+
+
+def _relabelled(labels: DataFrame | None, found: DataFrame) -> DataFrame:
+    """The components after the new links are added."""
+    if labels is None:
+        return components(found)
+    comp = labels.select(F.col("node").alias("x"), F.col("comp").alias("c"))
+    joined = found.join(comp.withColumnRenamed("x", "a").withColumnRenamed("c", "ca"), "a", "left").join(
+        comp.withColumnRenamed("x", "b").withColumnRenamed("c", "cb"), "b", "left").select(
+        F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))
+    over = components(joined).select(F.col("node").alias("comp"), F.col("comp").alias("top"))
+    old = labels.join(over, "comp", "left").select("node", F.coalesce("top", "comp").alias("comp"))
+    alone = over.join(labels, over["comp"] == labels["node"], "left_anti").select(
+        F.col("comp").alias("node"), F.col("top").alias("comp"))
+    return materialize(old.union(alone), "omh_labels")
+
+
 def degrees(links: DataFrame) -> DataFrame:
     return links.select("a").union(links.select("b")).groupBy(F.col("a").alias("node")).agg(
         F.count("*").alias("links"))
@@ -251,29 +321,22 @@ def group(df: DataFrame, id_col: str = "doc_id", text: str = "text", threshold:
         "node is not null").groupBy("node").agg(F.first("w").alias("w")).join(members, "node", "left_semi"), "omh_texts")
 
     links = labels = tried = None
-    for turn in range(MAX_ROUNDS):
-        pairs = _round(buckets, labels, links, turn, threshold)
+    turn, n_links, rest = 0, 0, False
+    while True:
+        pairs = _rest(buckets, labels, texts, threshold) if rest else _round(buckets, labels, links, turn, threshold)
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = materialize(pairs, "omh_pairs")
         tried = pairs if tried is None else tried.union(pairs)
         found = materialize(verify(pairs, texts, threshold), "omh_links")
-        if found.isEmpty():
+        n_found = found.count()
+        if n_found:
+            links = found if links is None else links.union(found)
+            labels = _relabelled(labels, found)
+        if rest:        # no bucket has an untried pair of two components left
             break
-        links = found if links is None else links.union(found)
-        if labels is None:
-            labels = components(found)
-            continue
-        # the new links join components: relabel those
-        comp = labels.select(F.col("node").alias("x"), F.col("comp").alias("c"))
-        joined = found.join(comp.withColumnRenamed("x", "a").withColumnRenamed("c", "ca"), "a", "left").join(
-            comp.withColumnRenamed("x", "b").withColumnRenamed("c", "cb"), "b", "left").select(
-            F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))
-        over = components(joined).select(F.col("node").alias("comp"), F.col("comp").alias("top"))
-        old = labels.join(over, "comp", "left").select("node", F.coalesce("top", "comp").alias("comp"))
-        alone = over.join(labels, over["comp"] == labels["node"], "left_anti").select(
-            F.col("comp").alias("node"), F.col("top").alias("comp"))
-        labels = materialize(old.union(alone), "omh_labels")
+        n_links += n_found
+        turn, rest = turn + 1, n_found <= n_links * FEW
     ids = nodes.select("node", "first_id")
     if labels is None:
         return rows.select("doc_id", "node"), ids.select(

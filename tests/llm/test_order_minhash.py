@@ -110,6 +110,22 @@ def test_a_star_whose_rays_differ_is_one_group(spark):
     assert {r.class_id for r in M.near_duplicates(df).collect()} == {0}
 
 
+def test_pairs_in_a_bucket_of_unlike_texts_are_all_found(spark, monkeypatch):
+    """One hot bucket of texts that share a passage; each is linked to one other only."""
+    monkeypatch.setattr(M, "BLOCK", 8, raising=False)
+    passage = [f"p{i}" for i in range(60)]
+    texts = [" ".join([*passage, *(f"t{k}_{i}" for i in range(9)), end]) for k in range(120) for end in ("x", "y")]
+    assert brute_classes(texts[:6]) == [0, 0, 2, 2, 4, 4]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows, classes = M.group(df, n_sketches=1)
+    node = {r.doc_id: r.node for r in rows.collect()}
+    cls = {r.node: r.class_id for r in classes.collect()}
+    shared = {r.doc_id: r.sketches for r in M.sketches(df, "doc_id", "text", 1, M.PICKS).collect()}
+    assert max(Counter(k[0] for k in shared.values()).values()) > 40
+    for i in range(0, len(texts), 2):
+        assert cls[node[i]] == i and cls[node[i + 1]] == (i if shared[i] == shared[i + 1] else i + 1)
+
+
 def test_odd_rows(odd_docs, no_docs):
     out = M.near_duplicates(odd_docs).collect()
     assert len(out) == odd_docs.count()
