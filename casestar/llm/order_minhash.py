@@ -3,8 +3,9 @@
 A text's k-mers are its runs of five words, each labelled with its occurrence
 number, so all labelled k-mers of a text differ. A sketch takes the ``PICKS``
 smallest labelled k-mers under one hash function and hashes them in text order;
-texts alike under edits agree on many of the ``SKETCHES`` sketches. Two texts
-that share a sketch are candidates. A candidate pair is linked if the alignment
+texts alike under edits agree on many of the ``SKETCHES`` sketches. Texts of up to
+``SHORT`` k-mers have keys that every two of them that can be linked share. Two texts
+that share a sketch or key are candidates. A candidate pair is linked if the alignment
 of the two k-mer sequences, inside the band that the threshold allows, matches
 so many k-mers in order that matches / (all k-mers of both - matches) reaches
 ``SIMILARITY``. Linked texts and exact copies form a group (connected
@@ -32,6 +33,8 @@ from __future__ import annotations
 
 from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import combinations
+from math import ceil
 
 import numpy as np
 import pyarrow as pa
@@ -44,7 +47,8 @@ from casestar.session import materialize
 SHINGLE = 5
 SIMILARITY = 0.8
 PICKS = 5           # k-mers in a sketch
-SKETCHES = 40       # a pair at the threshold shares none with a chance of about 1e-7
+SKETCHES = 40       # a pair at the threshold shares none with a chance of 1e-7 if long, 2e-6 at 16 and 20 k-mers
+SHORT = 19          # k-mers up to which texts have keys that leave nothing to chance
 LONG = 1 << 14      # k-mers beyond which the hash functions are applied one by one
 FEW = 0.01          # share of new links at which the rounds of pivots end
 BLOCK = 512         # members of a bucket on either side of a block of pairs
@@ -101,6 +105,34 @@ def sketch(kmers: np.ndarray, seeds: np.ndarray, picks: int = PICKS) -> np.ndarr
     return out
 
 
+def short_keys(kmers: np.ndarray, threshold: float = SIMILARITY) -> np.ndarray:
+    """Hashes of every choice of ``least`` k-mers, in text order, from the smallest ones.
+    Unequal texts that are linked match in ``least`` k-mers or more, and all but
+    ``spare`` k-mers of a text match; so the ``least`` smallest matches are among the
+    ``least + spare`` smallest k-mers of either text."""
+    n = len(kmers)
+    least = max(1, ceil(threshold / max(1 - threshold, 1e-9) - 1e-9))
+    spare = int((1 - threshold) * n + 1e-9)
+    if n < least:
+        return kmers[:0]
+    at = np.sort(np.argsort(kmers)[:least + spare])
+    chosen = kmers[at][np.array(list(combinations(range(len(at)), least)))]
+    out = np.full(len(chosen), _MUL)
+    for j in range(least):
+        out = _mixed(out * np.uint64(31) + chosen[:, j])
+    return out
+
+
+def keys_of(kmers: np.ndarray, seeds: np.ndarray, picks: int = PICKS, threshold: float = SIMILARITY) -> np.ndarray:
+    """What candidates share. A text whose partners are all short needs no sketches."""
+    n = len(kmers)
+    if n > SHORT:
+        return sketch(kmers, seeds, picks)
+    if n <= SHORT * threshold:
+        return short_keys(kmers, threshold)
+    return np.concatenate([sketch(kmers, seeds, picks), short_keys(kmers, threshold)])
+
+
 def aligned(a: np.ndarray, b: np.ndarray, threshold: float = SIMILARITY) -> float:
     """Similarity of two sequences of distinct labelled k-mers: matches in order
     within the band, over all k-mers. Below the threshold it may come out as 0."""
@@ -148,8 +180,10 @@ def node_of(ws: Column) -> Column:
     return F.when(F.size(ws) > 0, F.xxhash64(ws))
 
 
-def sketches(df: DataFrame, id_col: str, text: str, n_sketches: int, picks: int) -> DataFrame:
-    """(doc_id, node, n, sketches): a row per document, n its number of k-mers."""
+def sketches(df: DataFrame, id_col: str, text: str, n_sketches: int, picks: int,
+             threshold: float = SIMILARITY) -> DataFrame:
+    """(doc_id, node, n, sketches): a row per document, n its number of k-mers,
+    sketches the keys of ``keys_of``."""
     prepared = df.select(F.col(id_col).alias("doc_id"), words(F.col(text)).alias("w")).select(
         "doc_id", node_of(F.col("w")).alias("node"), word_hashes(F.col("w")).alias("w"))
     id_type = dict(prepared.dtypes)["doc_id"]
@@ -161,7 +195,7 @@ def sketches(df: DataFrame, id_col: str, text: str, n_sketches: int, picks: int)
             for h in _lists(b.column(2)):
                 kmers = labelled_kmers(h)
                 n.append(len(kmers))
-                made.append(sketch(kmers, seeds, picks) if len(kmers) else seeds[:0])
+                made.append(keys_of(kmers, seeds, picks, threshold))
             offsets = np.cumsum([0, *map(len, made)]).astype(np.int32)
             flat = np.concatenate(made).view(np.int64) if made else np.empty(0, np.int64)
             yield pa.RecordBatch.from_arrays(
@@ -309,7 +343,7 @@ def group(df: DataFrame, id_col: str = "doc_id", text: str = "text", threshold:
           n_sketches: int = SKETCHES, picks: int = PICKS) -> tuple[DataFrame, DataFrame]:
     """((doc_id, node) per row, (node, class_id, links) per node). ``class_id`` is
     the group's smallest doc_id, ``links`` the node's found links to other texts."""
-    rows = materialize(sketches(df, id_col, text, n_sketches, picks), "omh_sketches")
+    rows = materialize(sketches(df, id_col, text, n_sketches, picks, threshold), "omh_sketches")
     nodes = rows.filter("node is not null").groupBy("node").agg(
         F.min("doc_id").alias("first_id"), F.first("n").alias("n"), F.first("sketches").alias("sketches"))
     sketched = nodes.select("node", "n", F.explode("sketches").alias("key"))

@@ -126,6 +126,35 @@ def test_pairs_in_a_bucket_of_unlike_texts_are_all_found(spark, monkeypatch):
         assert cls[node[i]] == i and cls[node[i + 1]] == (i if shared[i] == shared[i + 1] else i + 1)
 
 
+def test_short_texts_match_brute_force(spark):
+    """Also where the shorter text is one sketch and the longer one always picks another."""
+    texts = ["a b c d e f g h", "a b c d e f g h i"]
+    rng = random.Random(11)
+    for k in range(60):
+        base = [f"s{k}_{i}" for i in range(rng.randint(6, 26))]
+        cut = rng.randint(1, 3)
+        texts += [" ".join(base), " ".join(base[:-cut]), " ".join(base[cut:]), " ".join(["z", *base])]
+    want = brute_classes(texts)
+    assert want[:2] == [0, 0] and len(set(want)) < len(texts) - 60
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.class_id for r in M.near_duplicates(df).collect()}
+    assert [got[i] for i in range(len(texts))] == want
+
+
+def test_linked_short_texts_always_share_a_key():
+    rng = random.Random(12)
+    for n in range(4, M.SHORT + 1):
+        for _ in range(60):
+            a = [rng.getrandbits(62) for _ in range(n)]
+            b = list(a)
+            for _ in range(rng.randint(1, 4)):
+                at = rng.randrange(len(b) + 1)
+                b[at:at + rng.randint(0, 1)] = [rng.getrandbits(62)] if rng.random() < 0.6 else []
+            x, y = (np.array(v, np.uint64) for v in (a, b))
+            if 0 < len(b) <= M.SHORT and a != b and M.aligned(x, y) >= 0.8:
+                assert set(M.short_keys(x).tolist()) & set(M.short_keys(y).tolist())
+
+
 def test_odd_rows(odd_docs, no_docs):
     out = M.near_duplicates(odd_docs).collect()
     assert len(out) == odd_docs.count()
