@@ -6,7 +6,7 @@ sums, estimation as one step per CTE), not the operators' methods.
 
 from __future__ import annotations
 
-from casestar.llm import lookup_sharding, quality_rules, secret_scan
+from casestar.llm import lookup_sharding, quality_rules, secret_scan, source_divergence
 
 WORD = r"[^\x20\x09-\x0D]+"
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
@@ -169,10 +169,76 @@ SELECT doc_id, coalesce(a, 0)::BIGINT AS n_assign, coalesce(k, 0)::BIGINT AS n_a
 FROM docs LEFT JOIN per_doc USING (rid)"""
 
 
+def divergence_sql() -> str:
+    """Every kept term with every group, absent ones included, and every pair of groups."""
+    unit = f"{source_divergence.UNIT}::HUGEINT"
+    return rf"""
+WITH docs AS MATERIALIZED (
+  SELECT row_number() OVER () AS rid, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS ts FROM documents),
+tokens AS MATERIALIZED (SELECT rid, lang, source, unnest(ts) AS term FROM docs),
+kept AS MATERIALIZED (
+  SELECT lang, term, count(*) AS n FROM tokens GROUP BY lang, term HAVING count(DISTINCT rid) >= {source_divergence.MIN_DOCS}),
+langs AS (SELECT lang, sum(n) AS total, count(*) AS v FROM kept GROUP BY lang),
+groups AS (SELECT DISTINCT lang, source FROM docs),
+counts AS MATERIALIZED (
+  SELECT g.lang, g.source, k.term, k.n AS lang_n, coalesce(c.n, 0) AS n
+  FROM groups g JOIN kept k USING (lang) LEFT JOIN (
+    SELECT lang, source, term, count(*) AS n FROM tokens GROUP BY ALL) c USING (lang, source, term)),
+shares AS MATERIALIZED (
+  SELECT c.lang, c.source, c.term, c.n,
+         1 + ({unit} * (c.n + 1)) // (sum(c.n) OVER (PARTITION BY c.lang, c.source) + l.v) AS p,
+         1 + ({unit} * (c.lang_n + 1)) // (l.total + l.v) AS q
+  FROM counts c JOIN langs l USING (lang)),
+sums AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+  FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+found AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(s.value, 0) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN sums s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, (p - q) * (p - q) // q FROM shares WHERE n > 0 AND p > q),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS r FROM found)
+SELECT lang, source, part, item, value::BIGINT AS value, r::INTEGER AS rank
+FROM ranked WHERE part = 'pair' OR r <= {source_divergence.TOP_TERMS}"""
+
+
+def negatives_sql() -> str:
+    """Every anchor against every row."""
+    return """
+WITH parsed AS (
+  SELECT row_number() OVER () AS rid, vec_id,
+         CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, embedding
+  FROM (SELECT DISTINCT vec_id, label, embedding FROM embeddings)),
+rows AS MATERIALIZED (
+  SELECT rid, vec_id, label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS c FROM parsed
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scores AS MATERIALIZED (
+  SELECT a.rid AS arid, a.vec_id AS anchor_id, r.rid, r.vec_id, r.label = a.label AS same,
+         list_inner_product(a.c, r.c)::BIGINT AS s
+  FROM rows a JOIN rows r ON a.rid <> r.rid WHERE a.vec_id % 50 = 0),
+positives AS (
+  SELECT arid, anchor_id, vec_id AS positive_id, s AS positive_score,
+         row_number() OVER (PARTITION BY arid ORDER BY s DESC, vec_id) AS k
+  FROM scores WHERE same QUALIFY k <= 5)
+SELECT p.anchor_id, p.positive_id,
+       (row_number() OVER (PARTITION BY p.arid, p.k ORDER BY n.s DESC, n.vec_id))::INTEGER AS rank,
+       n.vec_id AS negative_id, p.positive_score, n.s AS negative_score
+FROM positives p JOIN scores n ON n.arid = p.arid AND NOT n.same
+  AND 50 * p.positive_score <= 100 * n.s AND 100 * n.s <= 95 * p.positive_score
+QUALIFY rank <= 3"""
+
+
 SQL: dict[str, str] = {
     "op1_quality_rules": quality_sql(),
     "op3_warc_zstd": warc_sql(),
     "op5_lookup_sharding": sharding_sql(),
     "op6_decontaminate": contamination_sql(),
     "op10_secret_scan": secrets_sql(),
+    "op11_source_divergence": divergence_sql(),
+    "op12_hard_negatives": negatives_sql(),
 }

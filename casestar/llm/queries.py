@@ -80,3 +80,9 @@ def op7_quality_qda(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from casestar.llm import token_counts
     return token_counts.token_report(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from casestar.llm import source_divergence
+    return source_divergence.divergence_report(table(spark, sf_dir, "documents"))
