@@ -86,3 +86,15 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     from casestar.llm import source_divergence
     return source_divergence.divergence_report(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from casestar.llm import hard_negatives
+    return hard_negatives.hard_negatives(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from casestar.llm import language_id
+    return language_id.language_report(table(spark, sf_dir, "documents"))
