@@ -1,15 +1,15 @@
 """Near-duplicate groups by Order MinHash with banded alignment.
 
-A text's k-mers are its runs of five words, each labelled with its occurrence
-number, so all labelled k-mers of a text differ. A sketch takes the ``PICKS``
-smallest labelled k-mers under one hash function and hashes them in text order;
-texts alike under edits agree on many of the ``SKETCHES`` sketches. Texts of up to
-``SHORT`` k-mers have keys that every two of them that can be linked share. Two texts
-that share a sketch or key are candidates. A candidate pair is linked if the alignment
-of the two k-mer sequences, inside the band that the threshold allows, matches
-so many k-mers in order that matches / (all k-mers of both - matches) reaches
-``SIMILARITY``. Linked texts and exact copies form a group (connected
-components); its smallest doc_id names it and stays.
+A text's k-mers are its runs of k words, each labelled with its occurrence number, so
+all labelled k-mers of a text differ. A sketch takes the ``PICKS`` smallest labelled
+k-mers under one hash function and hashes them in text order; texts alike under edits
+agree on many of the ``SKETCHES`` sketches. k is five words (``SHINGLE``); short texts,
+of whose long k-mers one changed word leaves none, have sketches of shorter ones
+(``TIERS``). Two texts that share a sketch are candidates. A candidate pair is linked if
+the words that an alignment inside the band matches in order make up ``SIMILARITY`` of
+the words of both: 2 * matches / (words of one + words of the other). The band is as wide
+as that share allows, so that it excludes no such pair. Linked texts and exact copies
+form a group (connected components); its smallest doc_id names it and stays.
 
 Scale: exact copies are one node before anything is compared. First each round has
 one pivot per bucket of equal sketches, and members of other components are compared
@@ -18,22 +18,19 @@ centre of a star); from then on each component in a bucket sends one member, dra
 anew each round, and one of them is the pivot, until a round adds few links. So a
 large group collapses by pairs linear in bucket sizes. Then every pair of a bucket
 whose two components still differ is tried, in blocks of bounded size: bit signatures
-of the k-mers rule out most of the pairs that cannot reach the threshold (and no
+of the words rule out most of the pairs that cannot reach the threshold (and no
 other), the rest are aligned. No pair is aligned twice. Each round's links and
 components are written to shared storage.
 
-Edge cases: null, empty and blank texts have no k-mers and stay by themselves
-(``keep_one`` keeps one row per id of them); a text of under five words has one
-k-mer, the whole text; a null id comes after all others, and a group of null ids
-has a null name; repeated rows are one group; an empty table gives an empty
-result. Whole texts are used. Extra columns pass through ``keep_one``.
+Edge cases: null, empty and blank texts have no words and stay by themselves
+(``keep_one`` keeps one row per id of them); a null id comes after all others, and a
+group of null ids has a null name; repeated rows are one group; an empty table gives an
+empty result. Whole texts are used, however long. Extra columns pass through ``keep_one``.
 """
 
 from __future__ import annotations
 
-from bisect import bisect_left
-from collections.abc import Iterator
-from itertools import combinations
+from collections.abc import Iterator, Sequence
 from math import ceil
 
 import numpy as np
@@ -45,11 +42,11 @@ from casestar.llm.common import fresh, let, words
 from casestar.session import materialize
 
 SHINGLE = 5
-SIMILARITY = 0.8
-PICKS = 5           # k-mers in a sketch
-SKETCHES = 40       # a pair at the threshold shares none with a chance of 1e-7 if long, 2e-6 at 16 and 20 k-mers
-SHORT = 19          # k-mers up to which texts have keys that leave nothing to chance
-LONG = 1 << 14      # k-mers beyond which the hash functions are applied one by one
+SIMILARITY = 0.8    # share of words that align
+PICKS = 2           # k-mers in a sketch
+SKETCHES = 64       # of pairs at the threshold with evenly spread edits about 7 % share none, at 0.85 under 1 %
+TIERS = ((SHINGLE, 32, None), (2, 8, 48), (1, 1, 12))   # k-mer length, for texts of so many words at least, at most
+LONG = 1 << 16      # k-mers whose hashes are held at once, times SKETCHES
 FEW = 0.01          # share of new links at which the rounds of pivots end
 BLOCK = 512         # members of a bucket on either side of a block of pairs
 SIGNATURE = 16      # 64-bit words of a signature
@@ -91,77 +88,77 @@ def labelled_kmers(word_hashes: np.ndarray, k: int = SHINGLE) -> np.ndarray:
 def sketch(kmers: np.ndarray, seeds: np.ndarray, picks: int = PICKS) -> np.ndarray:
     """One hash per seed of the ``picks`` smallest k-mers, kept in text order."""
     n = len(kmers)
-    if n > picks:
-        if n > LONG:
-            at = np.stack([np.argpartition(_mixed(kmers * s), picks)[:picks] for s in seeds])
-        else:
-            at = np.argpartition(_mixed(kmers[None, :] * seeds[:, None]), picks, axis=1)[:, :picks]
-        chosen = kmers[np.sort(at, axis=1)]
-    else:
+    if n <= picks:
         chosen = np.broadcast_to(kmers, (len(seeds), n))
+    else:
+        at = np.empty((len(seeds), picks), np.int64)
+        step = max(1, LONG * SKETCHES // n)
+        for i in range(0, len(seeds), step):
+            h = kmers[None, :] * seeds[i:i + step, None]
+            rows = np.arange(len(h))
+            for j in range(picks):
+                at[i:i + step, j] = low = h.argmin(axis=1)
+                h[rows, low] = np.iinfo(np.uint64).max
+        chosen = kmers[np.sort(at, axis=1)]
     out = seeds.copy()
     for j in range(chosen.shape[1]):
         out = _mixed(out * np.uint64(31) + chosen[:, j])
     return out
 
 
-def short_keys(kmers: np.ndarray, threshold: float = SIMILARITY) -> np.ndarray:
-    """Hashes of every choice of ``least`` k-mers, in text order, from the smallest ones.
-    Unequal texts that are linked match in ``least`` k-mers or more, and all but
-    ``spare`` k-mers of a text match; so the ``least`` smallest matches are among the
-    ``least + spare`` smallest k-mers of either text."""
-    n = len(kmers)
-    least = max(1, ceil(threshold / max(1 - threshold, 1e-9) - 1e-9))
-    spare = int((1 - threshold) * n + 1e-9)
-    if n < least:
-        return kmers[:0]
-    at = np.sort(np.argsort(kmers)[:least + spare])
-    chosen = kmers[at][np.array(list(combinations(range(len(at)), least)))]
-    out = np.full(len(chosen), _MUL)
-    for j in range(least):
-        out = _mixed(out * np.uint64(31) + chosen[:, j])
-    return out
-
-
-def keys_of(kmers: np.ndarray, seeds: np.ndarray, picks: int = PICKS, threshold: float = SIMILARITY) -> np.ndarray:
-    """What candidates share. A text whose partners are all short needs no sketches."""
-    n = len(kmers)
-    if n > SHORT:
-        return sketch(kmers, seeds, picks)
-    if n <= SHORT * threshold:
-        return short_keys(kmers, threshold)
-    return np.concatenate([sketch(kmers, seeds, picks), short_keys(kmers, threshold)])
+def keys_of(hashes: np.ndarray, seeds: np.ndarray, picks: int = PICKS, tiers: Sequence[tuple] = TIERS) -> np.ndarray:
+    """What candidates share: the sketches of every tier that a text of these words has."""
+    n, out = len(hashes), [np.empty(0, np.uint64)]
+    for k, least, most in tiers:
+        if least <= n and (most is None or n <= most):
+            out.append(_mixed(sketch(labelled_kmers(hashes, k), seeds, picks) + np.uint64(k)))
+    return np.unique(np.concatenate(out))
+
+
+def banded_matches(a: list[int], b: list[int], band: int) -> int:
+    """Length of the longest common subsequence of matches (i, j) with |i - j| <= band,
+    by bit-parallel rows: bit i of ``v`` is 0 where row j gains a match at a[i]. ``v``
+    holds the bits of the band only; those that leave it are counted."""
+    masks: dict[int, int] = {}
+    for i, x in enumerate(a):
+        masks[x] = masks.get(x, 0) | (1 << i)
+    lo, hi, found = 0, min(len(a), band + 1), 0
+    v = (1 << hi) - 1
+    for j, x in enumerate(b):
+        if j > band and lo < hi:
+            found += 1 - (v & 1)
+            v >>= 1
+            lo += 1
+        if j and hi < len(a) and hi < j + band + 1:
+            v |= 1 << (hi - lo)
+            hi += 1
+        u = v & (masks.get(x, 0) >> lo)
+        if u:
+            v = ((v + u) | (v - u)) & ((1 << (hi - lo)) - 1)
+    return found + (hi - lo) - v.bit_count()
 
 
 def aligned(a: np.ndarray, b: np.ndarray, threshold: float = SIMILARITY) -> float:
-    """Similarity of two sequences of distinct labelled k-mers: matches in order
-    within the band, over all k-mers. Below the threshold it may come out as 0."""
+    """Share of the words of two texts (as hashes) that match in order within the band.
+    Below the threshold it may come out as 0."""
     na, nb = len(a), len(b)
-    if not na or not nb:
+    need = ceil(threshold * (na + nb) / 2 - 1e-9)
+    if not na or not nb or min(na, nb) < need:
         return 0.0
-    need = threshold / (1 + threshold) * (na + nb)
-    if min(na, nb) < need - 1e-9:
-        return 0.0
-    band = max(na, nb) - need
-    order = np.argsort(b)
-    at = np.searchsorted(b, a, sorter=order)
-    at[at == nb] = 0
-    j = order[at]
-    i = np.flatnonzero(b[j] == a)
-    j = j[i]
-    inside = np.abs(i - j) <= band + 1
-    j = j[inside]
-    if len(j) < need - 1e-9:
-        return 0.0
-    if np.all(j[1:] > j[:-1]):
-        m = len(j)
-    else:       # longest chain in order
-        ends: list[int] = []
-        for x in j.tolist():
-            p = bisect_left(ends, x)
-            ends[p:p + 1] = [x]
-        m = len(ends)
-    return m / (na + nb - m)
+    n = min(na, nb)
+    unlike = np.flatnonzero(a[:n] != b[:n])
+    head = int(unlike[0]) if len(unlike) else n
+    unlike = np.flatnonzero(a[na - n + head:][::-1] != b[nb - n + head:][::-1])
+    tail = int(unlike[0]) if len(unlike) else n - head
+    x, y = a[head:na - tail], b[head:nb - tail]
+    if len(x) and len(y):
+        both = len(np.intersect1d(labelled_kmers(x, 1), labelled_kmers(y, 1), assume_unique=True))
+        if head + tail + both < need:
+            return 0.0
+        m = head + tail + banded_matches(x.tolist(), y.tolist(), na + nb - 2 * need)
+    else:
+        m = head + tail
+    return 2 * m / (na + nb)
 
 
 def _lists(column: pa.Array) -> Iterator[np.ndarray]:
@@ -180,9 +177,8 @@ def node_of(ws: Column) -> Column:
     return F.when(F.size(ws) > 0, F.xxhash64(ws))
 
 
-def sketches(df: DataFrame, id_col: str, text: str, n_sketches: int, picks: int,
-             threshold: float = SIMILARITY) -> DataFrame:
-    """(doc_id, node, n, sketches): a row per document, n its number of k-mers,
+def sketches(df: DataFrame, id_col: str, text: str, n_sketches: int, picks: int) -> DataFrame:
+    """(doc_id, node, n, sketches): a row per document, n its number of words,
     sketches the keys of ``keys_of``."""
     prepared = df.select(F.col(id_col).alias("doc_id"), words(F.col(text)).alias("w")).select(
         "doc_id", node_of(F.col("w")).alias("node"), word_hashes(F.col("w")).alias("w"))
@@ -193,9 +189,8 @@ def sketches(df: DataFrame, id_col: str, text: str, n_sketches: int, picks: int,
         for b in batches:
             n, made = [], []
             for h in _lists(b.column(2)):
-                kmers = labelled_kmers(h)
-                n.append(len(kmers))
-                made.append(keys_of(kmers, seeds, picks, threshold))
+                n.append(len(h))
+                made.append(keys_of(h, seeds, picks))
             offsets = np.cumsum([0, *map(len, made)]).astype(np.int32)
             flat = np.concatenate(made).view(np.int64) if made else np.empty(0, np.int64)
             yield pa.RecordBatch.from_arrays(
@@ -212,14 +207,9 @@ def verify(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
         texts.select(F.col("node").alias("b"), F.col("w").alias("wb")), "b").select("a", "b", "wa", "wb")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, kmers = None, None
         for batch in batches:
-            keep = []
-            for a, x, y in zip(batch.column(0).to_pylist(), _lists(batch.column(2)), _lists(batch.column(3)),
-                               strict=True):
-                if a != last:
-                    last, kmers = a, labelled_kmers(x)
-                keep.append(aligned(kmers, labelled_kmers(y), threshold) >= threshold)
+            keep = [aligned(x, y, threshold) >= threshold - 1e-9
+                    for x, y in zip(_lists(batch.column(2)), _lists(batch.column(3)), strict=True)]
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
     return joined.mapInArrow(run, "a long, b long")
@@ -263,13 +253,14 @@ def _round(buckets: DataFrame, labels: DataFrame | None, links: DataFrame | None
         F.max("comp").alias("hi")).filter("lo <> hi").select(
         "key", F.col("pivot.node").alias("p"), F.col("pivot.comp").alias("p_comp"), F.col("pivot.n").alias("p_n"))
     met = rows.join(pivots, "key").filter("comp <> p_comp").filter(
-        F.least("n", "p_n") >= threshold * F.greatest("n", "p_n"))
+        F.least("n", "p_n") >= threshold / (2 - threshold) * F.greatest("n", "p_n") - 1e-6)
     return met.select(F.least("node", "p").alias("a"), F.greatest("node", "p").alias("b")).distinct()
 
 
 def signatures(texts: DataFrame) -> DataFrame:
-    """(node, s0, s1, ...): for each bit, whether an odd number of k-mers falls on it.
-    Two texts differ in no more bits than there are k-mers in only one of them."""
+    """(node, s0, s1, ...): for each bit, whether an odd number of words, labelled with
+    their occurrence, falls on it. Two texts differ in no more bits than there are such
+    words in only one of them, and those cannot be aligned."""
     names = [f"s{i}" for i in range(SIGNATURE)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -277,7 +268,7 @@ def signatures(texts: DataFrame) -> DataFrame:
         for batch in batches:
             made = np.zeros((batch.num_rows, SIGNATURE), np.int64)
             for i, w in enumerate(_lists(batch.column(1))):
-                at = (_mixed(labelled_kmers(w)) % np.uint64(bits)).astype(np.int64)
+                at = (_mixed(labelled_kmers(w, 1)) % np.uint64(bits)).astype(np.int64)
                 made[i] = np.packbits((np.bincount(at, minlength=bits) & 1).astype(np.uint8)).view(np.int64)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), *[pa.array(made[:, j]) for j in range(SIGNATURE)]], names=["node", *names])
@@ -314,8 +305,8 @@ def _rest(buckets: DataFrame, labels: DataFrame | None, texts: DataFrame, thresh
     differ = sum((F.bit_count(F.col(f"a_{c}").bitwiseXOR(F.col(f"b_{c}"))) for c in bits.columns[1:]), F.lit(0))
     met = a.join(b, ["key", "i", "j"]).filter(
         (F.col("a_comp") != F.col("b_comp")) & ((F.col("b_comp") == F.col("top")) | (F.col("a_node") < F.col("b_node")))
-        & (F.least("a_n", "b_n") >= threshold * F.greatest("a_n", "b_n"))
-        & (differ <= (F.col("a_n") + F.col("b_n")) * ((1 - threshold) / (1 + threshold)) + 1e-6))
+        & (F.least("a_n", "b_n") >= threshold / (2 - threshold) * F.greatest("a_n", "b_n") - 1e-6)
+        & (differ <= (F.col("a_n") + F.col("b_n")) * (1 - threshold) + 1e-6))
     return met.select(F.least("a_node", "b_node").alias("a"), F.greatest("a_node", "b_node").alias("b")).distinct()
 
 
@@ -343,7 +334,7 @@ def group(df: DataFrame, id_col: str = "doc_id", text: str = "text", threshold:
           n_sketches: int = SKETCHES, picks: int = PICKS) -> tuple[DataFrame, DataFrame]:
     """((doc_id, node) per row, (node, class_id, links) per node). ``class_id`` is
     the group's smallest doc_id, ``links`` the node's found links to other texts."""
-    rows = materialize(sketches(df, id_col, text, n_sketches, picks, threshold), "omh_sketches")
+    rows = materialize(sketches(df, id_col, text, n_sketches, picks), "omh_sketches")
     nodes = rows.filter("node is not null").groupBy("node").agg(
         F.min("doc_id").alias("first_id"), F.first("n").alias("n"), F.first("sketches").alias("sketches"))
     sketched = nodes.select("node", "n", F.explode("sketches").alias("key"))
