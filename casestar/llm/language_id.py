@@ -6,15 +6,17 @@ present in both, over the geometric mean of the two set sizes. Kernel columns ag
 few landmark texts are mapped by the inverse root of the landmarks' own kernel
 (Nyström), and one ridge regression per language, that language against the rest, is
 solved in those coordinates; both maps fold into one matrix of dual weights. A batch of
-texts is scored by two matrix products: presence by landmarks, then kernel by languages.
+texts is scored by products of matrices: presence of n-grams in texts, n-grams in
+landmarks, landmarks by languages. The last two are multiplied once, as there are
+mostly fewer languages than landmarks.
 
 The languages' outputs become probabilities by a softmax of ``SHARPNESS`` times them;
 the highest gives the prediction, its probability the score.
 
 Bounds: n-grams are numbered by a hash of ``BITS`` bits, so a landmark is at most
-2**BITS bits, whatever its length. The model is fitted on at most ``PER_LANGUAGE`` rows
-of each of the ``LANGUAGES`` most frequent languages (those with the smallest hash of
-their id and text) and ``LANDMARKS`` of them in all; scoring reads every row, and whole
+2**BITS bits, whatever its length. The model is fitted on about ``PER_LANGUAGE`` rows at
+most of each of the ``LANGUAGES`` most frequent languages (picked by a hash of id and
+text) and ``LANDMARKS`` of them in all; scoring reads every row, and whole
 texts. The regression's moments are summed in the tasks: what reaches the driver are
 landmarks and matrices of their number.
 
@@ -30,7 +32,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -41,7 +43,7 @@ from pyspark.sql import types as T
 from casestar.llm.common import fold_of
 from casestar.session import materialize
 
-LONGEST = 4
+LONGEST = 4             # bytes, at most 4: an n-gram is a 32-bit number
 BITS = 18
 LANDMARKS = 128
 PER_LANGUAGE = 2000
@@ -52,7 +54,7 @@ FOLDS, HELD_OUT = 3, 1
 UNKNOWN = "und"
 STEP = 1 << 16          # n-grams whose presence is multiplied at once
 
-_MUL = np.uint64(0x9E3779B97F4A7C15)
+_MUL = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F], np.uint32)
 _OTHER = re.compile(r"[\W\d_]+")
 
 
@@ -64,15 +66,13 @@ def letters(text: str | None) -> str:
 
 def grams(plain: str) -> np.ndarray:
     """Numbers of the n-grams of ``letters(text)``, repeats included."""
-    b = np.frombuffer(f" {plain} ".encode("utf-8", "surrogatepass"), np.uint8).astype(np.uint64)
-    code, out = b, []
-    for n in range(1, LONGEST + 1):
-        if n > 1:
-            if len(code) < 2:
-                break
-            code = (code[:-1] << np.uint64(8)) | b[n - 1:]
-        out.append(((code + np.uint64(n << 56)) * _MUL) >> np.uint64(64 - BITS))
-    return np.concatenate(out).astype(np.int64)
+    b = np.frombuffer(f" {plain} ".encode("utf-8", "surrogatepass"), np.uint8).astype(np.uint32)
+    shift = np.uint32(32 - BITS)
+    code, out = b, [(b + np.uint32(1)) * _MUL[0] >> shift]
+    for n in range(2, min(LONGEST, len(b)) + 1):
+        code = (code[:-1] << np.uint32(8)) | b[n - 1:]
+        out.append((code ^ (code >> np.uint32(15))) * _MUL[n - 1] >> shift)
+    return np.concatenate(out).astype(np.intp)
 
 
 class Presence:
@@ -85,7 +85,7 @@ class Presence:
         """The distinct n-grams of a text, ascending."""
         found = grams(plain)
         self.seen[found] = True
-        out = np.flatnonzero(self.seen) if len(found) > 4096 else np.unique(found)
+        out = np.flatnonzero(self.seen) if len(found) > 512 else np.unique(found)
         self.seen[found] = False
         return out
 
@@ -115,10 +115,11 @@ def landmarks_of(sets: list[np.ndarray]) -> Landmarks:
     return Landmarks(numbers, present, sizes, vectors[:, good] / np.sqrt(values[good]))
 
 
-def kernel(texts: list[str], marks: Landmarks, presence: Presence) -> np.ndarray:
-    """Texts (none empty) by landmarks. The product of the sparse presence matrix with
-    the landmarks' n-grams adds up the rows of the n-grams that are present."""
-    out = np.zeros((len(texts), len(marks.sizes)))
+def product(texts: list[str], numbers: np.ndarray, table: np.ndarray, presence: Presence) -> tuple[np.ndarray, np.ndarray]:
+    """The sparse presence matrix of texts (none empty) times ``table``, whose row
+    ``numbers[g]`` belongs to n-gram g (the last one, zeros, to n-grams without a row),
+    and the texts' set sizes. The rows of the n-grams present are added up."""
+    out = np.zeros((len(texts), table.shape[1]))
     sizes = np.ones(len(texts))
     rows: list[np.ndarray] = []
     owners: list[int] = []
@@ -126,7 +127,7 @@ def kernel(texts: list[str], marks: Landmarks, presence: Presence) -> np.ndarray
     def flush() -> None:
         if rows:
             starts = np.cumsum([0, *map(len, rows[:-1])])
-            np.add.at(out, owners, np.add.reduceat(marks.present[np.concatenate(rows)], starts, axis=0))
+            np.add.at(out, owners, np.add.reduceat(table[np.concatenate(rows)], starts, axis=0))
             rows.clear()
             owners.clear()
 
@@ -134,8 +135,8 @@ def kernel(texts: list[str], marks: Landmarks, presence: Presence) -> np.ndarray
     for i, plain in enumerate(texts):
         found = presence.of(plain)
         sizes[i] = len(found)
-        known = marks.numbers[found]
-        known = known[known < len(marks.present) - 1]
+        known = numbers[found]
+        known = known[known < len(table) - 1]
         for at in range(0, len(known), STEP):
             rows.append(known[at:at + STEP])
             owners.append(i)
@@ -144,30 +145,41 @@ def kernel(texts: list[str], marks: Landmarks, presence: Presence) -> np.ndarray
                 flush()
                 held = 0
     flush()
-    return out / np.sqrt(np.outer(sizes, marks.sizes))
+    return out, sizes
+
+
+def kernel(texts: list[str], marks: Landmarks, presence: Presence) -> np.ndarray:
+    """Texts (none empty) by landmarks."""
+    shared, sizes = product(texts, marks.numbers, marks.present, presence)
+    return shared / np.sqrt(np.outer(sizes, marks.sizes))
 
 
 @dataclass(frozen=True)
 class Model:
-    """``weights``: landmarks by languages, ``offset``: a constant per language."""
+    """``weights``: landmarks by languages, ``offset``: a constant per language, ``table``:
+    n-grams by languages, the product of landmarks and weights."""
     languages: tuple[str, ...]
     marks: Landmarks | None = None
     weights: np.ndarray | None = None
     offset: np.ndarray | None = None
+    table: np.ndarray | None = None
+
+    def outputs(self, texts: list[str], presence: Presence) -> np.ndarray:
+        """Kernel times weights plus offset, for texts of which none is empty."""
+        got, sizes = product(texts, self.marks.numbers, self.table, presence)
+        return got / np.sqrt(sizes)[:, None] + self.offset
 
 
 def training_rows(docs: DataFrame, per_language: int = PER_LANGUAGE, languages: int = LANGUAGES) -> DataFrame:
-    """(lang, text, rank): the bounded sample of ``docs`` (doc_id, text, lang). Each of the
-    languages, few by their bound, has a hash up to which its rows are taken."""
+    """(lang, text, rank): the bounded sample of ``docs`` (doc_id, text, lang). A language of
+    n rows gives those whose hash falls into the first per_language / n of its range."""
     rows = docs.filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).select(
         "lang", "text", F.xxhash64("doc_id", "text").alias("order"))
+    kept = materialize(rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(languages).select(
+        "lang", (F.lit(float(per_language << 30)) / F.col("n")).alias("upto")), "lang_kept")
+    sample = rows.join(F.broadcast(kept), "lang").filter(
+        F.pmod("order", F.lit(1 << 30)) < F.col("upto")).groupBy("lang", "order").agg(F.first("text").alias("text"))
     mine = Window.partitionBy("lang").orderBy("order")
-    kept = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(languages)
-    upto = rows.select("lang", "order").withColumn("rank", F.dense_rank().over(mine)).filter(
-        F.col("rank") <= per_language).groupBy("lang").agg(F.max("order").alias("upto"))
-    upto = materialize(kept.select("lang").join(upto, "lang"), "lang_upto")
-    sample = rows.join(F.broadcast(upto), "lang").filter("order <= upto").groupBy("lang", "order").agg(
-        F.first("text").alias("text"))
     return materialize(sample, "lang_sample").withColumn("rank", F.row_number().over(mine))
 
 
@@ -220,14 +232,16 @@ def fit(docs: DataFrame, landmarks: int = LANDMARKS, per_language: int = PER_LAN
     total = sum((np.frombuffer(r["m"]).reshape(k, k + len(names)) for r in parts), np.zeros((k, k + len(names))))
     shared.unpersist()
     solved = np.linalg.solve(total[:, :k] + RIDGE * len(names) * np.eye(k), total[:, k:])
-    return Model(names, marks, marks.inverse @ solved[:-1], solved[-1])
+    weights = marks.inverse @ solved[:-1]
+    return Model(names, marks, weights, solved[-1], marks.present @ (weights / np.sqrt(marks.sizes)[:, None]))
 
 
 def predict(df: DataFrame, model: Model, text: str = "text", lang: str = "lang_pred", score: str = "score") -> DataFrame:
     """``df`` plus the predicted language and its probability."""
     df = df.drop(lang, score)
     kinds = [T.StructField(lang, T.StringType()), T.StructField(score, T.DoubleType())]
-    shared = df.sparkSession.sparkContext.broadcast(model)
+    shared = df.sparkSession.sparkContext.broadcast(replace(model, marks=model.marks and replace(
+        model.marks, present=np.empty((0, 0)))))        # scoring needs the product only
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, presence = shared.value, Presence()
@@ -243,7 +257,7 @@ def predict(df: DataFrame, model: Model, text: str = "text", lang: str = "lang_p
                 if model.marks is None:
                     best, sure = np.zeros(len(keep), int), np.ones(len(keep))
                 else:
-                    z = SHARPNESS * (kernel([plain[i] for i in keep], model.marks, presence) @ model.weights + model.offset)
+                    z = SHARPNESS * model.outputs([plain[i] for i in keep], presence)
                     z = np.exp(z - z.max(axis=1, keepdims=True))
                     best = z.argmax(axis=1)
                     sure = z.max(axis=1) / z.sum(axis=1)
