@@ -163,3 +163,16 @@ def rekey_properties(geoms: str | Column, mapping: Mapping[str, str]) -> Column:
 def filter_coords(coords: str | Column, pred: Callable[[Column], Column]) -> Column:
     """Keep array elements that satisfy ``pred`` (O22), evaluated per element."""
     return F.filter(_col(coords), pred)
+
+
+def filter_rings(geometry: str | Column, pred: Callable[[Column, Column], Column]) -> Column:
+    """A document's geometry without the rings whose first point fails ``pred(lat, lng)``
+    (O22); every other member of the geometry stays. A ring is a list of [lng, lat]."""
+    g = _col(geometry)
+    kept = F.filter(g["coordinates"], lambda ring: pred(ring[0][1], ring[0][0]))
+    return g.withField("coordinates", kept)
+
+
+def filter_features(features: str | Column, pred: Callable[[Column, Column], Column]) -> Column:
+    """``filter_rings`` on the geometry of every feature of a document."""
+    return F.transform(_col(features), lambda f: f.withField("geometry", filter_rings(f["geometry"], pred)))

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from casestar.functions.columns import PERIOD_BOUNDS, PERIOD_LAST_LABEL, period_bucket
 from casestar.operators.aggregate import bounds_scalar
 from casestar.operators.checks import unique_by
-from casestar.operators.joins import cross, outer_join
+from casestar.operators.joins import outer_join
 from casestar.session import materialize
 
 GEO_KEYS = ["IdBundesland", "Bundesland", "IdLandkreis", "Landkreis"]
@@ -33,6 +33,7 @@ STATE_KEYS = ["IdBundesland", "Bundesland"]
 GEO_TIME_COLS = GEO_KEYS + ["ones", "Datum", "id_time", "time_cat", "id_lk_time"]
 STATE_TIME_COLS = ["index"] + STATE_KEYS + ["Datum", "id_time", "id_bl_time"]
 BRIDGE_COLS = GEO_TIME_COLS + ["index", "id_bl_time"]
+BRIDGE_KEYS = ["IdBundesland", "IdLandkreis", "Datum"]
 SPAN_VALUES = ["Altersgruppe", "Geschlecht", "Status"]
 
 
@@ -150,17 +151,30 @@ def geo_time_keys(geo: DataFrame, time: DataFrame) -> DataFrame:
     }).select(*BRIDGE_COLS)
 
 
+def spread(bridge: DataFrame, keys: Sequence[str] = BRIDGE_KEYS) -> DataFrame:
+    """The bridge dealt over as many tasks as there are shuffle partitions, whatever
+    its size: what is generated from its rows is many times as large. AQE does not
+    coalesce a repartition with a given number."""
+    return bridge.repartition(int(bridge.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
+def value_sets(facts: DataFrame, value_cols: Sequence[str] = SPAN_VALUES) -> Column:
+    """The distinct values of each column, sorted, as one struct of arrays (a scalar
+    subquery: one row, of the size of the category sets)."""
+    return facts.agg(F.struct(*[F.array_sort(F.collect_set(c)).alias(c) for c in value_cols])).scalar()
+
+
 def dense_span(bridge: DataFrame, facts: DataFrame, value_cols: Sequence[str] = SPAN_VALUES) -> DataFrame:
     """Geo-time x every age x sex x status seen in the facts.
 
-    The values come from one pass over the facts, whose distinct combinations
-    are written; the product is made by block joins (``cross``), so it is
-    generated in parallel and never gathered on one task.
+    The bridge is dealt over the tasks first; each of its rows then explodes the
+    value sets, one column after the other. The span itself is never shuffled,
+    joined or gathered.
     """
-    values = materialize(facts.select(*value_cols).distinct(), "span_values")
-    out = bridge
+    sets = value_sets(facts, value_cols)
+    out = spread(bridge)
     for c in value_cols:
-        out = cross(out, values.select(c).distinct())
+        out = out.withColumn(c, F.explode(sets[c]))
     return out
 
 
@@ -183,3 +197,23 @@ def with_row_id(df: DataFrame, order_cols: Sequence[str], name: str = "row_id",
     local = F.row_number().over(Window.partitionBy("__pid").orderBy(*order_cols))
     return ranged.withColumn("__local", local).join(offsets, "__pid").withColumn(
         name, (F.col("__off") + F.col("__local") - 1).cast("bigint")).select(*df.columns, name)
+
+
+def with_file_order_id(df: DataFrame, name: str = "row_id") -> DataFrame:
+    """0..n-1 id in the order of the rows in their files, files by path.
+
+    ``df`` is what a file reader returned, or a projection or filter of it. Each row
+    keeps the file and block it was read from and its number within that block's task;
+    the rows are written with them once. From the copy, a block's rows are numbered by
+    themselves and shifted by the rows of all earlier blocks (a table with one row per
+    block). The order needs no column of the data and no sort across blocks.
+    """
+    at = df.select("*", F.col("_metadata.file_path").alias("__file"), F.col("_metadata.file_block_start").alias("__block"),
+                   F.monotonically_increasing_id().alias("__seq"))
+    rows = materialize(at, "file_order")
+    blocks = rows.groupBy("__file", "__block").agg(F.count(F.lit(1)).alias("__n"))
+    before = Window.orderBy("__file", "__block").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = blocks.select("__file", "__block", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))
+    local = F.row_number().over(Window.partitionBy("__file", "__block").orderBy("__seq"))
+    return rows.withColumn("__local", local).join(offsets, ["__file", "__block"]).withColumn(
+        name, (F.col("__off") + F.col("__local") - 1).cast("bigint")).select(*df.columns, name)

@@ -4,7 +4,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+from functools import reduce
+
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from casestar.functions.columns import (
@@ -19,7 +22,7 @@ from casestar.functions.columns import (
     recode,
 )
 from casestar.operators.aggregate import bounds_scalar, sum_by
-from casestar.operators.dimensions import GEO_KEYS, geo_ranked
+from casestar.operators.dimensions import GEO_KEYS, SPAN_VALUES, geo_ranked, spread, value_sets
 from casestar.operators.joins import attach_facts
 from casestar.operators.reshape import measures_to_status
 from casestar.session import materialize
@@ -39,6 +42,32 @@ def reject_rows(raw: DataFrame) -> DataFrame:
     return raw.filter(F.col("Meldedatum").isNotNull() & parsed.isNull())
 
 
+def split_rejects(raw: DataFrame, path: str) -> tuple[DataFrame, DataFrame, dict[str, int]]:
+    """(accepted, rejected, counts) in one pass over the raw rows.
+
+    Rows are written once, below ``path``, parted by whether they can be used; a
+    rejected row carries its ``reason`` (``date`` if the report date does not parse).
+    The counts are taken in that same write: ``accepted`` and ``rejected`` rows,
+    ``unmapped_age`` accepted rows whose age band has no midpoint (they stay, their
+    midpoint is NULL), and ``null_key`` accepted rows with a NULL key, which no sum
+    will include (T1).
+    """
+    spark = raw.sparkSession
+    bad_date = F.col("Meldedatum").isNotNull() & parse_date("Meldedatum", "Y/m/d H:M:S", on_error="null").isNull()
+    marked = raw.withColumn("reason", F.when(bad_date, F.lit("date"))).withColumn(
+        "state", F.when(F.col("reason").isNull(), F.lit("accepted")).otherwise(F.lit("rejected")))
+    fine = F.col("reason").isNull()
+    label = recode("Altersgruppe", {UNKNOWN_TEXT: UNKNOWN_LABEL})
+    no_key = reduce(lambda x, y: x | y, [F.col(c).isNull() for c in FACT_KEYS])
+    seen = Observation()
+    marked = marked.observe(seen, F.count_if(fine).alias("accepted"), F.count_if(~fine).alias("rejected"), F.count_if(
+        fine & label.isNotNull() & midpoint(label).isNull()).alias("unmapped_age"), F.count_if(fine & no_key).alias("null_key"))
+    marked.write.mode("overwrite").partitionBy("state").parquet(path)
+    written = spark.read.schema(marked.schema).parquet(path)
+    accepted = written.filter("state = 'accepted'").drop("reason", "state")
+    return accepted, written.filter("state = 'rejected'").drop("state"), dict(seen.get)
+
+
 def normalise_and_sum(raw: DataFrame, on_error: str = "raise") -> DataFrame:
     """One row per cleaned fact key with the three measures summed.
 
@@ -72,6 +101,11 @@ def geography_dates(raw: DataFrame, on_error: str = "raise") -> DataFrame:
     return clean.groupBy(*GEO_KEYS).agg(F.min("Meldedatum").alias("lo"), F.max("Meldedatum").alias("hi"))
 
 
+def facts_summary(facts: DataFrame) -> DataFrame:
+    """(geography, lo, hi) from long facts: one row per district for all dimensions."""
+    return facts.groupBy(*GEO_KEYS).agg(F.min("Meldedatum").alias("lo"), F.max("Meldedatum").alias("hi"))
+
+
 def case_facts(raw: DataFrame, on_error: str = "raise") -> DataFrame:
     """Long facts: keys, ``Status`` in (Todesfall, Genesen, Aktiv), ``Anzahl``.
 
@@ -103,6 +137,41 @@ def densify(span: DataFrame, facts: DataFrame) -> DataFrame:
     return finish_export(joined.withColumn("Anzahl", F.coalesce(F.col("Anzahl"), F.lit(0))))
 
 
+def attach_packed(bridge: DataFrame, facts: DataFrame, value_cols: Sequence[str] = tuple(SPAN_VALUES),
+                  value: str = "Anzahl") -> DataFrame:
+    """The span with each combination's ``value``, NULL where there is no fact.
+
+    Equal to joining the span with the facts on six keys, but neither the span nor the
+    facts are shuffled row by row: the facts of a (district, day) are packed into one
+    map by the position of their category combination, the bridge meets these maps on
+    (state, district, day), and only then every row explodes the category product and
+    looks each combination up. Two facts for one key fail the job (the map holds a key
+    once), as the many-to-one join must (T13). The number of tasks is that of the
+    shuffle partitions, whether or not the maps are small enough to be broadcast.
+    """
+    sets = value_sets(facts, value_cols)
+    code, size = F.lit(0).cast("bigint"), {}
+    for c in value_cols:
+        size[c] = F.size(sets[c])
+        code = code * size[c] + F.array_position(sets[c], F.col(c)) - 1
+    keys = {"IdBundesland": "IdBundesland", "IdLandkreis": "IdLandkreis", "Meldedatum": "Datum"}
+    packed = facts.select(*[F.col(c).alias(name) for c, name in keys.items()], code.alias("__code"), value).groupBy(
+        *keys.values()).agg(F.map_from_entries(F.collect_list(F.struct("__code", value))).alias("__facts"))
+    out = spread(bridge, list(keys.values())).join(packed, list(keys.values()), "left")
+    found = F.lit(0).cast("bigint")
+    for c in value_cols:
+        out = out.select("*", F.posexplode(sets[c]).alias(f"__{c}", c))
+        found = found * size[c] + F.col(f"__{c}")
+    return out.withColumn(value, F.try_element_at("__facts", found)).select(*bridge.columns, *value_cols, value)
+
+
+def densify_packed(bridge: DataFrame, facts: DataFrame) -> DataFrame:
+    """Dense facts over the whole key span, missing combinations as 0 (O60); the rows
+    of ``densify(dense_span(bridge, facts), facts)`` without a join of the span."""
+    joined = attach_packed(bridge, facts)
+    return finish_export(joined.withColumn("Anzahl", F.coalesce(F.col("Anzahl"), F.lit(0))))
+
+
 def star_facts(facts: DataFrame, geo: DataFrame | None = None) -> DataFrame:
     """The sparse fact export with every surrogate id (O61, flagship).
 

@@ -41,9 +41,16 @@ def pad5(expr: str) -> str:
 
 # Fixed values, as in functions/columns.py: age bands, their midpoints, the unknown
 # label and the period labels with their bounds.
-AGE_CASE = """CASE c.c_mktsegment WHEN 'AUTOMOBILE' THEN 'A00-A04' WHEN 'BUILDING' THEN 'A15-A34'
-  WHEN 'FURNITURE' THEN 'A35-A59' WHEN 'MACHINERY' THEN 'A60-A79' WHEN 'HOUSEHOLD' THEN 'unbekannt' END"""
-SEX_CASE = "CASE o.o_orderstatus WHEN 'F' THEN 'W' WHEN 'O' THEN 'M' WHEN 'P' THEN 'unbekannt' END"
+AGE_CASE = """CASE c.c_mktsegment WHEN 'AUTOMOBILE' THEN CASE WHEN c.c_custkey % 2 = 1 THEN 'A05-A14' ELSE 'A00-A04' END
+  WHEN 'BUILDING' THEN 'A15-A34' WHEN 'FURNITURE' THEN 'A35-A59'
+  WHEN 'MACHINERY' THEN CASE WHEN c.c_custkey % 2 = 1 THEN 'A80+' ELSE 'A60-A79' END
+  WHEN 'HOUSEHOLD' THEN 'unbekannt' END"""
+SEX_CASE = """CASE WHEN o.o_orderkey % 97 <> 0 THEN
+  CASE o.o_orderstatus WHEN 'F' THEN 'W' WHEN 'O' THEN 'M' WHEN 'P' THEN 'unbekannt' END END"""
+# A nation's district code; one nation's is a code that another one was merged into.
+DISTRICT_CODE = "CASE WHEN n.n_nationkey = 4 THEN 5334 ELSE CAST(n.n_regionkey AS BIGINT) * 1000 + n.n_nationkey END"
+LATER = "(o.o_orderdate + INTERVAL 7463 DAY)"
+QUANTITY = "(CAST(l.l_quantity AS BIGINT) * CASE WHEN l.l_orderkey % 89 = 0 THEN -1 ELSE 1 END)"
 MIDPOINT_CASE = """CAST(CASE {c} WHEN 'A00-A04' THEN 2.0 WHEN 'A05-A14' THEN 9.5 WHEN 'A15-A34' THEN 24.5
   WHEN 'A35-A59' THEN 47.0 WHEN 'A60-A79' THEN 69.5 WHEN 'A80+' THEN 85.0
   WHEN 'keine Information' THEN 44.5 END AS DOUBLE)"""
@@ -62,18 +69,21 @@ GEO_KEYS = "IdBundesland, Bundesland, IdLandkreis, Landkreis"
 
 cte("case_reports", f"""
   SELECT CAST(r.r_regionkey AS BIGINT) AS IdBundesland, r.r_name AS Bundesland,
-         CAST(r.r_regionkey AS BIGINT) * 1000 + n.n_nationkey AS IdLandkreis, n.n_name AS Landkreis,
-         strftime(o.o_orderdate, '%Y/%m/%d %H:%M:%S') AS Meldedatum,
+         CAST(CASE WHEN n.n_nationkey = 4 AND l.l_linenumber % 2 = 0 THEN 5354 ELSE {DISTRICT_CODE} END AS BIGINT) AS IdLandkreis,
+         CASE WHEN n.n_nationkey <> 3 THEN n.n_name WHEN l.l_linenumber % 2 = 0 THEN 'LK Göttingen (alt)'
+              ELSE 'LK Göttingen' END AS Landkreis,
+         strftime({LATER}, '%Y/%m/%d %H:%M:%S') AS Meldedatum,
          {AGE_CASE} AS Altersgruppe,
          {SEX_CASE} AS Geschlecht,
-         CAST(l.l_quantity AS BIGINT) AS AnzahlFall,
-         CASE WHEN l.l_returnflag = 'R' THEN CAST(l.l_quantity AS BIGINT) ELSE 0 END AS AnzahlTodesfall,
-         CASE WHEN l.l_returnflag = 'A' THEN CAST(l.l_quantity AS BIGINT) ELSE 0 END AS AnzahlGenesen
+         {QUANTITY} AS AnzahlFall,
+         CASE WHEN l.l_returnflag = 'R' THEN {QUANTITY} ELSE 0 END AS AnzahlTodesfall,
+         CASE WHEN l.l_returnflag = 'A' THEN {QUANTITY} ELSE 0 END AS AnzahlGenesen
   FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
   JOIN customer c ON o.o_custkey = c.c_custkey
   JOIN nation n ON c.c_nationkey = n.n_nationkey
   JOIN region r ON n.n_regionkey = r.r_regionkey""")
 
+# Fixed values below: the retired district code and names.
 cte("clean_reports", f"""
   SELECT IdBundesland, Bundesland,
          CASE WHEN {pad5('IdLandkreis')} = '05354' THEN '05334' ELSE {pad5('IdLandkreis')} END AS IdLandkreis,
@@ -239,13 +249,13 @@ cte("series_lags", "SELECT *, " + ", ".join(
     + " FROM series_active", "series_active")
 
 cte("districts", f"""
-  SELECT {pad5('CAST(n.n_regionkey AS BIGINT) * 1000 + n.n_nationkey')} AS rs, n.n_name AS name,
+  SELECT {pad5(DISTRICT_CODE)} AS rs, n.n_name AS name,
          CAST(COALESCE(c.population, 0) AS BIGINT) AS population
   FROM nation n LEFT JOIN (SELECT c_nationkey, COUNT(*) AS population FROM customer GROUP BY c_nationkey) c
     ON n.n_nationkey = c.c_nationkey""")
 
 cte("district_category", f"""
-  SELECT {pad5('CAST(n.n_regionkey AS BIGINT) * 1000 + n.n_nationkey')} AS kreis_id,
+  SELECT {pad5(DISTRICT_CODE)} AS kreis_id,
          CAST(n.n_nationkey AS BIGINT) AS krs17, CAST(COALESCE(s.n_suppliers, 0) AS BIGINT) AS n_suppliers
   FROM nation n LEFT JOIN (SELECT s_nationkey, COUNT(*) AS n_suppliers FROM supplier GROUP BY s_nationkey) s
     ON n.n_nationkey = s.s_nationkey""")
@@ -260,9 +270,9 @@ cte("geo_full", f"""
 cte("state_time", 'SELECT DISTINCT "index", IdBundesland, Bundesland, Datum, id_time, id_bl_time FROM bridge',
     "bridge")
 
-cte("mobility", """
+cte("mobility", f"""
   SELECT 'R-' || substr(r.r_name, 1, 2) AS iso_3166_2_code, r.r_name AS sub_region_1,
-         strftime(o.o_orderdate, '%Y-%m-%d') AS date,
+         strftime({LATER}, '%Y-%m-%d') AS date,
          CAST(SUM(CASE WHEN substr(o.o_orderpriority, 1, 1) = '1' THEN 1 ELSE 0 END) AS BIGINT) AS p1,
          CAST(SUM(CASE WHEN substr(o.o_orderpriority, 1, 1) = '2' THEN 1 ELSE 0 END) AS BIGINT) AS p2,
          CAST(SUM(CASE WHEN substr(o.o_orderpriority, 1, 1) = '3' THEN 1 ELSE 0 END) AS BIGINT) AS p3,
@@ -273,8 +283,8 @@ cte("mobility", """
   JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey
   GROUP BY 1, 2, 3""")
 
-cte("policy", """
-  SELECT n.n_name AS CountryName, CAST(strftime(o.o_orderdate, '%Y%m%d') AS INTEGER) AS Date,
+cte("policy", f"""
+  SELECT n.n_name AS CountryName, CAST(strftime({LATER}, '%Y%m%d') AS INTEGER) AS Date,
          COUNT(*) AS StringencyIndex
   FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey
   GROUP BY 1, 2""")
@@ -321,14 +331,18 @@ cte("world_cells", """
   FROM events e JOIN customer c ON e.user_id = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey
   GROUP BY 1, 2, 3""")
 
+CALENDAR = ("SELECT CAST(unnest(generate_series(MIN(CAST(ts AS DATE)), MAX(CAST(ts AS DATE)), INTERVAL 1 DAY)) AS DATE) AS d "
+            "FROM events")
+cte("calendar", CALENDAR)
+
 cte("world_long", f"""
   SELECT p.cr AS country_region,
          CASE WHEN p.cr IN ('NATION_1', 'NATION_6') THEN '' ELSE COALESCE(p.ps, '') END AS province_state,
          dd.d AS date, {_world_sum('click', 'confirmed')}, {_world_sum('signup', 'recovered')},
          {_world_sum('error', 'deaths')}
-  FROM (SELECT DISTINCT ps, cr FROM world_cells) p CROSS JOIN (SELECT DISTINCT d FROM world_cells) dd
+  FROM (SELECT DISTINCT ps, cr FROM world_cells) p CROSS JOIN calendar dd
   LEFT JOIN world_cells c ON c.ps = p.ps AND c.cr = p.cr AND c.d = dd.d
-  GROUP BY 1, 2, 3""", "world_cells")
+  GROUP BY 1, 2, 3""", "world_cells", "calendar")
 
 cte("world_te", """
   SELECT lu.lu_id, CAST(t.date AS DATE) AS date,

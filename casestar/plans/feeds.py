@@ -16,22 +16,18 @@ from casestar.operators import cleaning as CL
 from casestar.operators import joins as J
 from casestar.operators import series as S
 from casestar.operators.aggregate import sum_by
-from casestar.operators.checks import assert_empty, key_set_diff, unique_by, uncovered_keys
+from casestar.operators.checks import assert_empty, assert_same_keys, unique_by, uncovered_keys
 from casestar.operators.dimensions import with_row_id
 from casestar.plans import series_plan as SP
 from casestar.plans import world as WD
-from casestar.plans.testviews import event_cents, table
+from casestar.plans.testviews import event_cents, later, table
 from casestar.session import materialize
+from casestar.sources.readers import MOBILITY_COLUMNS
 
-# The mobility report's index columns and their report names.
-MOBILITY_RENAME = {
-    "retail_and_recreation_percent_change_from_baseline": "Einzelhandel und Freizeit",
-    "grocery_and_pharmacy_percent_change_from_baseline": "Lebensmittel und Apotheken",
-    "parks_percent_change_from_baseline": "Parks",
-    "transit_stations_percent_change_from_baseline": "Öffentliche Verkehrsmittel",
-    "workplaces_percent_change_from_baseline": "Arbeitsplatz",
-    "residential_percent_change_from_baseline": "Wohnort",
-}
+# The report names of the mobility report's index columns, in their order.
+MOBILITY_RENAME = dict(zip(MOBILITY_COLUMNS, [
+    "Einzelhandel und Freizeit", "Lebensmittel und Apotheken", "Parks", "Öffentliche Verkehrsmittel",
+    "Arbeitsplatz", "Wohnort"]))
 
 
 # ----------------------------------------------------------------- mobility
@@ -50,7 +46,7 @@ def mobility_input(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.groupBy(
         F.concat(F.lit("R-"), F.substring("r_name", 1, 2)).alias("iso_3166_2_code"),
         F.col("r_name").alias("sub_region_1"),
-        F.date_format("o_orderdate", "yyyy-MM-dd").alias("date")).agg(*aggs)
+        F.date_format(later("o_orderdate"), "yyyy-MM-dd").alias("date")).agg(*aggs)
 
 
 def mobility_feed(mob: DataFrame, lookup: DataFrame, state_time: DataFrame) -> DataFrame:
@@ -71,7 +67,7 @@ def policy_input(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     rows = o.join(c, o.o_custkey == c.c_custkey).join(n, c.c_nationkey == n.n_nationkey)
     return rows.groupBy(F.col("n_name").alias("CountryName"),
-                        F.date_format("o_orderdate", "yyyyMMdd").cast("int").alias("Date")) \
+                        F.date_format(later("o_orderdate"), "yyyyMMdd").cast("int").alias("Date")) \
         .agg(F.count(F.lit(1)).alias("StringencyIndex"))
 
 
@@ -149,29 +145,46 @@ def tests_input(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sum(event_cents()).alias("total_tests"))
 
 
-def world_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+def world_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(country_region, province_state) of every series, from the id columns alone: a
+    distinct list of entities, without the days and the measures."""
+    pairs = WD.entities(spark, sf_dir)
+    return WD.collapsed(pairs, "Country/Region", "Province/State").distinct()
+
+
+def entity_tests(tests: DataFrame, lu: DataFrame) -> DataFrame:
+    """(lu_id, date, tested): the tests of each lookup row's country, per day.
+
+    The reference joins tests and lookup outright, then drops what has no partner and
+    sums per (entity, day). Here the tests are summed per (country, day) first, so the
+    join meets a calendar per country instead of its raw rows; the full outer join keeps
+    the audit (unmatched countries are labelled) and is split for hot countries.
+    """
+    daily = materialize(sum_by(tests.select(
+        "iso_code", "location", parse_date("date", "Y-m-d").alias("date"), F.coalesce("total_tests", F.lit(0)).alias("tested")),
+        ["iso_code", "location", "date"], ["tested"]), "country_tests")
+    known = materialize(lu.filter(F.col("iso3").isNotNull()).select("iso3", "lu_id", "country_region"), "iso_entities")
+    audited = J.match_audit(daily, known, ["iso_code"], ["iso3"],
+                            ["iso_code", "iso3", "location", "country_region"], hot_rows=J.HOT_ROWS)
+    return sum_by(audited.select("lu_id", "date", "tested"), ["lu_id", "date"], ["tested"])
+
+
+def world_series(spark: SparkSession, sf_dir: str, lookup: DataFrame | None = None) -> DataFrame:
     """Three wide series + lookup + tests -> one daily table with lags."""
     keys = ["country_region", "province_state", "date"]
-    # One pivot for the three measures, written once: every series and the
-    # lookup's key list read it instead of re-running the pivot.
+    # One pivot for the three measures, written once; each long series is written too,
+    # since checks and merge read it.
     wide = materialize(WD.wide_all(spark, sf_dir), "world_wide")
-    co, re_, de = (WD.long_series(spark, sf_dir, m, wide)
+    co, re_, de = (materialize(WD.long_series(spark, sf_dir, m, wide), f"world_{m}")
                    for m in ("confirmed", "recovered", "deaths"))
-    # The lookup is read twice (tests side and series side): write it once.
-    lu = materialize(country_lookup(lookup_input(spark, sf_dir), map_names_input(spark, sf_dir),
-                                    groups_input(spark, sf_dir), co), "country_lookup")
+    lu = lookup if lookup is not None else materialize(country_lookup(
+        lookup_input(spark, sf_dir), map_names_input(spark, sf_dir), groups_input(spark, sf_dir),
+        world_keys(spark, sf_dir)), "country_lookup")
     for other, what in ((re_, "recovered"), (de, "deaths")):
-        assert_empty(key_set_diff(co, other, keys), f"confirmed and {what} have the same keys")
+        assert_same_keys(co, other, keys, f"confirmed and {what} have the same keys")
     assert_empty(uncovered_keys(co, lu, keys[:2]), "every series is in the lookup")
-    audited = J.match_audit(tests_input(spark, sf_dir), lu.filter(F.col("iso3").isNotNull()),
-                            ["iso_code"], ["iso3"],
-                            ["iso_code", "iso3", "location", "country_region"])
-    te = audited.select("lu_id", parse_date("date", "Y-m-d").alias("date"),
-                        F.coalesce(F.col("total_tests"), F.lit(0)).alias("tested_reported"))
-    te = sum_by(te, ["lu_id", "date"], ["tested_reported"])
-    te = te.withColumn("tested", F.col("tested_reported"))
-    est = SP.tests_decomposed(te.select("lu_id", "date", "tested"))
-    data = J.join_all([co, re_, de], [keys, keys]).join(
+    est = SP.tests_decomposed(entity_tests(tests_input(spark, sf_dir), lu))
+    data = J.merge_series([co, re_, de], keys).join(
         lu.select("lu_id", "country_region", "province_state"), ["country_region", "province_state"])
     data = data.join(est, ["lu_id", "date"]).filter(F.col("date").isNotNull())
     data = CL.fill(data, {"lu_id": -1, "confirmed": 0, "recovered": 0, "deaths": 0, "tested": 0})

@@ -65,6 +65,27 @@ def geometry_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("region", doc.alias("doc"))
 
 
+def feature_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``vec_id`` and a feature collection per vector: consecutive components, in
+    hundredths, are [lng, lat] points, four points a ring, four rings a feature."""
+    e = table(spark, sf_dir, "embeddings").select(
+        "vec_id", F.transform("embedding", lambda x: F.floor(x.cast("double") * 100)).alias("p"))
+
+    def point(at: Column) -> Column:
+        return F.array(F.col("p")[at], F.col("p")[at + 1])
+
+    def ring(at: Column) -> Column:
+        return F.array(*[point(at + 2 * q) for q in range(4)])
+
+    def feature(f: Column) -> Column:
+        return F.struct(F.lit("Feature").alias("type"), f.cast("bigint").alias("id"), F.struct(
+            F.lit("Polygon").alias("type"), F.array(*[ring(f * 32 + 8 * r) for r in range(4)]).alias("coordinates")).alias("geometry"))
+
+    n = (F.size("p") / 32).cast("int")
+    features = F.when(n > 0, F.transform(F.sequence(F.lit(0), F.greatest(n, F.lit(1)) - 1), feature))
+    return e.select("vec_id", F.struct(F.lit("FeatureCollection").alias("type"), features.alias("features")).alias("doc"))
+
+
 def write_documents(docs: DataFrame, path: str) -> None:
     """One JSON document per file, in a ``region=<id>`` folder."""
     (docs.select("region", F.to_json("doc").alias("value"))

@@ -17,7 +17,7 @@ from casestar.operators import facts as FA
 from casestar.operators import joins as J
 from casestar.operators import reshape as R
 from casestar.plans import testviews as TV
-from casestar.plans.registry import register
+from casestar.plans.registry import ORACLE, register
 from casestar.session import materialize
 
 
@@ -35,6 +35,12 @@ def _shared_facts(spark, d):
     return materialize(_facts(spark, d), "facts")
 
 
+def _bridge(facts):
+    """The geo x day bridge of written facts, from one pass over them."""
+    summary = materialize(FA.facts_summary(facts), "facts_summary")
+    return D.geo_time_keys(D.geo_dim(summary), D.date_dim(_dates(summary)))
+
+
 def _geo_bounds(spark, d):
     """Per geography the first and last fact date, from the raw rows (no sums)."""
     return FA.geography_dates(TV.case_reports(spark, d))
@@ -113,15 +119,13 @@ def q_geo_time_keys(spark, d):
 @register("dense_span", O.sql("SELECT * FROM span", "span"))
 def q_dense_span(spark, d):
     facts = _shared_facts(spark, d)
-    bridge = D.geo_time_keys(D.geo_dim(facts), D.date_dim(facts))
-    return D.dense_span(bridge, facts)
+    return D.dense_span(_bridge(facts), facts)
 
 
 @register("densify_facts", O.sql("SELECT * FROM dense", "dense"))
 def q_densify_facts(spark, d):
     facts = _shared_facts(spark, d)
-    bridge = D.geo_time_keys(D.geo_dim(facts), D.date_dim(facts))
-    return FA.densify(D.dense_span(bridge, facts), facts)
+    return FA.densify_packed(_bridge(facts), facts)
 
 
 # ------------------------------------------------- projections and columns
@@ -322,6 +326,8 @@ def q_snapshot_at_max_date(spark, d):
 
 # ------------------------------------------------------------------ joins
 from casestar.operators import checks as CK  # noqa: E402
+from casestar.operators import chunked as CH  # noqa: E402
+from casestar.operators import store as ST  # noqa: E402
 from casestar.operators import measures as M  # noqa: E402
 from casestar.operators import series as S  # noqa: E402
 from casestar.plans import series_plan as SP  # noqa: E402
@@ -335,10 +341,7 @@ from casestar.plans import series_plan as SP  # noqa: E402
     "span", "facts"))
 def q_join_left_fact(spark, d):
     facts = _shared_facts(spark, d)
-    bridge = D.geo_time_keys(D.geo_dim(facts), D.date_dim(facts))
-    span = D.dense_span(bridge, facts)
-    return J.attach_facts(span, facts, FA.SPAN_JOIN_LEFT, FA.SPAN_JOIN_RIGHT).select(
-        "id_lk_time", "Altersgruppe", "Geschlecht", "Status", "Anzahl")
+    return FA.attach_packed(_bridge(facts), facts).select("id_lk_time", "Altersgruppe", "Geschlecht", "Status", "Anzahl")
 
 
 @register("join_left_back", O.sql("""
@@ -397,6 +400,12 @@ def q_join_natural(spark, d):
     return J.natural_join(facts, materialize(geo, "geo"))
 
 
+@register("join_keyed_merge", ORACLE["join_inner_chain"])
+def q_join_keyed_merge(spark, d):
+    daily = TV.daily_series(spark, d)
+    return J.merge_series([_measure(daily, m) for m in ("confirmed", "recovered", "deaths")], ["lu_id", "date"])
+
+
 AUDIT_SQL = """
   SELECT COALESCE(a.purchase_user, 'missing') AS purchase_user, a.date_a, a.tested,
          COALESCE(b.signup_user, 'missing') AS signup_user, b.date_b, b.recovered
@@ -422,6 +431,19 @@ def q_join_match_audit(spark, d):
     return J.unmatched(audited, cols)
 
 
+@register("join_split_outer", O.sql("""
+  SELECT a.l_partkey, a.l_quantity, b.ps_part, b.n FROM (SELECT l_partkey, CAST(l_quantity AS BIGINT) AS l_quantity FROM lineitem) a
+  FULL OUTER JOIN (SELECT l_partkey + 1 AS ps_part, COUNT(*) AS n FROM lineitem WHERE l_partkey % 3 > 0 GROUP BY 1) b
+    ON a.l_partkey = b.ps_part"""))
+def q_join_split_outer(spark, d):
+    """Line items against counts of other parts; parts of many line items are hot."""
+    li = TV.table(spark, d, "lineitem")
+    a = materialize(li.select("l_partkey", F.col("l_quantity").cast("bigint").alias("l_quantity")), "split_left")
+    b = materialize(li.filter("l_partkey % 3 > 0").groupBy((F.col("l_partkey") + 1).alias("ps_part")).agg(
+        F.count(F.lit(1)).alias("n")), "split_right")
+    return J.split_outer_join(a, b, ["l_partkey"], ["ps_part"], hot_rows=40)
+
+
 # ------------------------------------------------------ more aggregations
 @register("groupby_count_desc", O.sql("""
   SELECT NULLIF(Geschlecht, 'unbekannt') AS Geschlecht, COUNT(*) AS count
@@ -497,6 +519,28 @@ def q_check_key_sets_equal(spark, d):
                            daily.filter(F.col("tested") != 0), ["lu_id", "date"])
 
 
+@register("check_key_fingerprint", O.sql("""
+  SELECT what, l.n AS left_rows, r.n AS right_rows, same FROM (
+    SELECT 'all' AS what, (SELECT COUNT(*) FROM daily) AS n) l
+  JOIN (SELECT 'all' AS what, (SELECT COUNT(*) FROM daily) AS n, TRUE AS same) r USING (what)
+  UNION ALL
+  SELECT 'reported', (SELECT COUNT(*) FROM daily WHERE confirmed <> 0), (SELECT COUNT(*) FROM daily WHERE tested <> 0),
+         NOT EXISTS (SELECT lu_id, date FROM daily WHERE confirmed <> 0 EXCEPT ALL SELECT lu_id, date FROM daily WHERE tested <> 0)
+         AND (SELECT COUNT(*) FROM daily WHERE confirmed <> 0) = (SELECT COUNT(*) FROM daily WHERE tested <> 0)""", "daily"))
+def q_check_key_fingerprint(spark, d):
+    daily, keys = TV.daily_series(spark, d), ["lu_id", "date"]
+
+    def verdict(a, b, what):
+        sides = CK.key_fingerprints(a, b, keys).groupBy().pivot("side", ["left", "right"]).agg(
+            F.first("rows").alias("rows"), F.first(F.struct("rows", "sum1", "sum2")).alias("print"))
+        return sides.select(F.lit(what).alias("what"), F.coalesce("left_rows", F.lit(0)).alias("left_rows"),
+                            F.coalesce("right_rows", F.lit(0)).alias("right_rows"),
+                            F.col("left_print").eqNullSafe(F.col("right_print")).alias("same"))
+
+    return verdict(daily, daily.orderBy("date"), "all").union(
+        verdict(daily.filter("confirmed <> 0"), daily.filter("tested <> 0"), "reported"))
+
+
 @register("check_lookup_coverage", O.sql("""
   SELECT DISTINCT lu_id, date FROM daily t WHERE tested <> 0
     AND NOT EXISTS (SELECT 1 FROM daily c WHERE c.confirmed <> 0 AND c.lu_id = t.lu_id AND c.date = t.date)""",
@@ -582,6 +626,34 @@ def q_estimated_active(spark, d):
     return SP.series_active(TV.daily_series(spark, d))
 
 
+# ----------------------------------------- series of any length, in chunks
+def _tests(spark, d):
+    return SP.tests_clean(TV.daily_series(spark, d))
+
+
+@register("chunked_position", ORACLE["series_position"])
+def q_chunked_position(spark, d):
+    return CH.position(_tests(spark, d), "lu_id", "date")
+
+
+@register("chunked_fill", ORACLE["forward_fill"])
+def q_chunked_fill(spark, d):
+    return CH.ffill(_tests(spark, d), "lu_id", "date", "tested_reported_or_nan", "tested_announced")
+
+
+@register("chunked_interpolate", O.sql(
+    "SELECT lu_id, date, tested_reported, tested_reported_or_nan, tested FROM tests_est", "tests_est"))
+def q_chunked_interpolate(spark, d):
+    return CH.interpolate(_tests(spark, d), "lu_id", "date", "tested_reported_or_nan", "tested")
+
+
+@register("chunked_lags", O.sql("SELECT *, " + ", ".join(
+    O.lag0(c, 7) for c in ("confirmed", "recovered", "deaths", "tested")) + " FROM daily", "daily"))
+def q_chunked_lags(spark, d):
+    return CH.lag_by(TV.daily_series(spark, d), "lu_id", "date", ["confirmed", "recovered", "deaths", "tested"], 7,
+                     rows_per_chunk=10)
+
+
 # ---------------------------------------------------------------- measures
 _GROWTH = ("active", "confirmed", "deaths", "recovered")
 
@@ -648,9 +720,7 @@ from pyspark.sql import types as T  # noqa: E402
 @register("src_delimited", O.sql("SELECT * FROM case_reports", "case_reports"))
 def q_src_delimited(spark, d):
     path = scratch_path(spark, "case_reports_csv")
-    # Other columns in another order, as the landed files have them.
-    landed = TV.case_reports(spark, d).withColumns({"ObjectId": F.lit(1), "Refdatum": F.col("Meldedatum")})
-    landed.select(*reversed(landed.columns)).write.option("header", True).option("escape", '"').csv(path)
+    _landed(spark, d).write.option("header", True).option("escape", '"').csv(path)
     return RD.read_facts(spark, path)
 
 
@@ -740,11 +810,119 @@ def q_array_bbox_filter(spark, d):
                     F.size(kept).cast("bigint").alias("n_kept"))
 
 
-@register("sink_raw_snapshot", O.sql("SELECT * FROM case_reports", "case_reports"))
+def _landed(spark, d):
+    """Case reports as landed: more columns than are used, in another order."""
+    raw = TV.case_reports(spark, d)
+    return raw.withColumns({"ObjectId": F.lit(1), "Refdatum": F.col("Meldedatum")}).select(
+        *reversed(raw.columns), "ObjectId", "Refdatum")
+
+
+LANDED_COLS = ["AnzahlGenesen", "AnzahlTodesfall", "AnzahlFall", "Geschlecht", "Altersgruppe", "Meldedatum", "Landkreis",
+               "IdLandkreis", "Bundesland", "IdBundesland", "'1'", "Meldedatum"]
+
+
+@register("sink_raw_snapshot", O.sql(
+    "SELECT " + " || ',' || ".join(f"COALESCE(CAST({c} AS VARCHAR), '')" for c in LANDED_COLS) + " AS line FROM case_reports",
+    "case_reports"))
 def q_sink_raw_snapshot(spark, d):
-    path = scratch_path(spark, "raw_snapshot")
-    SK.write_snapshot(TV.case_reports(spark, d), path)
-    return spark.read.parquet(path)
+    landed, kept = scratch_path(spark, "landed_csv"), scratch_path(spark, "raw_snapshot")
+    _landed(spark, d).write.option("header", True).csv(landed)
+    SK.snapshot_files(spark, landed, kept)
+    lines = spark.read.parquet(kept).select(F.col("line").cast("string").alias("line"))
+    return lines.filter(~F.col("line").startswith("AnzahlGenesen,"))
+
+
+@register("export_ordered_file", O.sql(
+    "SELECT " + " || chr(9) || ".join(f"COALESCE(CAST({c} AS VARCHAR), '')" for c in FA.EXPORT_COLS) + " AS line FROM star",
+    "star"))
+def q_export_ordered_file(spark, d):
+    path = scratch_path(spark, "data_rki_ordered")
+    SK.export_ordered_tsv(FA.star_facts(_shared_facts(spark, d)), path, ["id_lk_time", "Altersgruppe", "Geschlecht", "Status"])
+    lines = spark.read.option("lineSep", "\r\n").text(path)
+    return lines.filter(~F.col("value").contains("IdBundesland")).select(F.col("value").alias("line"))
+
+
+@register("file_order_id", O.sql(
+    "SELECT c_custkey, c_name, ROW_NUMBER() OVER (ORDER BY c_custkey DESC) - 1 AS row_id FROM customer"))
+def q_file_order_id(spark, d):
+    """The lookup lies in files from the last key to the first; ids follow the files."""
+    path = scratch_path(spark, "customer_csv")
+    c = TV.table(spark, d, "customer").select("c_custkey", "c_name")
+    c.repartitionByRange(4, F.desc("c_custkey")).sortWithinPartitions(F.desc("c_custkey")).write.option("header", True).csv(path)
+    schema = T.StructType([T.StructField("c_custkey", T.LongType()), T.StructField("c_name", T.StringType())])
+    return D.with_file_order_id(spark.read.option("header", True).schema(schema).csv(path))
+
+
+def _untidy(spark, d):
+    """Reports with dates that do not parse, and an age band that nobody mapped."""
+    raw = TV.case_reports(spark, d)
+    return raw.withColumns({
+        "Meldedatum": F.when(F.col("AnzahlFall") == 7, F.lit("zzz")).otherwise(F.col("Meldedatum")),
+        "Altersgruppe": F.when(F.col("AnzahlFall") == 9, F.lit("A99")).otherwise(F.col("Altersgruppe"))})
+
+
+@register("reject_split", O.sql("""
+  SELECT 'accepted' AS what, COUNT(*) FILTER (AnzahlFall <> 7) AS n FROM case_reports
+  UNION ALL SELECT 'rejected', COUNT(*) FILTER (AnzahlFall = 7) FROM case_reports
+  UNION ALL SELECT 'unmapped_age', COUNT(*) FILTER (AnzahlFall = 9) FROM case_reports
+  UNION ALL SELECT 'null_key', COUNT(*) FILTER (AnzahlFall <> 7 AND Geschlecht IS NULL) FROM case_reports
+  UNION ALL SELECT 'stored: ' || coalesce(r, 'accepted'), COUNT(*)
+    FROM (SELECT CASE WHEN AnzahlFall = 7 THEN 'date' END AS r FROM case_reports) GROUP BY r""", "case_reports"))
+def q_reject_split(spark, d):
+    accepted, rejected, counts = FA.split_rejects(_untidy(spark, d), scratch_path(spark, "reports"))
+    seen = spark.createDataFrame(list(counts.items()), "what string, n long")
+    stored = accepted.select(F.lit(None).cast("string").alias("reason")).union(rejected.select("reason")).groupBy(
+        F.concat(F.lit("stored: "), F.coalesce("reason", F.lit("accepted"))).alias("what")).agg(F.count(F.lit(1)).alias("n"))
+    return seen.union(stored)
+
+
+@register("fact_store_latest", O.sql(
+    "SELECT * FROM facts WHERE Meldedatum = (SELECT MAX(Meldedatum) FROM facts)", "facts"))
+def q_fact_store_latest(spark, d):
+    path = scratch_path(spark, "fact_store")
+    ST.write_fact_store(_facts(spark, d), "Meldedatum", path, ["IdLandkreis"])
+    return ST.latest_of_store(spark, path, "Meldedatum")
+
+
+_EXPORT_PROFILES = {
+    "data_time": ("time_dim", [("Datum", "type date"), ("id_time", "Int64.Type"), ("ones", "Int64.Type"), ("time_cat", "type text")]),
+    "data_rki": ("star", [("IdBundesland", "Int64.Type"), ("IdLandkreis", "type text"), ("id_time", "Int64.Type"),
+                          ("id_lk_time", "Int64.Type"), ("id_bl_time", "Int64.Type"), ("Altersgruppe", "type text"),
+                          ("Alter_Zahl", "type number"), ("Geschlecht", "type text"), ("Status", "type text"),
+                          ("Anzahl", "Int64.Type")]),
+}
+
+
+@register("export_profile", O.sql(" UNION ALL ".join(
+    f"SELECT '{name}' AS \"table\", '{c}' AS \"column\", CAST({i} AS BIGINT) AS position, '{t}' AS export_type, "
+    f"COUNT({c}) AS non_null, COUNT(*) AS row_count FROM {view}"
+    for name, (view, cols) in _EXPORT_PROFILES.items() for i, (c, t) in enumerate(cols)), "time_dim", "star"))
+def q_export_profile(spark, d):
+    """Profiles counted while the exports are written."""
+    facts = _shared_facts(spark, d)
+    exports = {"data_time": (D.date_dim(facts), ["id_time"]), "data_rki": (FA.star_facts(facts), ["id_lk_time", "Altersgruppe"])}
+    out = []
+    for name, (df, order) in exports.items():
+        out.append(SK.export_ordered_tsv(df, scratch_path(spark, name), order, profile_as=name)())
+    return S.union_all(out)
+
+
+# Feature documents from the vectors: consecutive pairs are points, four make a ring.
+@register("document_ring_filter", O.sql("""
+  SELECT vec_id, '{"type":"FeatureCollection","features":[' || array_to_string(list_transform(range(len(embedding) // 32), lambda f:
+      '{"type":"Feature","id":' || f || ',"geometry":{"type":"Polygon","coordinates":[' ||
+      array_to_string(list_transform(list_filter(range(4), lambda r: p[32 * f + 8 * r + 2] >= 30 OR p[32 * f + 8 * r + 1] >= -15
+                                                             OR p[32 * f + 8 * r + 1] >= 30), lambda r:
+        '[' || array_to_string(list_transform(range(4), lambda q:
+          '[' || p[32 * f + 8 * r + 2 * q + 1] || ',' || p[32 * f + 8 * r + 2 * q + 2] || ']'), ',') || ']'), ',') ||
+      ']}}'), ',') || ']}' AS document
+  FROM (SELECT vec_id, embedding, list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * 100) AS BIGINT)) AS p
+        FROM embeddings) e"""))
+def q_document_ring_filter(spark, d):
+    docs = G.feature_documents(spark, d)
+    # The reference's bounds, OR-ed.
+    kept = C.filter_features(F.col("doc.features"), lambda lat, lng: (lat >= 30) | (lng >= -15) | (lng >= 30))
+    return docs.select("vec_id", F.to_json(F.col("doc").withField("features", kept)).alias("document"))
 
 
 TIME_SCHEMA = T.StructType([
@@ -781,7 +959,7 @@ def _wide_sql(kind: str) -> str:
                    SUM(CASE WHEN e.event_type = '{kind}' THEN CAST(round(e.value * 100) AS BIGINT) END) AS v
             FROM events e JOIN u ON e.user_id = u.c_custkey GROUP BY 1, 2, 3),
   pairs AS (SELECT DISTINCT ps, cr FROM cells),
-  days AS (SELECT DISTINCT d FROM cells)
+  days AS ({O.CALENDAR})
   SELECT p.cr AS country_region,
          CASE WHEN p.cr IN ({collapse}) THEN '' ELSE COALESCE(p.ps, '') END AS province_state,
          dd.d AS date, CAST(COALESCE(SUM(c.v), 0) AS BIGINT) AS number
@@ -829,7 +1007,7 @@ def q_policy_feed(spark, d):
 @register("country_lookup", O.sql("SELECT * FROM country_lookup", "country_lookup"))
 def q_country_lookup(spark, d):
     return FD.country_lookup(FD.lookup_input(spark, d), FD.map_names_input(spark, d),
-                             FD.groups_input(spark, d), WD.long_series(spark, d, "confirmed"))
+                             FD.groups_input(spark, d), FD.world_keys(spark, d))
 
 
 @register("world_series", O.sql("SELECT * FROM world_series", "world_series"))

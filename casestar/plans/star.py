@@ -12,8 +12,12 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 
 from casestar.operators.aggregate import max_date_table
-from casestar.operators.dimensions import date_dim, geo_dim, geo_time_keys
-from casestar.operators.facts import case_facts, star_facts
+from casestar.operators.checks import observed_profile
+from casestar.operators.cleaning import latest_snapshot, nonzero
+from casestar.operators.dimensions import GEO_KEYS, date_dim, geo_dim, geo_time_keys, state_time_dim
+from casestar.operators.facts import case_facts, split_rejects, star_facts
+from casestar.operators.series import union_all
+from casestar.plans.feeds import mobility_feed, policy_feed
 from casestar.session import materialize
 
 
@@ -44,48 +48,93 @@ def build_star(raw: DataFrame, districts: DataFrame | None = None,
     )
 
 
-def run_job(spark, raw_path: str, out_dir: str, districts: DataFrame | None = None,
-            categories: DataFrame | None = None, snapshot: bool = True) -> StarSchema:
-    """The full refresh: read the landed raw file(s), snapshot, build, export.
+@dataclass
+class JobReport:
+    star: StarSchema
+    profile: DataFrame          # a row per column of every export
+    rejected: DataFrame         # raw rows left out, with the reason
+    counts: dict[str, int]      # accepted, rejected, unmapped_age, null_key
 
-    Writes ``source_snapshot`` (Parquet), ``data_rki`` (non-zero facts),
-    ``data_geo_time``, ``data_time``, ``data_geo`` and ``data_max_date`` as
-    TSV folders (BOM, header, CRLF). The fact export is written by all tasks
-    in parallel; the small dimension exports as one file each.
+
+def run_job(spark, raw_path: str, out_dir: str, districts: DataFrame | None = None,
+            categories: DataFrame | None = None, snapshot: bool = True,
+            mobility: DataFrame | None = None, states: DataFrame | None = None,
+            policy: DataFrame | None = None, country: str | None = None,
+            world: DataFrame | None = None, world_lookup: DataFrame | None = None) -> JobReport:
+    """The full refresh: snapshot the landed file(s), read, build, export, report.
+
+    Writes ``source_snapshot`` (the landed lines as they are, in Parquet), ``reports``
+    (the raw rows, accepted and rejected apart), and as TSV ``data_rki`` (non-zero facts:
+    written by all tasks, its parts put end to end are one ordered file with one header),
+    ``data_geo_time`` (likewise), ``data_time``, ``data_geo`` and ``data_max_date``; with
+    their inputs given also ``data_mobility``, ``data_stringency``, ``data_country``,
+    ``data_world`` and ``data_world_latest``. Bad dates do not stop the job: their rows
+    are in the report. The profile of each export is counted while it is written.
     """
     from casestar.sources.readers import read_facts
-    from casestar.sources.sinks import export_facts, export_tsv, write_snapshot
+    from casestar.sources.sinks import export_ordered_tsv, export_tsv, snapshot_files
 
-    raw = read_facts(spark, raw_path)
     if snapshot:
-        write_snapshot(raw, f"{out_dir}/source_snapshot")
-        raw = spark.read.parquet(f"{out_dir}/source_snapshot")
+        snapshot_files(spark, raw_path, f"{out_dir}/source_snapshot")
+    raw, rejected, counts = split_rejects(read_facts(spark, raw_path), f"{out_dir}/reports")
     star = build_star(raw, districts, categories)
-    export_tsv(star.data_max_date, f"{out_dir}/data_max_date", single_file=True)
-    export_facts(star.data_rki, f"{out_dir}/data_rki")
-    export_tsv(star.data_geo_time, f"{out_dir}/data_geo_time")
-    export_tsv(star.data_time, f"{out_dir}/data_time", single_file=True)
-    export_tsv(star.data_geo, f"{out_dir}/data_geo", single_file=True)
-    return star
+    profiles = []
+
+    def export(df: DataFrame, name: str, order: list[str] | None = None) -> None:
+        if order:
+            result = export_ordered_tsv(df, f"{out_dir}/{name}", order, profile_as=name)
+        else:
+            seen, result = observed_profile(df, name)
+            export_tsv(seen, f"{out_dir}/{name}", single_file=True)
+        profiles.append(result())
+
+    export(star.data_max_date, "data_max_date")
+    export(nonzero(star.data_rki, "Anzahl"), "data_rki", ["id_lk_time", "Altersgruppe", "Geschlecht", "Status"])
+    export(star.data_geo_time, "data_geo_time", ["id_lk_time"])
+    export(star.data_time, "data_time")
+    export(star.data_geo, "data_geo")
+    if mobility is not None:
+        state_time = state_time_dim(star.data_geo.select(*GEO_KEYS), star.data_time)
+        export(mobility_feed(mobility, states, state_time), "data_mobility", ["index"])
+    if policy is not None:
+        export(policy_feed(policy, star.data_time, country), "data_stringency", ["id_time"])
+    if world_lookup is not None:
+        export(world_lookup, "data_country", ["lu_id"])
+    if world is not None:
+        world = materialize(world, "world")
+        export(world, "data_world", ["lu_id", "date"])
+        export(latest_snapshot(world, "date"), "data_world_latest", ["lu_id"])
+    return JobReport(star, union_all(profiles), rejected, counts)
 
 
 def main(argv: list[str] | None = None) -> None:
     import argparse
 
     from casestar.session import build_session, clean_scratch
-    from casestar.sources.readers import CATEGORIES_SCHEMA, read_categories, read_districts
+    from casestar.sources.readers import (
+        CATEGORIES_SCHEMA, STATE_ISO_SCHEMA, read_categories, read_districts, read_lookup, read_mobility, read_policy)
 
     ap = argparse.ArgumentParser(description="case reports -> star schema exports")
     ap.add_argument("raw_path")
     ap.add_argument("out_dir")
     ap.add_argument("--districts", help="TSV with rs and population")
     ap.add_argument("--categories", help="TSV with kreis_id and krs17")
+    ap.add_argument("--mobility", help="CSV of the mobility reports")
+    ap.add_argument("--states", help="TSV with iso_3166_2_code and IdBundesland, for the mobility reports")
+    ap.add_argument("--policy", help="CSV of the policy index")
+    ap.add_argument("--country", help="country of the policy index")
     ap.add_argument("--master", default=None)
     args = ap.parse_args(argv)
     spark = build_session(args.master or "local[*]")
-    run_job(spark, args.raw_path, args.out_dir,
-            read_districts(spark, args.districts) if args.districts else None,
-            read_categories(spark, args.categories, CATEGORIES_SCHEMA) if args.categories else None)
+    report = run_job(
+        spark, args.raw_path, args.out_dir,
+        read_districts(spark, args.districts) if args.districts else None,
+        read_categories(spark, args.categories, CATEGORIES_SCHEMA) if args.categories else None,
+        mobility=read_mobility(spark, args.mobility) if args.mobility else None,
+        states=read_lookup(spark, args.states, STATE_ISO_SCHEMA) if args.states else None,
+        policy=read_policy(spark, args.policy) if args.policy else None, country=args.country)
+    report.profile.show(200, truncate=False)
+    print(report.counts)
     clean_scratch(spark)
     spark.stop()
 

@@ -74,3 +74,19 @@ def long_series(spark: SparkSession, sf_dir: str, measure: str,
     w = wide_series(spark, sf_dir, measure) if wide is None else wide_of(wide, measure)
     long = wide_dates_to_long(w, IDS, "Country/Region", "Province/State", COLLAPSE)
     return long.withColumnRenamed("number", measure)
+
+
+def entities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The id columns of the wide tables: one row per (user, country) with events."""
+    users = table(spark, sf_dir, "events").select("user_id").distinct()
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    return users.join(c, users.user_id == c.c_custkey).join(n, c.c_nationkey == n.n_nationkey).select(
+        F.col("user_id").cast("string").alias(IDS[0]), F.col("n_name").alias(IDS[1]))
+
+
+def collapsed(df: DataFrame, country: str, province: str) -> DataFrame:
+    """The key columns of a long series: sub-regions of the grouped countries become ''."""
+    c, p = F.col(f"`{country}`"), F.col(f"`{province}`")
+    return df.select(c.alias("country_region"), F.when(c.isin(COLLAPSE), F.lit("")).otherwise(
+        F.coalesce(p, F.lit(""))).alias("province_state"))

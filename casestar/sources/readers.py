@@ -6,12 +6,24 @@ data and drifts between runs.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from casestar.functions.columns import pad_code
 
+# The mobility report's index columns.
+MOBILITY_COLUMNS = (
+    "retail_and_recreation_percent_change_from_baseline",
+    "grocery_and_pharmacy_percent_change_from_baseline",
+    "parks_percent_change_from_baseline",
+    "transit_stations_percent_change_from_baseline",
+    "workplaces_percent_change_from_baseline",
+    "residential_percent_change_from_baseline",
+)
+
 CASE_FACTS_SCHEMA = T.StructType([
     T.StructField("IdBundesland", T.LongType()),
     T.StructField("Bundesland", T.StringType()),
@@ -63,10 +75,23 @@ def read_lookup(spark: SparkSession, path: str, schema: T.StructType, encoding:
                 sep: str = "\t", mode: str = "FAILFAST") -> DataFrame:
     """Headed TSV lookup in a legacy code page, or UTF-8 with BOM (O02), columns by name.
 
-    Spark drops a trailing CR at read time (T29).
+    Every file's header must agree with the first one's. Spark drops a trailing CR at
+    read time (T29).
     """
     return _by_name(spark.read.option("header", True).option("sep", sep).option("encoding", encoding)
-                    .option("escape", '"').option("mode", mode), path, schema)
+                    .option("escape", '"').option("mode", mode).option("enforceSchema", False), path, schema)
+
+
+def read_mobility(spark: SparkSession, path: str, columns: Sequence[str] = MOBILITY_COLUMNS, **options) -> DataFrame:
+    """Mobility reports: region code and name, date as text, the index columns."""
+    kinds = [T.StructField(c, T.StringType()) for c in ("iso_3166_2_code", "sub_region_1", "date")]
+    return read_facts(spark, path, T.StructType(kinds + [T.StructField(c, T.LongType()) for c in columns]), **options)
+
+
+def read_policy(spark: SparkSession, path: str, columns: Sequence[str] = ("StringencyIndex",), **options) -> DataFrame:
+    """Policy index: country, date as an integer, index columns."""
+    kinds = [T.StructField("CountryName", T.StringType()), T.StructField("Date", T.IntegerType())]
+    return read_facts(spark, path, T.StructType(kinds + [T.StructField(c, T.DoubleType()) for c in columns]), **options)
 
 
 def read_districts(spark: SparkSession, path: str, **options) -> DataFrame:
