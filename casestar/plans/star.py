@@ -7,7 +7,7 @@ shared storage (``materialize``) instead of being recomputed per export.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
 
@@ -29,6 +29,10 @@ class StarSchema:
     data_time: DataFrame
     data_geo: DataFrame
     data_max_date: DataFrame
+    # of a job
+    profile: DataFrame | None = None            # a row per column of every export
+    rejected: DataFrame | None = None           # raw rows left out, with the reason
+    counts: dict[str, int] | None = None        # accepted, rejected, unmapped_age, null_key
 
 
 def build_star(raw: DataFrame, districts: DataFrame | None = None,
@@ -48,28 +52,22 @@ def build_star(raw: DataFrame, districts: DataFrame | None = None,
     )
 
 
-@dataclass
-class JobReport:
-    star: StarSchema
-    profile: DataFrame          # a row per column of every export
-    rejected: DataFrame         # raw rows left out, with the reason
-    counts: dict[str, int]      # accepted, rejected, unmapped_age, null_key
-
-
 def run_job(spark, raw_path: str, out_dir: str, districts: DataFrame | None = None,
             categories: DataFrame | None = None, snapshot: bool = True,
             mobility: DataFrame | None = None, states: DataFrame | None = None,
             policy: DataFrame | None = None, country: str | None = None,
-            world: DataFrame | None = None, world_lookup: DataFrame | None = None) -> JobReport:
+            world: DataFrame | None = None, world_lookup: DataFrame | None = None,
+            one_file: bool = False) -> StarSchema:
     """The full refresh: snapshot the landed file(s), read, build, export, report.
 
     Writes ``source_snapshot`` (the landed lines as they are, in Parquet), ``reports``
-    (the raw rows, accepted and rejected apart), and as TSV ``data_rki`` (non-zero facts:
-    written by all tasks, its parts put end to end are one ordered file with one header),
-    ``data_geo_time`` (likewise), ``data_time``, ``data_geo`` and ``data_max_date``; with
-    their inputs given also ``data_mobility``, ``data_stringency``, ``data_country``,
-    ``data_world`` and ``data_world_latest``. Bad dates do not stop the job: their rows
-    are in the report. The profile of each export is counted while it is written.
+    (the raw rows, accepted and rejected apart), and as TSV ``data_rki`` (non-zero facts),
+    ``data_geo_time``, ``data_time``, ``data_geo`` and ``data_max_date``; with their inputs
+    given also ``data_mobility``, ``data_stringency``, ``data_country``, ``data_world`` and
+    ``data_world_latest``. The large ones are written by all tasks, each part with a
+    header; with ``one_file`` their parts put end to end are one ordered file with one
+    header. Bad dates do not stop the job: their rows are in the report. The profile of
+    each export is counted while it is written.
     """
     from casestar.sources.readers import read_facts
     from casestar.sources.sinks import export_ordered_tsv, export_tsv, snapshot_files
@@ -81,11 +79,11 @@ def run_job(spark, raw_path: str, out_dir: str, districts: DataFrame | None = No
     profiles = []
 
     def export(df: DataFrame, name: str, order: list[str] | None = None) -> None:
-        if order:
+        if order and one_file:
             result = export_ordered_tsv(df, f"{out_dir}/{name}", order, profile_as=name)
         else:
             seen, result = observed_profile(df, name)
-            export_tsv(seen, f"{out_dir}/{name}", single_file=True)
+            export_tsv(seen, f"{out_dir}/{name}", single_file=not order)
         profiles.append(result())
 
     export(star.data_max_date, "data_max_date")
@@ -104,7 +102,7 @@ def run_job(spark, raw_path: str, out_dir: str, districts: DataFrame | None = No
         world = materialize(world, "world")
         export(world, "data_world", ["lu_id", "date"])
         export(latest_snapshot(world, "date"), "data_world_latest", ["lu_id"])
-    return JobReport(star, union_all(profiles), rejected, counts)
+    return replace(star, profile=union_all(profiles), rejected=rejected, counts=counts)
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -123,6 +121,7 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--states", help="TSV with iso_3166_2_code and IdBundesland, for the mobility reports")
     ap.add_argument("--policy", help="CSV of the policy index")
     ap.add_argument("--country", help="country of the policy index")
+    ap.add_argument("--one-file", action="store_true", help="parts of an export put end to end are one file")
     ap.add_argument("--master", default=None)
     args = ap.parse_args(argv)
     spark = build_session(args.master or "local[*]")
@@ -132,7 +131,8 @@ def main(argv: list[str] | None = None) -> None:
         read_categories(spark, args.categories, CATEGORIES_SCHEMA) if args.categories else None,
         mobility=read_mobility(spark, args.mobility) if args.mobility else None,
         states=read_lookup(spark, args.states, STATE_ISO_SCHEMA) if args.states else None,
-        policy=read_policy(spark, args.policy) if args.policy else None, country=args.country)
+        policy=read_policy(spark, args.policy) if args.policy else None, country=args.country,
+        one_file=args.one_file)
     report.profile.show(200, truncate=False)
     print(report.counts)
     clean_scratch(spark)

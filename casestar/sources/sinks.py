@@ -26,12 +26,21 @@ def snapshot_files(spark: SparkSession, landed: str, path: str) -> None:
     A row per line, as Parquet: ``file`` (its path), ``line_no`` (from 0 over all files
     in path order), ``line`` (the bytes up to the line feed, carriage returns
     included), ``file_size``. Every column, the header and the encoding stay as landed;
-    files are split and read in parallel. ``restore_files`` gives the bytes back.
+    files are split and read in parallel. The reader drops a byte order mark; where a
+    file is larger by its three bytes than its lines, the first line gets it back.
+    ``restore_files`` gives the files back.
     """
     lines = spark.read.option("lineSep", "\n").text(landed).select(
         F.col("value").cast("binary").alias("line"), F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_size").alias("file_size"))
-    with_file_order_id(lines, "line_no").select("file", "line_no", "line", "file_size").write.mode("overwrite").parquet(path)
+    rows = with_file_order_id(lines, "line_no")
+    packed = F.lower(F.substring_index("file", ".", -1)).isin("gz", "bz2", "zst", "lz4", "snappy", "deflate")
+    sizes = rows.groupBy("file").agg(F.min("line_no").alias("__first"), (
+        F.max("file_size") - F.sum(F.length("line") + 1)).alias("__more"))
+    marked = (F.col("line_no") == F.col("__first")) & F.col("__more").isin(2, 3) & ~packed
+    rows = rows.join(sizes, "file").withColumn("line", F.when(marked, F.concat(
+        F.lit(BOM).cast("binary"), F.col("line"))).otherwise(F.col("line")))
+    rows.select("file", "line_no", "line", "file_size").write.mode("overwrite").parquet(path)
 
 
 def restore_files(spark: SparkSession, snapshot: str, path: str) -> None:
