@@ -9,13 +9,15 @@ comparison confirms. Most positions of a text are never looked at.
 The benchmark is the stated query set: it is cut into blocks of at most
 ``BLOCK_BYTES`` of text, each block's tables are broadcast, and the documents go
 through one scan per block without a shuffle. A document's hits are kept as
-merged runs of word positions, so blocks add up exactly.
+merged runs of word positions, so blocks add up exactly. After every ``PASSES`` blocks
+the documents are written with their hits so far and the blocks' tables are released:
+a task holds that many tables at most, however large the benchmark is.
 
-Edge cases: a null text has no words, is never hit and never contaminated; an
+Edge cases: whole texts are scanned, however long; a null text has no words, is never hit and never contaminated; an
 item without words matches nothing; an item without an id counts as hit but is
 not listed; equal ids are listed once; repeated documents and null ids are
 scanned each on their own; with an empty benchmark nothing is hit. Extra columns
-pass through ``find_items`` untouched.
+pass through ``find_items`` untouched, but for one named like its output, which it replaces.
 """
 
 from __future__ import annotations
@@ -29,9 +31,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from casestar.llm.common import fresh
+from casestar.session import materialize
 
 WINDOW = 13
 BLOCK_BYTES = 8 << 20   # benchmark text in one broadcast
+PASSES = 4              # broadcasts that a task holds at most
 # Fixed by the contract, over UTF-8 after lower-casing A-Z: every byte of a
 # multi-byte character belongs to a word.
 WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -141,10 +145,15 @@ def find_items(df: DataFrame, benchmark: DataFrame, text: str = "text", out: str
     size = items.agg(F.sum(F.octet_length("t"))).first()[0] or 0
     blocks = max(1, -(-size // block_bytes))
     part = F.pmod(F.xxhash64("i", "t"), F.lit(blocks))
-    sc = df.sparkSession.sparkContext
+    sent = []
     for k in range(blocks):
         block = [(r["i"], r["t"]) for r in items.filter(part == k).toLocalIterator()]
-        df = _pass(df, sc.broadcast(build_tables(block, window)), text, out)
+        sent.append(df.sparkSession.sparkContext.broadcast(build_tables(block, window)))
+        df = _pass(df, sent[-1], text, out)
+        if len(sent) == PASSES and k + 1 < blocks:
+            df = materialize(df, "decontamination")
+            while sent:
+                sent.pop().unpersist()
     return df
 
 

@@ -9,7 +9,8 @@ is broadcast, and a row is placed by one hash and one look-up.
 
 Edge cases: a null key is replaced by the hash of the whole row's text, so that
 rows without a key spread out too; equal keys share a shard; an empty table
-gives an empty result; columns called like the new ones are replaced.
+gives an empty result; columns called like the new ones are replaced. The length of a
+text makes no difference, only its key is hashed.
 """
 
 from __future__ import annotations

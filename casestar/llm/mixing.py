@@ -21,8 +21,10 @@ within one shard, and joins go by (source, block).
 
 Edge cases: a null or blank text has no words and takes none; a null source is
 a source of its own, after all others; repeated rows and null ids are separate
-rows with separate shares; an empty table gives an empty mix. All numbers come
-from hashes of the rows, so reruns agree.
+rows with separate shares; an empty table gives an empty mix. Texts count in whole,
+however long: a long one spans many blocks. Other columns pass through
+``mixed_documents`` whatever their names. All numbers come from hashes of the rows, so
+reruns agree.
 """
 
 from __future__ import annotations

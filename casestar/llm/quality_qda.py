@@ -15,7 +15,8 @@ Edge cases: null, empty and blank texts have zero counts and are scored by them;
 a row without label or id is not learned from; several labels for an id are
 averaged and rounded; repeated rows are scored one by one; without labels of
 both classes the score is the share of good labels (0 with none); an empty table
-gives an empty result. Extra columns pass through ``score`` untouched.
+gives an empty result. Statistics are of whole texts, however long. Extra columns pass
+through ``score`` untouched, but for one named like its output, which it replaces.
 """
 
 from __future__ import annotations

@@ -12,8 +12,8 @@ adding up the lengths of the parts between the marks; the mark is a control
 character that no rule can match.
 
 Edge cases: a null text is empty and has no spans; repeated rows and null ids
-are scanned each on their own; an empty table gives an empty result. Extra
-columns pass through ``scan`` untouched.
+are scanned each on their own; an empty table gives an empty result. Whole texts are
+searched, however long. Extra columns pass through ``scan`` untouched.
 """
 
 from __future__ import annotations

@@ -16,7 +16,9 @@ Edge cases: a null html is an empty payload; empty payloads are compared like
 others; a null page_id comes after all others, and payloads found under null ids
 only are all responses; rows alike in page_id and payload have one type, so
 repeated responses are all kept; a null url is an empty one; an empty table
-gives no archive. Extra columns are ignored.
+gives no archive. Payloads are kept whole, however long (a record must fit in a task's
+memory). An id with line ends or other special characters is percent-encoded in the
+headers and read back as it was. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -27,6 +29,7 @@ import io
 import struct
 import uuid
 from collections.abc import Iterator
+from urllib.parse import quote, unquote
 
 import pyarrow as pa
 import zstandard
@@ -51,6 +54,11 @@ def record_id(page_id: str, digest: str) -> str:
     return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{page_id}/{digest}')}>"
 
 
+def encoded(page_id: str) -> str:
+    """An id as a header value: line ends and whatever is not plain are percent-encoded."""
+    return quote(page_id, errors="surrogatepass")
+
+
 def make_record(page_id: str | None, url: str, payload: bytes | None, size: int, digest: str,
                 refers_to: str | None) -> bytes:
     """One WARC/1.1 record; a revisit has headers only (``payload`` is not looked at)."""
@@ -63,10 +71,10 @@ def make_record(page_id: str | None, url: str, payload: bytes | None, size: int,
             ("Content-Type", "application/http; msgtype=response"), ("Content-Length", str(len(block))),
             ("X-Payload-Bytes", str(size))]
     if page_id is not None:
-        head.append(("X-Page-Id", page_id))
+        head.append(("X-Page-Id", encoded(page_id)))
     if revisit:
         head += [("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"),
-                 ("WARC-Refers-To", record_id(refers_to, digest)), ("X-Refers-To-Page", refers_to)]
+                 ("WARC-Refers-To", record_id(refers_to, digest)), ("X-Refers-To-Page", encoded(refers_to))]
     lines = "".join(f"{k}: {v}\r\n" for k, v in head)
     return b"WARC/1.1\r\n" + lines.encode("utf-8", "surrogatepass") + b"\r\n" + block + b"\r\n\r\n"
 
@@ -196,8 +204,8 @@ def read_archives(spark: SparkSession, path: str, with_payload: bool = True) ->
                 payload = block[block.index(b"\r\n\r\n") + 4:]
                 if (len(payload), base32_sha1(payload)) != (size, digest):
                     raise ValueError(f"payload of {head['WARC-Record-ID']} is damaged")
-            yield (head.get("X-Page-Id"), head["WARC-Target-URI"], head["WARC-Type"], size, digest,
-                   head.get("X-Refers-To-Page"), payload)[:len(names)]
+            page, refers = (v and unquote(v, errors="surrogatepass") for v in (head.get("X-Page-Id"), head.get("X-Refers-To-Page")))
+            yield (page, head["WARC-Target-URI"], head["WARC-Type"], size, digest, refers, payload)[:len(names)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def batch(held: list[tuple]) -> pa.RecordBatch:

@@ -46,6 +46,23 @@ def test_blocks_add_up(spark):
     assert one == many
 
 
+def test_many_blocks_are_released(spark, monkeypatch):
+    """A benchmark of 40 blocks: tasks hold a few tables at a time, results are the same."""
+    docs, items = case(9)
+    rows = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    size = sum(len((t or "").encode()) for _, t in items)
+    made = []
+    one = D._pass
+    monkeypatch.setattr(D, "_pass", lambda df, tables, *a: made.append(tables) or one(df, tables, *a))
+    found = D.find_items(rows, bench, block_bytes=-(-size // 40))
+    assert len(made) == 40
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") <= D.PASSES
+    got = {r.doc_id: (r.found.n_words, r.h, len(r.found["items"])) for r in found.withColumn("h", D.n_hit(D.F.col("found"))).collect()}
+    assert got == {i: brute(t, items)[:3] for i, t in enumerate(docs)}
+
+
 def test_search_jumps():
     class Counting(list):
         looked = 0

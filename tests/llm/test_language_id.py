@@ -70,7 +70,7 @@ def test_odd_rows(spark, odd_docs, no_docs):
     for (_, text), r in got.items():
         has = any(map(str.isalpha, text or ""))
         assert (r.lang_pred, r.n_chars) == (("en", 1.0) if has else ("und", 0.0))
-        assert r["__q"] == 2 and r["score"] == "x"
+        assert r["__q"] == 1 and r["score"] == "x"
 
 
 def test_sample_is_bounded_and_learns_repeats_once(spark):

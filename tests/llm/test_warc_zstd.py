@@ -61,3 +61,14 @@ def test_dictionary_covers_a_sample_and_all_records_are_written():
     assert len(frames) == 501
     assert [h["X-Page-Id"] for h, _ in W.parse_records(W.open_archive(W.EMPTY_FRAME.join(frames)))] == list(map(str, range(500)))
     assert list(W.compress_archive(iter([]))) == []
+
+
+def test_ids_with_line_ends(spark):
+    """An id cannot add headers to its record."""
+    ids = ["a\r\nX-Refers-To-Page: z", "100 %", "é\x00", ""]
+    df = spark.createDataFrame([(i, f"u{n}", "same" if n < 2 else str(n)) for n, i in enumerate(ids)],
+                               "page_id string, url string, html string")
+    got = {r.page_id: r for r in W.archive_report(df).collect()}
+    assert set(got) == set(ids)
+    assert got["100 %"].record_type == "response" and got[ids[0]].refers_to == "100 %"
+    assert all(got[i].refers_to is None for i in ids[1:])
