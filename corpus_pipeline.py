@@ -1,4 +1,14 @@
-"""Corpus pipeline: filter, deduplicate, decontaminate, mix and shard documents."""
+"""Corpus pipeline: filter, deduplicate, decontaminate, mix and shard documents.
+
+Edge cases, for every stage: an empty table gives an empty result; whole texts are
+used, however long; other columns pass through, whatever their names. Null and blank
+texts do not pass the first stage; given to a later one, they form no group (one row
+per id stays), are not contaminated, and are taken by no mix. Rows with a null id or
+source are rows like others: a null id names no group but is kept once per text, a null
+source is a source of its own, and each has a shard. Repeated rows pass the first stage
+each, are one document after the second, and count each in the stages after it. Ties
+go to the smallest id.
+"""
 
 from __future__ import annotations
 
