@@ -12,8 +12,8 @@ as that share allows, so that it excludes no such pair. Linked texts and exact c
 form a group (connected components); its smallest doc_id names it and stays.
 
 Scale: exact copies are one node before anything is compared. First each round has
-one pivot per bucket of equal sketches, and members of other components are compared
-with it. The first pivot is the smallest node, the second the most linked one (the
+one pivot per bucket of equal sketches, and each node is compared with ``NEAR`` of its
+buckets' pivots, of other components, those with most buckets in common. The first pivot is the smallest node, the second the most linked one (the
 centre of a star); from then on each component in a bucket sends one member, drawn
 anew each round, and one of them is the pivot, until a round adds few links. So a
 large group collapses by pairs linear in bucket sizes. Then every pair of a bucket
@@ -35,7 +35,7 @@ from math import ceil
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from casestar.llm.common import fresh, let, words
@@ -44,9 +44,10 @@ from casestar.session import materialize
 SHINGLE = 5
 SIMILARITY = 0.8    # share of words that align
 PICKS = 2           # k-mers in a sketch
-SKETCHES = 64       # of pairs at the threshold with evenly spread edits about 7 % share none, at 0.85 under 1 %
-TIERS = ((SHINGLE, 32, None), (2, 8, 48), (1, 1, 12))   # k-mer length, for texts of so many words at least, at most
+SKETCHES = 48       # of pairs at the threshold with evenly spread edits 14 % share none, at 0.85 under 2 %
+TIERS = ((SHINGLE, 64, None), (3, 32, 96), (2, 8, 48), (1, 1, 12))   # k, for texts of so many words at least, at most
 LONG = 1 << 16      # k-mers whose hashes are held at once, times SKETCHES
+NEAR = 4            # pivots that a node is compared with in a round
 FEW = 0.01          # share of new links at which the rounds of pivots end
 BLOCK = 512         # members of a bucket on either side of a block of pairs
 SIGNATURE = 16      # 64-bit words of a signature
@@ -235,8 +236,8 @@ def components(links: DataFrame) -> DataFrame:
 
 def _round(buckets: DataFrame, labels: DataFrame | None, links: DataFrame | None, turn: int,
            threshold: float) -> DataFrame:
-    """Candidate pairs of one round, each once: the pivot of a bucket with members
-    of other components. ``buckets``: (key, node, n), more than one node each."""
+    """(a, b, node, c): the pivots of a node's buckets that lie in other components, with
+    the number of buckets they share. ``buckets``: (key, node, n), more than one node each."""
     order = F.xxhash64("node", "key", F.lit(turn))
     if labels is None:
         rows, order = buckets.withColumn("comp", F.col("node")), F.col("node")
@@ -254,7 +255,8 @@ def _round(buckets: DataFrame, labels: DataFrame | None, links: DataFrame | None
         "key", F.col("pivot.node").alias("p"), F.col("pivot.comp").alias("p_comp"), F.col("pivot.n").alias("p_n"))
     met = rows.join(pivots, "key").filter("comp <> p_comp").filter(
         F.least("n", "p_n") >= threshold / (2 - threshold) * F.greatest("n", "p_n") - 1e-6)
-    return met.select(F.least("node", "p").alias("a"), F.greatest("node", "p").alias("b")).distinct()
+    return met.groupBy("node", "p").agg(F.count("*").alias("c")).select(
+        F.least("node", "p").alias("a"), F.greatest("node", "p").alias("b"), "node", "c")
 
 
 def signatures(texts: DataFrame) -> DataFrame:
@@ -351,6 +353,10 @@ def group(df: DataFrame, id_col: str = "doc_id", text: str = "text", threshold:
         pairs = _rest(buckets, labels, texts, threshold) if rest else _round(buckets, labels, links, turn, threshold)
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
+        if not rest:    # of a node's pivots, those with most buckets in common
+            near = Window.partitionBy("node").orderBy(F.desc("c"), "a", "b")
+            pairs = pairs.withColumn("near", F.row_number().over(near)).filter(F.col("near") <= NEAR).select(
+                "a", "b").distinct()
         pairs = materialize(pairs, "omh_pairs")
         tried = pairs if tried is None else tried.union(pairs)
         found = materialize(verify(pairs, texts, threshold), "omh_links")

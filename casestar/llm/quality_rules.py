@@ -9,8 +9,8 @@ corpus, so the pattern counts are one map-side combined aggregate and the whole
 estimation is one fold over a single row.
 
 Edge cases: a null or blank text has no words, fails the base rule and is not
-kept. Repeated rows and null ids are judged one by one like any other row. An
-empty table gives an empty result (the model is then the prior). Extra columns
+kept. Repeated rows and null ids are judged one by one like any other row. Statistics
+are of the whole text, however long. An empty table gives an empty result (the model is then the prior). Extra columns
 pass through ``with_quality`` untouched whatever their names.
 """
 
@@ -204,9 +204,13 @@ def judged(s: Column, vote: Column, model: LabelModel) -> Column:
 
 
 def keep_good(df: DataFrame, text: str = "text") -> DataFrame:
-    """Only the documents that the label model keeps, columns unchanged."""
-    out = fresh(df, "quality")
-    return with_quality(df, text, out).filter(F.col(out)["kept"]).select(*df.columns)
+    """Only the documents that the label model keeps, columns unchanged. The documents
+    are written once with their votes, which serve the estimation and the verdict."""
+    out, stats = fresh(df, "votes"), statistics(F.col(text))
+    voted = let(stats, lambda s: F.struct(base_failed(s).alias("failed"), votes(s).alias("v")))
+    marked = materialize(df.withColumn(out, voted), "quality_documents")
+    model = fit(marked.select(F.col(out)["v"].alias("v")), "v")
+    return marked.filter(~F.col(out)["failed"] & (model.posterior(F.col(out)["v"]) >= THRESHOLD)).select(*df.columns)
 
 
 def quality_report(docs: DataFrame) -> DataFrame:
