@@ -1,22 +1,23 @@
 """The pipeline's rows against a plain version of every stage."""
 
 import hashlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import duckdb
 
 import corpus_pipeline as P
 from casestar.llm import lookup_sharding as L
 from casestar.llm.oracle import SQL
+from casestar.llm.order_minhash import SIMILARITY
 from tests.llm.test_decontaminate import brute as contamination
 from tests.llm.test_mixing import fill
-from tests.llm.test_order_minhash import kmers, similarity
+from tests.llm.test_order_minhash import WORD, similarity
 
 
 def near_groups(texts):
-    """doc_id -> smallest doc_id of its group; only pairs that share enough k-mers are aligned."""
-    seqs = {i: kmers(t) for i, t in texts.items()}
-    sets, parent = {i: set(s) for i, s in seqs.items()}, {i: i for i in texts}
+    """doc_id -> smallest doc_id of its group; only pairs that share enough words are aligned."""
+    seqs = {i: WORD.findall(t or "") for i, t in texts.items()}
+    bags, parent = {i: Counter(s) for i, s in seqs.items()}, {i: i for i in texts}
 
     def find(x):
         while parent[x] != x:
@@ -26,10 +27,10 @@ def near_groups(texts):
     ids = sorted(texts)
     for a in ids:
         for b in ids:
-            if a < b and sets[a] and sets[b]:
-                shared = len(sets[a] & sets[b])
-                if shared >= 0.8 * (len(sets[a]) + len(sets[b]) - shared) and (
-                        seqs[a] == seqs[b] or similarity(seqs[a], seqs[b]) >= 0.8):
+            if a < b and seqs[a] and seqs[b]:
+                shared = sum((bags[a] & bags[b]).values())
+                if 2 * shared >= SIMILARITY * (len(seqs[a]) + len(seqs[b])) and (
+                        seqs[a] == seqs[b] or similarity(seqs[a], seqs[b]) >= SIMILARITY - 1e-9):
                     x, y = find(a), find(b)
                     parent[max(x, y)] = min(x, y)
     return {i: find(i) for i in ids}
