@@ -155,7 +155,8 @@ def spread(bridge: DataFrame, keys: Sequence[str] = BRIDGE_KEYS) -> DataFrame:
     """The bridge dealt over as many tasks as there are shuffle partitions, whatever
     its size: what is generated from its rows is many times as large. AQE does not
     coalesce a repartition with a given number."""
-    return bridge.repartition(int(bridge.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+    by = [k for k in keys if k in bridge.columns] or bridge.columns
+    return bridge.repartition(int(bridge.sparkSession.conf.get("spark.sql.shuffle.partitions")), *by)
 
 
 def value_sets(facts: DataFrame, value_cols: Sequence[str] = SPAN_VALUES) -> Column:
