@@ -6,7 +6,7 @@ import pytest
 from casestar.llm.queries import ORACLE, QUERIES
 from scripts.check_oracle import rows_of
 
-TABLES = ("documents", "pages", "benchmark", "labels")
+TABLES = ("documents", "pages", "benchmark", "labels", "embeddings")
 NATIVE = ("op1_quality_rules", "op5_lookup_sharding", "op8_mixing", "op10_secret_scan")
 
 
