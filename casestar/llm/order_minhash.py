@@ -13,10 +13,12 @@ form a group (connected components); its smallest doc_id names it and stays.
 
 Scale: exact copies are one node before anything is compared. First each round has
 one pivot per bucket of equal sketches, and each node is compared with ``NEAR`` of its
-buckets' pivots, of other components, those with most buckets in common. The first pivot is the smallest node, the second the most linked one (the
+buckets' pivots, of other components, those with most buckets in common (with one in the
+first round). The first pivot is the smallest node, the second the most linked one (the
 centre of a star); from then on each component in a bucket sends one member, drawn
 anew each round, and one of them is the pivot, until a round adds few links. So a
-large group collapses by pairs linear in bucket sizes. Then every pair of a bucket
+large group collapses by pairs linear in bucket sizes, and buckets of one component,
+with the texts that are in no other, leave the later rounds. Then every pair of a bucket
 whose two components still differ is tried, in blocks of bounded size: bit signatures
 of the words rule out most of the pairs that cannot reach the threshold (and no
 other), the rest are aligned. No pair is aligned twice. Each round's links and
@@ -47,10 +49,11 @@ PICKS = 2           # k-mers in a sketch
 SKETCHES = 48       # of pairs at the threshold with evenly spread edits 14 % share none, at 0.85 under 2 %
 TIERS = ((SHINGLE, 64, None), (3, 32, 96), (2, 8, 48), (1, 1, 12))   # k, for texts of so many words at least, at most
 LONG = 1 << 16      # k-mers whose hashes are held at once, times SKETCHES
-NEAR = 4            # pivots that a node is compared with in a round
+NEAR = 4            # pivots that a node is compared with in a round after the first
 FEW = 0.01          # share of new links at which the rounds of pivots end
 BLOCK = 512         # members of a bucket on either side of a block of pairs
 SIGNATURE = 16      # 64-bit words of a signature
+BITMAPS = 2048      # bitmaps of 32,768 bits in a filter of nodes, 8 MiB in all
 
 _MUL = np.uint64(0x9E3779B97F4A7C15)
 
@@ -234,21 +237,28 @@ def components(links: DataFrame) -> DataFrame:
         labels = new.select("node", "comp")
 
 
-def _round(buckets: DataFrame, labels: DataFrame | None, links: DataFrame | None, turn: int,
-           threshold: float) -> DataFrame:
-    """(a, b, node, c): the pivots of a node's buckets that lie in other components, with
-    the number of buckets they share. ``buckets``: (key, node, n), more than one node each."""
+def _unfinished(buckets: DataFrame, labels: DataFrame) -> DataFrame:
+    """The buckets that hold more than one component, with the present ones. As
+    components only grow, the others have no pair left to try."""
+    rows = buckets.drop("comp").join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    mixed = rows.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter(
+        "lo <> hi").select("key")
+    return materialize(rows.join(mixed, "key").select(*buckets.columns), "omh_buckets")
+
+
+def _round(buckets: DataFrame, links: DataFrame | None, turn: int, threshold: float) -> DataFrame:
+    """(a, b, node, c): the pivots of a node's buckets that lie in other components, with the
+    number of buckets they share. ``buckets``: (key, node, n, comp), more than one node each."""
     order = F.xxhash64("node", "key", F.lit(turn))
-    if labels is None:
-        rows, order = buckets.withColumn("comp", F.col("node")), F.col("node")
+    rows = buckets
+    if links is None:
+        order = F.col("node")
+    elif turn == 1:
+        rows = rows.join(degrees(links), "node", "left")
+        order = F.struct(-F.coalesce("links", F.lit(0)), "node")
     else:
-        rows = buckets.join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-        if turn == 1:
-            rows = rows.join(degrees(links), "node", "left")
-            order = F.struct(-F.coalesce("links", F.lit(0)), "node")
-        else:
-            rows = rows.groupBy("key", "comp").agg(F.min_by(F.struct("node", "n"), order).alias("m")).select(
-                "key", "comp", "m.node", "m.n")
+        rows = rows.groupBy("key", "comp").agg(F.min_by(F.struct("node", "n"), order).alias("m")).select(
+            "key", "comp", "m.node", "m.n")
     pivots = rows.groupBy("key").agg(
         F.min_by(F.struct("node", "comp", "n"), order).alias("pivot"), F.min("comp").alias("lo"),
         F.max("comp").alias("hi")).filter("lo <> hi").select(
@@ -260,7 +270,7 @@ def _round(buckets: DataFrame, labels: DataFrame | None, links: DataFrame | None
 
 
 def signatures(texts: DataFrame) -> DataFrame:
-    """(node, s0, s1, ...): for each bit, whether an odd number of words, labelled with
+    """(node, n, s0, s1, ...): n the number of words; for each bit, whether an odd number of words, labelled with
     their occurrence, falls on it. Two texts differ in no more bits than there are such
     words in only one of them, and those cannot be aligned."""
     names = [f"s{i}" for i in range(SIGNATURE)]
@@ -273,42 +283,50 @@ def signatures(texts: DataFrame) -> DataFrame:
                 at = (_mixed(labelled_kmers(w, 1)) % np.uint64(bits)).astype(np.int64)
                 made[i] = np.packbits((np.bincount(at, minlength=bits) & 1).astype(np.uint8)).view(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *[pa.array(made[:, j]) for j in range(SIGNATURE)]], names=["node", *names])
+                [batch.column(0), batch.column(2), *[pa.array(made[:, j]) for j in range(SIGNATURE)]],
+                names=["node", "n", *names])
+
+    return texts.select("node", "w", F.size("w").alias("n")).mapInArrow(
+        run, ", ".join(["node long", "n int", *[f"{c} long" for c in names]]))
+
+
+def _alike(a: str, b: str, threshold: float) -> Column:
+    """Whether sizes and signatures, under names that begin so, allow a link."""
+    n, differ = F.col(f"{a}n") + F.col(f"{b}n"), F.lit(0)
+    for i in range(SIGNATURE):
+        differ += F.bit_count(F.col(f"{a}s{i}").bitwiseXOR(F.col(f"{b}s{i}")))
+    size = F.least(f"{a}n", f"{b}n") >= threshold / (2 - threshold) * F.greatest(f"{a}n", f"{b}n") - 1e-6
+    return size & (differ <= n * (1 - threshold) + 1e-6)
 
-    return texts.select("node", "w").mapInArrow(run, ", ".join(["node long", *[f"{c} long" for c in names]]))
 
+def _likely(pairs: DataFrame, bits: DataFrame, threshold: float) -> DataFrame:
+    """The (a, b) of ``pairs`` that sizes and signatures do not rule out."""
+    a, b = (bits.select(*[F.col(c).alias(x if c == "node" else f"{x}_{c}") for c in bits.columns]) for x in "ab")
+    return pairs.join(a, "a").join(b, "b").filter(_alike("a_", "b_", threshold)).select("a", "b")
 
-def _rest(buckets: DataFrame, labels: DataFrame | None, texts: DataFrame, threshold: float) -> DataFrame:
+
+def _rest(buckets: DataFrame, bits: DataFrame, threshold: float) -> DataFrame:
     """All pairs, each once, that share a bucket but no component, less those whose
     sizes or signatures exclude a link. In a bucket the members outside its largest
     component meet all members, block by block."""
-    if labels is None:
-        rows = buckets.withColumn("comp", F.col("node"))
-    else:
-        rows = buckets.join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    rows = rows.distinct()
-    mixed = rows.groupBy("key", "comp").agg(F.count("*").alias("c")).groupBy("key").agg(
+    mixed = buckets.groupBy("key", "comp").agg(F.count("*").alias("c")).groupBy("key").agg(
         F.max_by("comp", F.struct("c", "comp")).alias("top"), F.max("c").alias("most"), F.sum("c").alias("all"),
         F.count("*").alias("comps")).filter("comps > 1").select(
         "key", "top", F.ceil((F.col("all") - F.col("most")) / BLOCK).cast("int").alias("g"),
         F.ceil(F.col("all") / BLOCK).cast("int").alias("h"))
-    live = materialize(rows.join(mixed, "key"), "omh_live")
-    bits = materialize(signatures(texts.join(live.select("node").distinct(), "node", "left_semi")), "omh_signatures")
-    live = live.join(bits, "node")
+    live = buckets.join(mixed, "key").join(bits.drop("n"), "node")
 
     def side(rows: DataFrame, mine: str, own: str, other: str, theirs: str, mark: str) -> DataFrame:
         return rows.select(
             "key", "top", F.pmod(F.xxhash64("node", F.lit(mark)), F.col(own)).cast("int").alias(mine),
             F.explode(F.sequence(F.lit(0), F.col(other) - 1)).alias(theirs),
-            *[F.col(c).alias(f"{mark}_{c}") for c in ["node", "comp", "n", *bits.columns[1:]]])
+            *[F.col(c).alias(f"{mark}_{c}") for c in ["node", "comp", "n", *bits.columns[2:]]])
 
     a = side(live.filter("comp <> top"), "i", "g", "h", "j", "a")
     b = side(live, "j", "h", "g", "i", "b").drop("top")
-    differ = sum((F.bit_count(F.col(f"a_{c}").bitwiseXOR(F.col(f"b_{c}"))) for c in bits.columns[1:]), F.lit(0))
     met = a.join(b, ["key", "i", "j"]).filter(
         (F.col("a_comp") != F.col("b_comp")) & ((F.col("b_comp") == F.col("top")) | (F.col("a_node") < F.col("b_node")))
-        & (F.least("a_n", "b_n") >= threshold / (2 - threshold) * F.greatest("a_n", "b_n") - 1e-6)
-        & (differ <= (F.col("a_n") + F.col("b_n")) * (1 - threshold) + 1e-6))
+        & _alike("a_", "b_", threshold))
     return met.select(F.least("a_node", "b_node").alias("a"), F.greatest("a_node", "b_node").alias("b")).distinct()
 
 
@@ -327,6 +345,17 @@ def _relabelled(labels: DataFrame | None, found: DataFrame) -> DataFrame:
     return materialize(old.union(alone), "omh_labels")
 
 
+def _maybe_in(rows: DataFrame, members: DataFrame) -> DataFrame:
+    """The rows whose node is a member, and some others. The filter of the members has a
+    fixed size, whatever their number: with very many it lets more others pass."""
+    slot = F.pmod(F.xxhash64("node"), F.lit(BITMAPS << 15))
+    part, at = F.shiftright(slot, 15).alias("part"), slot.bitwiseAND(F.lit((1 << 15) - 1)).alias("at")
+    bitmaps = members.select(part, at).groupBy("part").agg(F.bitmap_construct_agg("at").alias("bits"))
+    byte = F.conv(F.hex(F.substring("bits", F.shiftright("at", 3).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    return rows.select("*", part, at).join(F.broadcast(bitmaps), "part").filter(
+        F.getbit(byte, F.col("at").bitwiseAND(F.lit(7)).cast("int")) == 1).select(*rows.columns)
+
+
 def degrees(links: DataFrame) -> DataFrame:
     return links.select("a").union(links.select("b")).groupBy(F.col("a").alias("node")).agg(
         F.count("*").alias("links"))
@@ -340,23 +369,29 @@ def group(df: DataFrame, id_col: str = "doc_id", text: str = "text", threshold:
     nodes = rows.filter("node is not null").groupBy("node").agg(
         F.min("doc_id").alias("first_id"), F.first("n").alias("n"), F.first("sketches").alias("sketches"))
     sketched = nodes.select("node", "n", F.explode("sketches").alias("key"))
-    shared = sketched.groupBy("key").agg(F.count("*").alias("c")).filter("c > 1").select("key")
-    buckets = materialize(sketched.join(shared, "key").select("key", "node", "n"), "omh_buckets")
+    # n is read on both sides of the join, so that the nodes are shuffled once
+    shared = sketched.groupBy("key").agg(F.count("*").alias("c"), F.min("n").alias("least")).filter(
+        "c > 1 AND least > 0").select("key")
+    buckets = materialize(sketched.join(shared, "key").select(
+        "key", "node", "n", F.col("node").alias("comp")), "omh_buckets")
     members = materialize(buckets.select("node").distinct(), "omh_members")
     ws = df.select(words(F.col(text)).alias("w"))
-    texts = materialize(ws.select(node_of(F.col("w")).alias("node"), word_hashes(F.col("w")).alias("w")).filter(
-        "node is not null").groupBy("node").agg(F.first("w").alias("w")).join(members, "node", "left_semi"), "omh_texts")
+    ws = _maybe_in(ws.select(node_of(F.col("w")).alias("node"), word_hashes(F.col("w")).alias("w")), members)
+    texts = materialize(ws.groupBy("node").agg(F.first("w").alias("w")).join(members, "node", "left_semi"), "omh_texts")
+    bits = materialize(signatures(texts), "omh_signatures")
 
     links = labels = tried = None
     turn, n_links, rest = 0, 0, False
     while True:
-        pairs = _rest(buckets, labels, texts, threshold) if rest else _round(buckets, labels, links, turn, threshold)
+        pairs = _rest(buckets, bits, threshold) if rest else _round(buckets, links, turn, threshold)
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         if not rest:    # of a node's pivots, those with most buckets in common
             near = Window.partitionBy("node").orderBy(F.desc("c"), "a", "b")
-            pairs = pairs.withColumn("near", F.row_number().over(near)).filter(F.col("near") <= NEAR).select(
+            pairs = pairs.withColumn("near", F.row_number().over(near)).filter(
+                F.col("near") <= (NEAR if turn else 1)).select(
                 "a", "b").distinct()
+            pairs = _likely(pairs, bits, threshold)
         pairs = materialize(pairs, "omh_pairs")
         tried = pairs if tried is None else tried.union(pairs)
         found = materialize(verify(pairs, texts, threshold), "omh_links")
@@ -366,6 +401,10 @@ def group(df: DataFrame, id_col: str = "doc_id", text: str = "text", threshold:
             labels = _relabelled(labels, found)
         if rest:        # no bucket has an untried pair of two components left
             break
+        if n_found:
+            buckets = _unfinished(buckets, labels)
+            if not turn:    # most texts are done
+                texts = materialize(texts.join(buckets.select("node").distinct(), "node", "left_semi"), "omh_texts")
         n_links += n_found
         turn, rest = turn + 1, n_found <= n_links * FEW
     ids = nodes.select("node", "first_id")
