@@ -1,6 +1,6 @@
 """Operators for preparing language-model training data at corpus scale.
 
-Ten operators, one module each; ``queries`` registers one query per operator
+Thirteen operators, one module each; ``queries`` registers one query per operator
 and ``oracle`` holds the DuckDB twins of those that SQL can express. Nothing
 outside this subpackage imports it except the entry module, behind a guard.
 """
