@@ -205,16 +205,24 @@ def with_file_order_id(df: DataFrame, name: str = "row_id") -> DataFrame:
 
     ``df`` is what a file reader returned, or a projection or filter of it. Each row
     keeps the file and block it was read from and its number within that block's task;
-    the rows are written with them once. From the copy, a block's rows are numbered by
-    themselves and shifted by the rows of all earlier blocks (a table with one row per
-    block). The order needs no column of the data and no sort across blocks.
+    the rows are written with them once. A task reads a block from its first row to its
+    last, so a row's place in its block is its number less the block's first one; it is
+    shifted by the rows of all earlier blocks (a table with one row per block). The
+    order needs no column of the data; the rows are neither shuffled nor sorted. Only
+    where a task has read one file more than once are they counted block by block.
     """
     at = df.select("*", F.col("_metadata.file_path").alias("__file"), F.col("_metadata.file_block_start").alias("__block"),
                    F.monotonically_increasing_id().alias("__seq"))
-    rows = materialize(at, "file_order")
-    blocks = rows.groupBy("__file", "__block").agg(F.count(F.lit(1)).alias("__n"))
-    before = Window.orderBy("__file", "__block").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = blocks.select("__file", "__block", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))
-    local = F.row_number().over(Window.partitionBy("__file", "__block").orderBy("__seq"))
-    return rows.withColumn("__local", local).join(offsets, ["__file", "__block"]).withColumn(
-        name, (F.col("__off") + F.col("__local") - 1).cast("bigint")).select(*df.columns, name)
+    task = F.shiftright("__seq", 33).alias("__task")    # the upper bits are the task's number
+    rows = materialize(at, "file_order").withColumn("__task", task)
+    block = ["__file", "__block", "__task"]
+    blocks = rows.groupBy(*block).agg(
+        F.count(F.lit(1)).alias("__n"), F.min("__seq").alias("__first"), F.max("__seq").alias("__last"))
+    before = Window.orderBy(*block).rowsBetween(Window.unboundedPreceding, -1)
+    # Written, so that its size is known when the join is planned (as in ``star_facts``).
+    blocks = materialize(blocks.withColumn("__off", F.coalesce(F.sum("__n").over(before), F.lit(0))), "file_blocks")
+    place = F.col("__seq") - F.col("__first")
+    if not blocks.filter(F.col("__last") - F.col("__first") >= F.col("__n")).isEmpty():
+        rows = rows.withColumn("__local", F.row_number().over(Window.partitionBy(*block).orderBy("__seq")))
+        place = F.col("__local") - 1
+    return rows.join(blocks, block).withColumn(name, (F.col("__off") + place).cast("bigint")).select(*df.columns, name)

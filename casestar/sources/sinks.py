@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from casestar.operators.checks import observed_profile
 from casestar.operators.cleaning import nonzero
 from casestar.operators.dimensions import with_file_order_id
+from casestar.session import materialize
 
 BOM = "\ufeff"
 
@@ -35,8 +36,8 @@ def snapshot_files(spark: SparkSession, landed: str, path: str) -> None:
         F.col("_metadata.file_size").alias("file_size"))
     rows = with_file_order_id(lines, "line_no")
     packed = F.lower(F.substring_index("file", ".", -1)).isin("gz", "bz2", "zst", "lz4", "snappy", "deflate")
-    sizes = rows.groupBy("file").agg(F.min("line_no").alias("__first"), (
-        F.max("file_size") - F.sum(F.length("line") + 1)).alias("__more"))
+    sizes = materialize(rows.groupBy("file").agg(F.min("line_no").alias("__first"), (
+        F.max("file_size") - F.sum(F.length("line") + 1)).alias("__more")), "file_sizes")
     marked = (F.col("line_no") == F.col("__first")) & F.col("__more").isin(2, 3) & ~packed
     rows = rows.join(sizes, "file").withColumn("line", F.when(marked, F.concat(
         F.lit(BOM).cast("binary"), F.col("line"))).otherwise(F.col("line")))

@@ -87,6 +87,31 @@ def test_ids_follow_the_files(spark, tmp_path, n, kind):
     assert got == want and ids == list(range(2000))
 
 
+def test_ids_need_no_sort_of_the_rows(spark, tmp_path):
+    spark.range(3000).select("id").repartition(3).write.option("header", True).csv(str(tmp_path / "t"))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
+    try:
+        reader = spark.read.option("header", True).schema("id long")
+        ids = D.with_file_order_id(reader.csv(str(tmp_path / "t")).filter("id % 3 > 0"))
+        plan = ids._jdf.queryExecution().executedPlan().toString()
+        assert "Window" not in plan and "Exchange hash" not in plan and "Sort" not in plan
+        assert sorted(r.row_id for r in ids.collect()) == list(range(2000))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    paths = parts(tmp_path / "t")                                   # every file twice, in one task
+    spark.conf.set("spark.sql.files.minPartitionNum", "1")
+    try:
+        both = reader.csv(paths + paths)
+        assert both.select(F.spark_partition_id()).distinct().count() == 1
+        twice = D.with_file_order_id(both).orderBy("row_id").collect()
+    finally:
+        spark.conf.unset("spark.sql.files.minPartitionNum")
+    assert [r.row_id for r in twice] == list(range(6000))
+    want = [int(x) for p in paths for _ in range(2) for x in open(p).read().split("\n")[1:] if x]
+    assert [r.id for r in twice] == want
+
+
 def test_parts_put_end_to_end_are_one_file(spark, tmp_path):
     df = spark.range(500).select(F.col("id").alias("x"), F.when(F.col("id") % 7 > 0, F.concat(F.lit("t\tö "), "id")).alias("s"),
                                  F.date_add(F.lit(dt.date(2020, 1, 1)), F.col("id").cast("int")).alias("d"), F.lit(2.0).alias("y"))
