@@ -25,7 +25,7 @@ from casestar.operators.aggregate import bounds_scalar, sum_by
 from casestar.operators.dimensions import GEO_KEYS, SPAN_VALUES, geo_ranked, spread, value_sets
 from casestar.operators.joins import attach_facts
 from casestar.operators.reshape import measures_to_status
-from casestar.session import materialize
+from casestar.session import materialize, settings
 
 FACT_KEYS = GEO_KEYS + ["Meldedatum", "Altersgruppe", "Geschlecht"]
 MEASURES = ["AnzahlFall", "AnzahlTodesfall", "AnzahlGenesen"]
@@ -50,7 +50,8 @@ def split_rejects(raw: DataFrame, path: str) -> tuple[DataFrame, DataFrame, dict
     The counts are taken in that same write: ``accepted`` and ``rejected`` rows,
     ``unmapped_age`` accepted rows whose age band has no midpoint (they stay, their
     midpoint is NULL), and ``null_key`` accepted rows with a NULL key, which no sum
-    will include (T1).
+    will include (T1). A task keeps a file of each state open, so that its rows need no
+    sort by state before they are written.
     """
     spark = raw.sparkSession
     bad_date = F.col("Meldedatum").isNotNull() & parse_date("Meldedatum", "Y/m/d H:M:S", on_error="null").isNull()
@@ -62,7 +63,8 @@ def split_rejects(raw: DataFrame, path: str) -> tuple[DataFrame, DataFrame, dict
     seen = Observation()
     marked = marked.observe(seen, F.count_if(fine).alias("accepted"), F.count_if(~fine).alias("rejected"), F.count_if(
         fine & label.isNotNull() & midpoint(label).isNull()).alias("unmapped_age"), F.count_if(fine & no_key).alias("null_key"))
-    marked.write.mode("overwrite").partitionBy("state").parquet(path)
+    with settings(spark, {"spark.sql.maxConcurrentOutputFileWriters": "2"}):
+        marked.write.mode("overwrite").partitionBy("state").parquet(path)
     written = spark.read.schema(marked.schema).parquet(path)
     accepted = written.filter("state = 'accepted'").drop("reason", "state")
     return accepted, written.filter("state = 'rejected'").drop("state"), dict(seen.get)

@@ -5,6 +5,7 @@ import glob
 import os
 
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from casestar.operators import dimensions as D
@@ -158,6 +159,20 @@ def test_rejects_and_counts(spark, tmp_path):
     assert counts["accepted"] == 0 and accepted.count() == 0 and rejected.count() == 0
 
 
+def test_rejects_are_written_without_a_sort(spark, tmp_path, monkeypatch):
+    days = F.when(F.col("id") % 5 > 0, F.lit("2020/1/5 0:0:0")).otherwise(F.lit("zzz"))
+    raw = spark.range(0, 1000, 1, 3).select(*[
+        (days if f.name == "Meldedatum" else F.col("id")).cast(f.dataType).alias(f.name) for f in RD.CASE_FACTS_SCHEMA.fields])
+    key, write, held = "spark.sql.maxConcurrentOutputFileWriters", DataFrameWriter.parquet, []
+    before = spark.conf.get(key)
+    # with a writer for each state Spark plans no sort by state below the write
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, *a, **b: held.append(spark.conf.get(key)) or write(self, *a, **b))
+    accepted, rejected, counts = FA.split_rejects(raw, str(tmp_path / "r"))
+    assert held == ["2"] and spark.conf.get(key) == before
+    assert (accepted.count(), rejected.count(), counts["accepted"], counts["rejected"]) == (800, 200, 800, 200)
+    assert sorted(os.path.basename(x) for x in glob.glob(str(tmp_path / "r" / "state=*"))) == ["state=accepted", "state=rejected"]
+
+
 def test_job_writes_and_reports_everything(spark, small_dir, tmp_path):
     raw = TV.case_reports(spark, small_dir).withColumn("ObjectId", F.lit(1))
     raw = raw.withColumn("Meldedatum", F.when(F.col("AnzahlFall") == 7, "zzz").otherwise(F.col("Meldedatum")))
