@@ -53,6 +53,7 @@ NEAR = 4            # pivots that a node is compared with in a round after the f
 FEW = 0.01          # share of new links at which the rounds of pivots end
 BLOCK = 512         # members of a bucket on either side of a block of pairs
 SIGNATURE = 16      # 64-bit words of a signature
+FINEST = 256        # 64-bit words of a long text's fine signature, at most
 BITMAPS = 2048      # bitmaps of 32,768 bits in a filter of nodes, 8 MiB in all
 
 _MUL = np.uint64(0x9E3779B97F4A7C15)
@@ -269,40 +270,65 @@ def _round(buckets: DataFrame, links: DataFrame | None, turn: int, threshold: fl
         F.least("node", "p").alias("a"), F.greatest("node", "p").alias("b"), "node", "c")
 
 
+def _parities(hashes: np.ndarray, length: int) -> np.ndarray:
+    """``length`` 64-bit words: for each bit, whether an odd number of the hashes falls on it."""
+    at = (hashes % np.uint64(64 * length)).astype(np.int64)
+    return np.packbits((np.bincount(at, minlength=64 * length) & 1).astype(np.uint8)).view(np.int64)
+
+
 def signatures(texts: DataFrame) -> DataFrame:
-    """(node, n, s0, s1, ...): n the number of words; for each bit, whether an odd number of words, labelled with
+    """(node, n, s0, s1, ..., fine): n the number of words; for each bit, whether an odd number of words, labelled with
     their occurrence, falls on it. Two texts differ in no more bits than there are such
-    words in only one of them, and those cannot be aligned."""
+    words in only one of them, and those cannot be aligned. On the s of a long text so
+    many words fall that they tell little; ``fine`` is the same over eight bits a word or
+    more (a power of two, ``FINEST`` at most), null where the s have as many."""
     names = [f"s{i}" for i in range(SIGNATURE)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = 64 * SIGNATURE
         for batch in batches:
-            made = np.zeros((batch.num_rows, SIGNATURE), np.int64)
+            made, fine = np.zeros((batch.num_rows, SIGNATURE), np.int64), []
             for i, w in enumerate(_lists(batch.column(1))):
-                at = (_mixed(labelled_kmers(w, 1)) % np.uint64(bits)).astype(np.int64)
-                made[i] = np.packbits((np.bincount(at, minlength=bits) & 1).astype(np.uint8)).view(np.int64)
+                hashes, length = _mixed(labelled_kmers(w, 1)), SIGNATURE
+                made[i] = _parities(hashes, length)
+                while length < FINEST and 8 * length < len(w):
+                    length *= 2
+                fine.append(_parities(hashes, length) if length > SIGNATURE else None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(2), *[pa.array(made[:, j]) for j in range(SIGNATURE)]],
-                names=["node", "n", *names])
+                [batch.column(0), batch.column(2), *[pa.array(made[:, j]) for j in range(SIGNATURE)],
+                 pa.array(fine, pa.list_(pa.int64()))], names=["node", "n", *names, "fine"])
 
     return texts.select("node", "w", F.size("w").alias("n")).mapInArrow(
-        run, ", ".join(["node long", "n int", *[f"{c} long" for c in names]]))
+        run, ", ".join(["node long", "n int", *[f"{c} long" for c in names], "fine array<long>"]))
 
 
-def _alike(a: str, b: str, threshold: float) -> Column:
-    """Whether sizes and signatures, under names that begin so, allow a link."""
+def _alike(a: str, b: str, threshold: float, fine: bool = True) -> Column:
+    """Whether sizes and signatures, under names that begin so, allow a link. Where one
+    fine signature is twice as long, its halves are laid over each other: sizes that
+    allow a link are never further apart."""
     n, differ = F.col(f"{a}n") + F.col(f"{b}n"), F.lit(0)
     for i in range(SIGNATURE):
         differ += F.bit_count(F.col(f"{a}s{i}").bitwiseXOR(F.col(f"{b}s{i}")))
     size = F.least(f"{a}n", f"{b}n") >= threshold / (2 - threshold) * F.greatest(f"{a}n", f"{b}n") - 1e-6
-    return size & (differ <= n * (1 - threshold) + 1e-6)
+    most = n * (1 - threshold) + 1e-6
+    if not fine:
+        return size & (differ <= most)
+    x, y = F.col(f"{a}fine"), F.col(f"{b}fine")
+    length = F.least(F.size(x), F.size(y))
+
+    def folded(z: Column, i: Column) -> Column:
+        return F.get(z, i).bitwiseXOR(F.coalesce(F.get(z, i + length), F.lit(0).cast("long")))
+
+    finer = F.aggregate(F.sequence(F.lit(0), length - 1), F.lit(0), lambda d, i: d + F.bit_count(
+        folded(x, i).bitwiseXOR(folded(y, i))))
+    return size & (differ <= most) & F.when(x.isNotNull() & y.isNotNull(), finer <= most).otherwise(True)
 
 
 def _likely(pairs: DataFrame, bits: DataFrame, threshold: float) -> DataFrame:
-    """The (a, b) of ``pairs`` that sizes and signatures do not rule out."""
+    """The (a, b) of ``pairs`` that sizes and signatures (not the fine ones, which would
+    be shuffled with every pair) do not rule out."""
+    bits = bits.drop("fine")
     a, b = (bits.select(*[F.col(c).alias(x if c == "node" else f"{x}_{c}") for c in bits.columns]) for x in "ab")
-    return pairs.join(a, "a").join(b, "b").filter(_alike("a_", "b_", threshold)).select("a", "b")
+    return pairs.join(a, "a").join(b, "b").filter(_alike("a_", "b_", threshold, fine=False)).select("a", "b")
 
 
 def _rest(buckets: DataFrame, bits: DataFrame, threshold: float) -> DataFrame:

@@ -181,3 +181,29 @@ def test_keep_one_on_odd_rows(odd_docs, no_docs):
     ids = sorted((r.doc_id is None, r.doc_id or 0) for r in kept.select("doc_id").collect())
     assert ids == [(False, i) for i in (1, 2, 3, 4, 6, 7, 8, 9)] + [(True, 0), (True, 0)]
     assert M.keep_one(no_docs).collect() == []
+
+
+def test_signatures_of_long_texts_tell_them_apart(spark):
+    rng = np.random.default_rng(5)
+    base = rng.integers(0, 1 << 30, 1100)
+
+    def changed(share, n=1100):
+        w = base[:n].copy()
+        at = rng.choice(n, int(share * n), replace=False)
+        w[at] = rng.integers(1 << 30, 1 << 31, len(at))
+        return w
+
+    # of 700 to 1100 words: fine signatures of 128 and of 256 words of 64 bits
+    made = [changed(x, n) for x in (0, 0.05, 0.1, 0.15, 0.19, 0.25, 0.3, 0.4) for n in (1100, 1020, 800, 700)]
+    texts = spark.createDataFrame([(i, w.tolist()) for i, w in enumerate(made)], "node long, w array<int>")
+    bits = M.signatures(texts)
+    assert {r.n for r in bits.selectExpr("size(fine) n").distinct().collect()} == {128, 256}
+    a, b = (bits.select(*[bits[c].alias(f"{x}_{c}") for c in bits.columns]) for x in "ab")
+    got = {(r.a_node, r.b_node) for r in a.crossJoin(b).filter("a_node < b_node").filter(
+        M._alike("a_", "b_", M.SIMILARITY)).select("a_node", "b_node").collect()}
+    bags = {i: M.labelled_kmers(w.astype(np.int32), 1) for i, w in enumerate(made)}
+    for i in bags:
+        for j in range(i + 1, len(made)):
+            share = 2 * len(np.intersect1d(bags[i], bags[j])) / (len(made[i]) + len(made[j]))
+            assert (i, j) in got or share < M.SIMILARITY       # no link is lost
+            assert (i, j) not in got or share > 0.76           # before, shares of 0.6 passed
